@@ -180,7 +180,7 @@ def alarm_points(samples: DataFrame, alarms: DataFrame) -> DataFrame:
     ).select("alarm_name", "resource_id", "period", "expression", "_position", F.col("_m.metrics").alias("metric"), F.col("_m.statistics").alias("statistic"))
     parts = join_totals(minute_statistics(samples), wanted, ["resource_id", "metric"], "inner")
     n, total = F.sum("_n"), F.sum("_sum")
-    stat = F.first("statistic")
+    stat = F.max("statistic")
     per_metric = parts.groupBy(
         "alarm_name", "resource_id", "period", "expression", "_position", floor_epoch("minute", F.col("period")).alias("period_start")
     ).agg(
@@ -239,7 +239,7 @@ def breaching(value: Column, comparison: Column, threshold: Column) -> Column:
 def dense_grid(points: DataFrame, key: str = "alarm_name") -> DataFrame:
     """One row per key and period between its first and last point; absent periods have a NULL value."""
     extent = points.groupBy(key).agg(
-        F.min("period_start").alias("_from"), F.max("period_start").alias("_to"), F.first("period").cast("long").alias("period")
+        F.min("period_start").alias("_from"), F.max("period_start").alias("_to"), F.max("period").cast("long").alias("period")
     )
     grid = extent.select(key, "period", F.explode(F.sequence("_from", "_to", "period")).alias("period_start"))
     return grid.join(points.select(key, "period_start", "value"), [key, "period_start"], "left")
