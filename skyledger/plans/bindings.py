@@ -162,7 +162,7 @@ def tagged_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_extendedprice").alias("ondemand_cost"),
             (F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).alias("amortized_cost"),
             (F.col("l_extendedprice") * 0.5).alias("net_amortized_cost"),
-            F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice") * -0.25).otherwise(F.col("l_extendedprice")).alias("billing_cost"),
+            F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 3), F.col("l_extendedprice") * -0.25).otherwise(F.col("l_extendedprice")).alias("billing_cost"),
         )
     )
     return rows.groupBy("date", "t1", "t2", "t3", "charge_type").agg(

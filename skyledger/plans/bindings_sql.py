@@ -69,7 +69,7 @@ tagged AS (
     CASE WHEN l_suppkey % 4 = 0 THEN '' ELSE p_type END AS t2, CASE WHEN l_linenumber % 2 = 0 THEN '' ELSE l_linestatus END AS t3,
     l_returnflag AS charge_type, sum(l_extendedprice) AS od, sum(l_extendedprice * (1 - l_discount)) AS am,
     sum(l_extendedprice * 0.5) AS ne,
-    sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice * -0.25 ELSE l_extendedprice END) AS bi
+    sum(CASE WHEN l_returnflag = 'R' AND l_linenumber = 3 THEN l_extendedprice * -0.25 ELSE l_extendedprice END) AS bi
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL)
 """
 
