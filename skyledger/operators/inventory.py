@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions import text
-from skyledger.operators.keyed import join_totals
+from skyledger.operators.keyed import carried_lag, join_totals
 
 
 def explode_tags(df: DataFrame, keys: Sequence[str], tags: str = "tags") -> DataFrame:
@@ -120,9 +120,12 @@ BLOCK_BYTES = 524288  # fixed value: size of one changed block
 
 
 def snapshot_lineage(snapshots: DataFrame) -> DataFrame:
-    """Each snapshot with its predecessor of the same volume."""
-    w = Window.partitionBy("owner_id", "volume_id").orderBy("start_time", "snapshot_id")
-    return snapshots.withColumn("previous_snapshot_id", F.coalesce(F.lag("snapshot_id").over(w), F.lit(FIRST_SNAPSHOT)))
+    """Each snapshot with its predecessor of the same volume, found month by month."""
+    month = F.trunc(F.col("start_time").cast("date"), "month")
+    chained = carried_lag(
+        snapshots, ["owner_id", "volume_id"], ["start_time", "snapshot_id"], "snapshot_id", "previous_snapshot_id", month
+    )
+    return chained.withColumn("previous_snapshot_id", F.coalesce("previous_snapshot_id", F.lit(FIRST_SNAPSHOT)))
 
 
 def snapshot_increment(snapshots: DataFrame, changed_blocks: DataFrame) -> DataFrame:
