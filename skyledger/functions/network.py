@@ -10,16 +10,18 @@ def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
+# Four decimal parts of 0 to 255.
+DOTTED = r"^(25[0-5]|2[0-4]\d|1?\d?\d)(\.(25[0-5]|2[0-4]\d|1?\d?\d)){3}$"
+
+
 def ip_number(ip: Column | str) -> Column:
     """Dotted quad as a long; NULL for anything else."""
-    parts = F.split(_col(ip), r"\.")
-    octets = [F.get(parts, F.lit(i)).try_cast("long") for i in range(4)]
-    number = F.lit(0).cast("long")
-    valid = F.size(parts) == 4
-    for octet in octets:
+    text = _col(ip)
+    number = F.substring_index(text, ".", 1).try_cast("long")
+    for i in (2, 3, 4):
+        octet = F.substring_index(F.substring_index(text, ".", i), ".", -1).try_cast("long")
         number = number * F.lit(256) + octet
-        valid = valid & octet.between(0, 255)
-    return F.when(valid, number)
+    return F.when(text.rlike(DOTTED), number)
 
 
 def ip_text(number: Column | str) -> Column:

@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.session import prepare
+from skyledger.session import prepare, scratch_path
+from skyledger.sources.readers import read_lines
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -186,3 +187,16 @@ def event_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tag_array(*pairs: tuple[str, Column]) -> Column:
     return F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in pairs])
+
+
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def landed_lines(spark: SparkSession, sf_dir: str, label: str, lines: DataFrame) -> DataFrame:
+    """``lines`` as text files in the shared folder, read back the way log files are; written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key not in _LANDED:
+        path = scratch_path(spark, label)
+        lines.select("line").write.text(path)
+        _LANDED[key] = path
+    return read_lines(spark, _LANDED[key])

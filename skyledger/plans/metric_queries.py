@@ -404,8 +404,5 @@ def r10(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {SAMPLES} SELECT resource_id, count(value) AS sample_count, cast(trunc(sum(value)) AS BIGINT) AS sum, cast(trunc(min(value)) AS BIGINT) AS minimum, cast(trunc(max(value)) AS BIGINT) AS maximum FROM samples GROUP BY 1",
 )
 def a15(spark: SparkSession, sf_dir: str) -> DataFrame:
-    count, total, least, most = (
-        F.count("value"), F.sum("value").cast("decimal(38,4)").cast("long"), F.min("value").cast("long"), F.max("value").cast("long"),
-    )
-    rows = samples(spark, sf_dir).groupBy("resource_id")
-    return rows.agg(count.alias("sample_count"), total.alias("sum"), least.alias("minimum"), most.alias("maximum"))
+    sets = samples(spark, sf_dir).groupBy("resource_id").agg(m.statistic_set("value").alias("s"))
+    return sets.select("resource_id", "s.*")
