@@ -56,9 +56,9 @@ AUDIT = (
 AUDIT_FOLDER = "/CloudTrail/"  # fixed value: only documents below such a folder hold audit records
 
 
-def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    """Audit documents to one row per record."""
-    documents = spark.read.schema(AUDIT).json(path, multiLine=True, recursiveFileLookup=True)
+def read_audit(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Audit documents to one row per record; ``multi_line=False`` for files with one document per line."""
+    documents = spark.read.schema(AUDIT).json(path, multiLine=multi_line, recursiveFileLookup=True)
     rows = documents.where(F.col("_metadata.file_path").contains(AUDIT_FOLDER)).select(F.explode("Records").alias("r"))
     return rows.select(
         F.col("r.eventTime").alias("event_time"),
