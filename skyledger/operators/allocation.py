@@ -111,41 +111,66 @@ def relative_shares(usage: DataFrame) -> DataFrame:
     )
 
 
-def capacity_shares(usage: DataFrame, lines: DataFrame) -> DataFrame:
-    """Shares of billed capacity, plus one idle row per instance for the capacity no workload used.
-
-    Capacity is the sum over the instance's compute lines of the day, whatever charge types they have. The idle
-    row keeps the instance's own id and cluster, with blank namespace and application; shares of an instance sum to 1.
-    """
-    capacity = (
-        lines.where(line_class() == COMPUTE)
+def billed_capacity(cost: DataFrame) -> DataFrame:
+    """vCPU- and GiB-hours billed per instance and day, over its compute lines of all charge types."""
+    return (
+        blank_strings(cost)
+        .where(line_class() == COMPUTE)
         .withColumnRenamed("resource_id", "instance")
         .groupBy(*INSTANCE)
         .agg(F.sum("vcpus").alias("_vcpus"), F.sum("memory_gb").alias("_memory"))
     )
-    billed = _instance_totals(usage).join(capacity, INSTANCE, "left")
 
-    def used(amount: str, total: str) -> Column:
-        return F.coalesce(F.try_divide(F.col(amount), F.col(total)), F.lit(0.0))
 
-    busy = join_totals(usage, billed, INSTANCE).select(
-        *INSTANCE,
-        *WORKLOAD,
-        used("cpu_usage", "_vcpus").alias("cpu_share"),
-        used("mem_usage", "_memory").alias("mem_share"),
-        _even("network_usage", "_net_total").alias("net_share"),
-    )
-    idle = billed.where(F.col("_vcpus").isNotNull() | F.col("_memory").isNotNull()).select(
+def capacity_shares(usage: DataFrame, cost: DataFrame) -> DataFrame:
+    """Shares of billed capacity, plus one idle row per instance for the capacity no workload used.
+
+    The idle row keeps the instance's own id and cluster, with blank namespace and application; compute shares of an
+    instance sum to 1. The billed capacity travels as one more row per instance, so usage and bill are read twice
+    (once summed, once shared out) and not three times.
+    """
+    none = F.lit(None).cast("double")
+    billed = billed_capacity(cost).select(
         *INSTANCE,
         F.col("instance").alias("resource_id"),
-        F.col("_cluster").alias("eks_cluster_name"),
+        F.lit("").alias("eks_cluster_name"),
         F.lit("").alias("eks_namespace"),
         F.lit("").alias("eks_app"),
-        (F.lit(1.0) - used("_cpu_total", "_vcpus")).alias("cpu_share"),
-        (F.lit(1.0) - used("_mem_total", "_memory")).alias("mem_share"),
-        F.lit(None).cast("double").alias("net_share"),
+        none.alias("cpu_usage"),
+        none.alias("mem_usage"),
+        none.alias("network_usage"),
+        "_vcpus",
+        "_memory",
+        F.lit(True).alias("_idle"),
+    )
+    busy = usage.select("*", none.alias("_vcpus"), none.alias("_memory"), F.lit(False).alias("_idle"))
+    rows = busy.unionByName(billed)
+    totals = rows.groupBy(*INSTANCE).agg(
+        F.sum("cpu_usage").alias("_cpu_total"),
+        F.sum("mem_usage").alias("_mem_total"),
+        F.sum("network_usage").alias("_net_total"),
+        F.count(F.when(~F.col("_idle"), 1)).alias("_n"),
+        F.max("eks_cluster_name").alias("_cluster"),
+        F.sum("_vcpus").alias("_vcpus_total"),
+        F.sum("_memory").alias("_memory_total"),
+    )
+
+    def share(used: str, total_used: str, billed_total: str) -> Column:
+        part = F.coalesce(F.try_divide(F.when(F.col("_idle"), F.col(total_used)).otherwise(F.col(used)), F.col(billed_total)), F.lit(0.0))
+        return F.when(F.col("_idle"), F.lit(1.0) - part).otherwise(part)
+
+    # Instances without any workload are not the clusters' and stay out.
+    joined = join_totals(rows, totals, INSTANCE).where(F.col("_n") > 0)
+    return joined.select(
+        *INSTANCE,
+        "resource_id",
+        F.when(F.col("_idle"), F.col("_cluster")).otherwise(F.col("eks_cluster_name")).alias("eks_cluster_name"),
+        "eks_namespace",
+        "eks_app",
+        share("cpu_usage", "_cpu_total", "_vcpus_total").alias("cpu_share"),
+        share("mem_usage", "_mem_total", "_memory_total").alias("mem_share"),
+        F.when(~F.col("_idle"), _even("network_usage", "_net_total")).alias("net_share"),
     )
-    return busy.unionByName(idle)
 
 
 def _spread(lines: DataFrame, shares: DataFrame, transfer: bool, weight: float) -> DataFrame:
@@ -211,8 +236,7 @@ def allocate_with_residual(
     metrics: DataFrame, cost: DataFrame, weight: float = CPU_WEIGHT, use_reserved: bool = False
 ) -> DataFrame:
     """Level 2: workloads pay for what they used of the billed capacity; the idle rest stays with the cluster."""
-    lines = cost_lines(cost)
-    return _spread(lines, capacity_shares(workload_usage(metrics, use_reserved), lines), True, weight)
+    return _spread(cost_lines(cost), capacity_shares(workload_usage(metrics, use_reserved), cost), True, weight)
 
 
 def allocation_stages(metrics: DataFrame, cost: DataFrame, use_reserved: bool = False) -> dict[str, DataFrame]:
@@ -230,9 +254,9 @@ def allocation_stages(metrics: DataFrame, cost: DataFrame, use_reserved: bool =
         "usage": usage,
         "flagged_cost": flagged,
         "relative_shares": relative_shares(usage),
-        "capacity_shares": capacity_shares(usage, lines),
+        "capacity_shares": capacity_shares(usage, cost),
         "unmatched_usage": usage.join(billed, INSTANCE, "left_anti"),
-        "allocated": _spread(lines, capacity_shares(usage, lines), True, CPU_WEIGHT),
+        "allocated": _spread(lines, capacity_shares(usage, cost), True, CPU_WEIGHT),
     }
 
 

@@ -30,7 +30,7 @@ def _label(name: str) -> Column:
 
 def _series_id() -> Column:
     """Identity of a label set, whatever the order of its entries."""
-    return F.xxhash64(F.to_json(F.array_sort(F.map_entries("labels"))))
+    return F.xxhash64(F.array_sort(F.map_entries("labels")))
 
 
 def _pod_rows(samples: DataFrame, metric: str, with_image: bool) -> DataFrame:

@@ -5,11 +5,13 @@ Every function reads whole tables; each has a SQL twin in ``bindings_sql`` used
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.session import prepare, scratch_path
-from skyledger.sources.readers import read_lines
+from skyledger.sources.readers import read_lines, spread_few_splits
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,7 +56,7 @@ def billing_lines(spark: SparkSession, sf_dir: str, by_month: bool = False) -> D
     """Line items as a billing export; with ``by_month`` usage starts on the first of the month."""
     price = F.col("l_extendedprice")
     lines = (
-        table(spark, sf_dir, "lineitem")
+        spread_few_splits(table(spark, sf_dir, "lineitem"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .withColumn("_kind", _charge_type())
@@ -123,7 +125,11 @@ def billing_lines(spark: SparkSession, sf_dir: str, by_month: bool = False) -> D
 
 
 def workload_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Month x instance (supplier) x pod (part): CPU and memory hours and network bytes."""
+    """Month x instance (supplier) x pod (part): CPU and memory hours and network bytes, as a stored table."""
+    return landed_table(spark, sf_dir, "pod-metrics", lambda: _workload_metrics(spark, sf_dir))
+
+
+def _workload_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.trunc(F.to_date("l_shipdate"), "month")
     rows = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
@@ -200,3 +206,13 @@ def landed_lines(spark: SparkSession, sf_dir: str, label: str, lines: DataFrame)
         lines.select("line").write.text(path)
         _LANDED[key] = path
     return read_lines(spark, _LANDED[key])
+
+
+def landed_table(spark: SparkSession, sf_dir: str, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table written once per session, as one job of the cost run hands its result to the next."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key not in _LANDED:
+        path = scratch_path(spark, label)
+        build().write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(_LANDED[key])

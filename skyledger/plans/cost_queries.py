@@ -33,6 +33,11 @@ STD_MEASURES = "usage_amount vcpus gpus memory_gb ondemand_cost amortized_cost n
 
 
 def standard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The standardised table as the allocation jobs find it: stored by the step before."""
+    return b.landed_table(spark, sf_dir, "standard-cost", lambda: _standardized(spark, sf_dir))
+
+
+def _standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cost.standardize_all(b.billing_lines(spark, sf_dir, by_month=True))
 
 
@@ -42,7 +47,7 @@ def standard(spark: SparkSession, sf_dir: str) -> DataFrame:
       billing_entity, service, product, engine AS database_engine, it AS instance_type, cluster AS eks_cluster_name, {sql_round(STD_MEASURES)} FROM std""",
 )
 def x01(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return standard(spark, sf_dir).select(
+    return _standardized(spark, sf_dir).select(
         "year", "month", "date", "charge_type", "usage_account", "region", "usage_type", "description", "resource_id",
         "project", "billing_entity", "service", "product", "database_engine", "instance_type", "eks_cluster_name",
         *r6(*cost.MEASURES),
@@ -251,7 +256,7 @@ def p17(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def j04(spark: SparkSession, sf_dir: str) -> DataFrame:
     usage = allocation.workload_usage(b.workload_metrics(spark, sf_dir))
-    shares = allocation.capacity_shares(usage, allocation.cost_lines(standard(spark, sf_dir)))
+    shares = allocation.capacity_shares(usage, standard(spark, sf_dir))
     idle = shares.where((F.col("resource_id") == F.col("instance")) & F.col("net_share").isNull())
     return idle.select("year", "month", "instance", tidy("cpu_share", 9).alias("idle_cpu"), tidy("mem_share", 9).alias("idle_mem"))
 

@@ -67,8 +67,9 @@ def alarm_detail() -> Column:
 
 
 def alarm_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = enveloped(spark, sf_dir, F.lit("aws.cloudwatch"), F.lit("CloudWatch Alarm State Change"), alarm_detail())
-    return ev.flatten_alarm_event(raw)
+    body = envelope(F.lit("aws.cloudwatch"), F.lit("CloudWatch Alarm State Change"), alarm_detail())
+    landed = b.landed_lines(spark, sf_dir, "alarm-events", t(spark, sf_dir, "events").select(body.alias("line")))
+    return ev.flatten_alarm_event(ev.read_envelopes(landed, "line"))
 
 
 ALARM_SQL = f"""alarm AS (SELECT cast(event_id AS VARCHAR) AS id, 'a' || (user_id % 3) AS account, 'r' || (user_id % 5) AS region, {ALARM_NAME_SQL} AS alarm_name,

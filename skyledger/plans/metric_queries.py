@@ -290,14 +290,18 @@ _USAGE_SQL = f"""WITH {SAMPLES}, e AS (SELECT *, cast(json_extract(props, '$.k')
       LEFT JOIN nout ON nout.user_id = x.user_id AND nout.d = x.d LEFT JOIN res ON res.user_id = x.user_id AND res.d = x.d""",
 )
 def m08(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _first_of_second(_raw(spark, sf_dir))
-    out = usage.pod_daily_usage(raw, "acct")
+    out = usage.pod_daily_usage(raw_samples(spark, sf_dir), "acct")
     return out.select(
         "date", "region", "instance", "eks_app", "resource_id", tidy("actual_cpu", 9).alias("actual_cpu"), tidy("actual_mem").alias("actual_mem"),
         tidy("network_in").alias("network_in"), tidy("network_out").alias("network_out"), tidy("reserved_cpu").alias("reserved_cpu"),
     )
 
 
+def raw_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample store: written once, read by every usage table."""
+    return b.landed_table(spark, sf_dir, "raw-samples", lambda: _first_of_second(_raw(spark, sf_dir)))
+
+
 def _first_of_second(raw: DataFrame) -> DataFrame:
     """Events of one series in the same second count as one sample, the largest."""
     keys = F.to_json("labels").alias("k")
@@ -311,7 +315,7 @@ def _first_of_second(raw: DataFrame) -> DataFrame:
     f"""{_USAGE_SQL} SELECT make_timestamp(d * 1000000)::DATE AS date, 'r' || (user_id % 2) AS region, 'web' AS eks_app, 'ingress/c1/ns-' || (user_id % 5) || '/in-' || user_id AS resource_id, round(v, 6) + 0 AS requests FROM req""",
 )
 def m09(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = usage.ingress_daily_requests(_first_of_second(_raw(spark, sf_dir)), "acct")
+    out = usage.ingress_daily_requests(raw_samples(spark, sf_dir), "acct")
     return out.select("date", "region", "eks_app", "resource_id", tidy("requests").alias("requests"))
 
 
@@ -320,7 +324,7 @@ def m09(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""{_USAGE_SQL} SELECT 'ns-' || (user_id % 5) AS namespace, 'p-' || user_id AS pod, d AS day_start, round(v, 6) + 0 AS reserved_cpu FROM res""",
 )
 def j06(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = usage.pod_reservations(_first_of_second(_raw(spark, sf_dir)))
+    out = usage.pod_reservations(raw_samples(spark, sf_dir))
     return out.select("namespace", "pod", "day_start", tidy("reserved_cpu").alias("reserved_cpu"))
 
 

@@ -12,6 +12,7 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -31,8 +32,13 @@ def build_session(app: str = "skyledger", master: str | None = None, **conf: str
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the session time zone: every epoch and day boundary in the library is UTC."""
+    """Settings every operator counts on.
+
+    Epoch and day boundaries are UTC. Generated stages larger than the JVM compiles (8000 bytes of bytecode) would run
+    interpreted, many times slower; with the limit Spark compiles such a stage operator by operator instead.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 

@@ -33,6 +33,16 @@ def read_partition(spark: SparkSession, table: str, year: str | int, month: str
     return month_of(found, year, month)
 
 
+def spread_few_splits(df: DataFrame) -> DataFrame:
+    """Redistribute a source that has fewer splits than the cluster has cores.
+
+    A file with one row group is a single task, however many rows it holds. A source with enough splits is returned as
+    it is, so large inputs are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_records(spark: SparkSession, path: str, schema: str, ts: str = "date") -> DataFrame:
     """JSON records with an explicit schema; the time column becomes a timestamp."""
     return spark.read.schema(schema).json(path).withColumn(ts, F.to_timestamp(ts))
