@@ -372,16 +372,17 @@ def control_totals(cost: DataFrame, flag: str | None = None) -> DataFrame:
 
 
 def conservation(before: DataFrame, after: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Sum of every cost before and after a step, and the difference, per key."""
-    sides = [
-        side.groupBy(*keys).agg(*[F.sum(c).alias(f"{c}_{label}") for c in COSTS])
-        for side, label in ((before, "before"), (after, "after"))
-    ]
-    joined = sides[0].join(sides[1], list(keys), "full") if keys else sides[0].crossJoin(sides[1])
+    """Sum of every cost before and after a step, and the difference, per key: one aggregate over both sides."""
+
+    def side(df: DataFrame, label: str) -> DataFrame:
+        picked = [F.when(F.lit(label == s), F.col(c)).alias(f"{c}_{s}") for c in COSTS for s in ("before", "after")]
+        return df.select(*keys, *picked)
+
+    both = side(before, "before").unionByName(side(after, "after"))
+    sums = [F.coalesce(F.sum(f"{c}_{s}"), F.lit(0.0)).alias(f"{c}_{s}") for c in COSTS for s in ("before", "after")]
+    joined = both.groupBy(*keys).agg(*sums)
     for c in COSTS:
-        joined = joined.withColumn(
-            f"{c}_diff", F.coalesce(F.col(f"{c}_after"), F.lit(0.0)) - F.coalesce(F.col(f"{c}_before"), F.lit(0.0))
-        )
+        joined = joined.withColumn(f"{c}_diff", F.col(f"{c}_after") - F.col(f"{c}_before"))
     return joined
 
 

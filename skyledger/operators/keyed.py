@@ -83,3 +83,24 @@ def carried_lag(
         .withColumn(out, F.coalesce("_inside", "_carried")["v"])
         .drop("_bucket", "_inside", "_carried")
     )
+
+
+def position_before(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: Column, out: str, bucket: Column
+) -> DataFrame:
+    """Sum of ``weight`` over the rows of the key that come before this one, without gathering a whole key.
+
+    As in ``carried_lag`` the rows of a key are split into order-preserving buckets: totals of earlier buckets come
+    from a summary, the rest is a running sum inside the bucket.
+    """
+    rows = df.withColumn("_bucket", bucket).withColumn("_weight", weight.cast("long"))
+    sums = rows.groupBy(*keys, "_bucket").agg(F.sum("_weight").alias("_sum"))
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.withColumn("_offset", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))).drop("_sum")
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        rows.withColumn("_inside", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
+        .join(offsets, [*keys, "_bucket"], "left")
+        .withColumn(out, F.col("_offset") + F.col("_inside"))
+        .drop("_bucket", "_weight", "_inside", "_offset")
+    )

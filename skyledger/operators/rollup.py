@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.timefns import floor_epoch
+from skyledger.operators.keyed import position_before
 
 CDN_KEYS = ["host", "country", "asn", "response_code", "result_type"]
 # Default dimension subsets (they form a roll-up) and their metric names.
@@ -151,21 +152,20 @@ def delivery_batches(df: DataFrame, size: int = 500) -> DataFrame:
     ).drop("_id")
 
 
-def numbered_batches(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int = 500) -> DataFrame:
-    """Ordered form for bounded groups: batch number 0, 1, … of ``size`` rows per key."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("batch", F.floor((F.row_number().over(w) - F.lit(1)) / F.lit(size)).cast("long"))
+def numbered_batches(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, size: int = 500
+) -> DataFrame:
+    """Ordered form: batch number 0, 1, … of ``size`` rows per key; ``bucket`` splits large keys along the order."""
+    placed = position_before(df, keys, order, F.lit(1), "_position", bucket)
+    return placed.withColumn("batch", F.floor(F.col("_position") / F.lit(size)).cast("long")).drop("_position")
 
 
-def payload_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], body: str, limit: int = 40960) -> DataFrame:
+def payload_slices(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, body: str, limit: int = 40960
+) -> DataFrame:
     """Slice number so that the payload texts of a slice start within ``limit`` characters of each other."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(F.length(body)).over(w), F.lit(0))
-    return df.withColumn("slice", F.floor(before / F.lit(limit)).cast("long"))
+    placed = position_before(df, keys, order, F.length(body), "_position", bucket)
+    return placed.withColumn("slice", F.floor(F.col("_position") / F.lit(limit)).cast("long")).drop("_position")
 
 
 def day_index(df: DataFrame, day: Column, prefix: str) -> DataFrame:

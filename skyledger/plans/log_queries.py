@@ -419,7 +419,7 @@ def s16(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def s18(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = events(spark, sf_dir).select(F.to_date("ts").alias("day"), "event_id")
-    return rollup.numbered_batches(rows, ["day"], ["event_id"], 50)
+    return rollup.numbered_batches(rows, ["day"], ["event_id"], F.floor(F.col("event_id") / 100), 50)
 
 
 @query(
@@ -428,7 +428,7 @@ def s18(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def s18_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = events(spark, sf_dir).select(F.to_date("ts").alias("day"), "event_id", "props")
-    return rollup.payload_slices(rows, ["day"], ["event_id"], "props", 500).drop("props")
+    return rollup.payload_slices(rows, ["day"], ["event_id"], F.floor(F.col("event_id") / 100), "props", 500).drop("props")
 
 
 @query("s18_delivery_batches", "SELECT count(*) AS records, true AS within_limit FROM events")

@@ -27,7 +27,7 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def s10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "orders-by-month")
     orders = t(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate").cast("string")).withColumn("month", F.month("o_orderdate").cast("string"))
-    writers.write_partitions(orders, path, ["year", "month"], spread=["o_orderkey"])
+    writers.write_partitions(orders, path, ["year", "month"])
     # A second run of one month replaces that partition only.
     writers.write_partitions(orders.where((F.col("year") == "1997") & (F.col("month") == "3")), path, ["year", "month"])
     month = readers.read_partition(spark, path, "1997", "03")
@@ -162,8 +162,8 @@ def s16(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s17(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "refresh")
     year = t(spark, sf_dir, "orders").where(F.year("o_orderdate") == 2001).select("o_orderkey", F.to_date("o_orderdate").alias("day"))
-    writers.write_partitions(year.unionByName(year).repartition("day"), path, ["day"])
-    writers.refresh(year.repartition("day"), path, "day", date(2001, 11, 30))
+    writers.write_partitions(year.unionByName(year), path, ["day"])
+    writers.refresh(year, path, "day", date(2001, 11, 30))
     back = spark.read.schema("o_orderkey bigint, day date").parquet(path)
     return back.groupBy("day").agg(F.count(F.lit(1)).alias("orders"))
 

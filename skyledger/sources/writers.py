@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_partitions(df: DataFrame, path: str, by: Sequence[str], format: str = "parquet", spread: Sequence[str] = ()) -> None:
+def write_partitions(df: DataFrame, path: str, by: Sequence[str], format: str = "parquet") -> None:
     """Replace exactly the partitions present in ``df``.
 
-    ``spread`` adds columns to the shuffle that groups rows by partition, so that one large partition is written by
-    several tasks; without it rows are written where they are.
+    The rebalance hint brings the rows of a partition together, so that files are few, and lets adaptive execution
+    split a partition that is too large for one task and merge small ones.
     """
-    rows = df.repartition(*by, *spread) if spread else df
+    rows = df.hint("rebalance", *by)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).format(format).save(path)
 
 
