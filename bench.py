@@ -20,10 +20,8 @@ from skyledger.session import build_session  # noqa: E402
 HEADLINE = [
     "x01_standardize",
     "x03_allocate_compute",
-    "x04_allocate_compute_and_transfer",
     "x05_allocate_with_residual",
     "x06_allocate_untagged_one_tag",
-    "x06_allocate_untagged_two_tags",
     "x06_allocate_untagged_three_tags",
     "x07_unit_cost",
     "x08_classify_usage",
@@ -33,7 +31,6 @@ HEADLINE = [
     "m02_counter_rate",
     "m08_pod_daily_usage",
     "j10_l08_block_enrichment",
-    "a12_cdn_minutes",
     "a13_cdn_dimension_sets",
     "t01_t03_stream_partial_minutes",
     "r05_expand_rules",

@@ -26,20 +26,23 @@ def alarms_disabled(tags: str = "tags") -> Column:
     return F.coalesce(struct_tag(tags, THRESHOLD_TAG) == DISABLED, F.lit(False))
 
 
-def resolve_threshold(metric: Column | str, default: Column | float, thresholds: Column | None = None, tags: str = "tags") -> Column:
-    """Tag value of the metric, else the default; NULL when the tag disables alarms (so no alarm row follows)."""
+def resolve_threshold(
+    metric: Column | str,
+    default: Column | float,
+    thresholds: Column | None = None,
+    disabled: Column | None = None,
+    tags: str = "tags",
+) -> Column:
+    """Tag value of the metric, else the default; NULL when the tag disables alarms (so no alarm row follows).
+
+    Callers with many thresholds pass the parsed tag and the disabled flag as columns, so that each is read once.
+    """
     table = tag_thresholds(tags) if thresholds is None else thresholds
+    off = alarms_disabled(tags) if disabled is None else disabled
     key = F.lit(metric) if isinstance(metric, str) else metric
     fallback = default if isinstance(default, Column) else F.lit(float(default))
     value = F.coalesce(F.try_element_at(table, key).try_cast("double"), fallback.cast("double"))
-    return F.when(~alarms_disabled(tags), value)
-
-
-def peak_or_base(peak: Column, base: Column, kind: str, peak_default: float = 0.8) -> Column:
-    """Share of the peak where it equals the base (no bursting), else share of the base."""
-    return F.when(peak == base, resolve_threshold(f"Max{kind}", peak_default) * peak).otherwise(
-        resolve_threshold(f"Base{kind}", 1.0) * base
-    )
+    return F.when(~off, value)
 
 
 def general_iops(size: Column) -> Column:
@@ -76,8 +79,18 @@ def has_own_storage(engine: Column) -> Column:
     return ~(engine.contains("aurora") | engine.contains("docdb"))
 
 
-def capacity_limits() -> dict[str, Column]:
+def capacity_limits(thresholds: Column | None = None, disabled: Column | None = None) -> dict[str, Column]:
     """Limit name -> threshold. Input columns: see ``operators.alarms.RESOURCE_SCHEMA`` (NULL where unknown)."""
+    tag_map = tag_thresholds() if thresholds is None else thresholds
+    off = alarms_disabled() if disabled is None else disabled
+
+    def from_tag(metric: str, default: Column | float) -> Column:
+        return resolve_threshold(metric, default, tag_map, off)
+
+    def peak_or_base(peak: Column, base: Column, name: str, peak_default: float = 0.8) -> Column:
+        """Share of the peak where it equals the base (no bursting), else share of the base."""
+        return F.when(peak == base, from_tag(f"Max{name}", peak_default) * peak).otherwise(from_tag(f"Base{name}", 1.0) * base)
+
     kind, size = F.col("volume_type"), F.col("size_gib").cast("double")
     iops = F.coalesce(F.col("iops").cast("double"), F.lit(0.0))
     throughput = F.coalesce(F.col("throughput").cast("double"), F.lit(0.0))
@@ -112,7 +125,7 @@ def capacity_limits() -> dict[str, Column]:
 
     always = F.lit(True)
     memory = F.col("memory_mib").cast("double")
-    connections = resolve_threshold(
+    connections = from_tag(
         "DatabaseConnections", F.lit(0.9) * (memory - F.lit(500.0)) * F.lit(MIB) / F.lit(12582880.0)
     )
     plain_iops = F.when(kind == "gp2", general_iops(size)).when(kind.isin("gp3", "io1", "io2"), iops)
@@ -124,13 +137,13 @@ def capacity_limits() -> dict[str, Column]:
         kind == "io1", F.lit(1000 * MIB)
     )
     return {
-        "volume_iops": resolve_threshold("IOPS", 0.8) * volume_iops(kind, size, iops),
-        "volume_throughput": resolve_threshold("Throughput", 0.8) * volume_throughput(kind, size, iops, throughput),
+        "volume_iops": from_tag("IOPS", 0.8) * volume_iops(kind, size, iops),
+        "volume_throughput": from_tag("Throughput", 0.8) * volume_throughput(kind, size, iops, throughput),
         "instance_iops": instance_iops,
         "instance_throughput": instance_bytes,
         "instance_network": peak_or_base(peak_net, base_net, "NetworkBandwidth"),
-        "cpu_credit_30": vcpus * resolve_threshold("CreditSupportMinute", 30),
-        "cpu_credit_80": vcpus * resolve_threshold("CreditSupportMinute", 80),
+        "cpu_credit_30": vcpus * from_tag("CreditSupportMinute", 30),
+        "cpu_credit_80": vcpus * from_tag("CreditSupportMinute", 80),
         "search_nodes": (
             F.col("data_nodes") + F.coalesce("master_nodes", F.lit(0)) + F.coalesce("warm_nodes", F.lit(0))
         ).cast("double"),

@@ -102,9 +102,10 @@ def expand_rules(resources: DataFrame, rules: DataFrame, definitions: DataFrame
 
     The rule table is the fixed catalogue (under a hundred rows), hence the broadcast.
     """
-    limits = F.create_map(*[x for n, c in capacity_limits().items() for x in (F.lit(n), c.cast("double"))])
-    prepared = as_resources(resources).withColumn("_limits", limits).withColumn("_tagged", tag_thresholds())
-    prepared = prepared.withColumn("_off", alarms_disabled())
+    known = capacity_limits(F.col("_tagged"), F.col("_off"))
+    limits = F.create_map(*[x for n, c in known.items() for x in (F.lit(n), c.cast("double"))])
+    read = as_resources(resources).select("*", tag_thresholds().alias("_tagged"), alarms_disabled().alias("_off"))
+    prepared = read.withColumn("_limits", limits)
     rows = prepared.join(F.broadcast(rules), "service", "inner").where(_applies())
     if definitions is not None:
         resolved = resolve_definition(as_resources(resources), definitions).select(
@@ -118,7 +119,7 @@ def expand_rules(resources: DataFrame, rules: DataFrame, definitions: DataFrame
         F.when(F.col("threshold_kind") == "fixed", F.col("threshold_value"))
         .when(
             F.col("threshold_kind") == "tag",
-            resolve_threshold(F.col("threshold_key"), F.col("threshold_value"), F.col("_tagged"))
+            resolve_threshold(F.col("threshold_key"), F.col("threshold_value"), F.col("_tagged"), F.col("_off"))
             * F.col("threshold_factor"),
         )
         .when(F.col("threshold_kind") == "defined", F.col("_defined") * F.col("threshold_factor") * per_cpu)

@@ -102,7 +102,8 @@ def _instance_totals(usage: DataFrame) -> DataFrame:
 
 def relative_shares(usage: DataFrame) -> DataFrame:
     """Each workload's share of its instance's CPU, memory and network use that day."""
-    return join_totals(usage, _instance_totals(usage), INSTANCE).select(
+    # One instance-day has few workloads; should one be huge, adaptive execution splits its partition.
+    return join_totals(usage, _instance_totals(usage), INSTANCE, salts=1).select(
         *INSTANCE,
         *WORKLOAD,
         _even("cpu_usage", "_cpu_total").alias("cpu_share"),
@@ -160,7 +161,7 @@ def capacity_shares(usage: DataFrame, cost: DataFrame) -> DataFrame:
         return F.when(F.col("_idle"), F.lit(1.0) - part).otherwise(part)
 
     # Instances without any workload are not the clusters' and stay out.
-    joined = join_totals(rows, totals, INSTANCE).where(F.col("_n") > 0)
+    joined = join_totals(rows, totals, INSTANCE, salts=1).where(F.col("_n") > 0)
     return joined.select(
         *INSTANCE,
         "resource_id",
@@ -266,42 +267,50 @@ def tag_subsets(tags: Sequence[str]) -> list[list[str]]:
 
 
 def untag_factors(
-    cost: DataFrame, tags: Sequence[str], measures: Sequence[str] = COSTS, checkpoint_every: int = 2
+    cost: DataFrame, tags: Sequence[str], measures: Sequence[str] = COSTS, store: bool = True
 ) -> DataFrame:
     """Scale factor per (date, tag values) and measure.
 
     All rows with the same date and tag values are scaled alike in every pass, so the passes run on one row per
-    such cell and the large table is touched once before and once after. Long pass lists cut their lineage.
+    such cell and the large table is touched once before and once after. With ``store`` the cells are written to the
+    shared folder before the first pass and after every pass but the last (a pass uses its input twice, so an uncut
+    plan would double each time); without it everything stays lazy, which suits one tag.
     """
-    cells = cost.groupBy("date", *tags).agg(*[F.coalesce(F.sum(m), F.lit(0.0)).alias(m) for m in measures])
-    for m in measures:
-        cells = cells.withColumn(f"f_{m}", F.lit(1.0))
+    zero, one = F.lit(0.0), F.lit(1.0)
+    cells = cost.groupBy("date", *tags).agg(*[F.coalesce(F.sum(m), zero).alias(m) for m in measures])
+    cells = cells.select("*", *[one.alias(f"f_{m}") for m in measures])
+    cells = cut_lineage(cells) if store else cells
     subsets = tag_subsets(tags)
     for number, fixed in enumerate(subsets, start=1):
-        spreading = [t for t in tags if t not in fixed]
-        tagged = F.greatest(*[F.length(t) > 0 for t in spreading]) if len(spreading) > 1 else F.length(spreading[0]) > 0
-        cells = cells.withColumn("_tagged", tagged)
+        tagged = F.lit(False)
+        for t in tags:
+            if t not in fixed:
+                tagged = tagged | (F.length(t) > 0)
+        keys = ["date", *fixed]
         sums = []
         for m in measures:
-            sums.append(F.sum(F.when(F.col("_tagged"), F.col(m)).otherwise(F.lit(0.0))).alias(f"_with_{m}"))
-            sums.append(F.sum(F.when(F.col("_tagged"), F.lit(0.0)).otherwise(F.col(m))).alias(f"_without_{m}"))
-        keys = ["date", *fixed]
-        cells = join_totals(cells, cells.groupBy(*keys).agg(*sums), keys)
+            sums.append(F.sum(F.when(tagged, F.col(m)).otherwise(zero)).alias(f"_with_{m}"))
+            sums.append(F.sum(F.when(tagged, zero).otherwise(F.col(m))).alias(f"_without_{m}"))
+        joined = join_totals(cells, cells.groupBy(*keys).agg(*sums), keys)
+        steps = {}
         for m in measures:
             owners = F.col(f"_with_{m}")
-            grow = F.lit(1.0) + F.try_divide(F.col(f"_without_{m}"), owners)
+            grow = one + F.try_divide(F.col(f"_without_{m}"), owners)
             # Without tagged cost to carry it, the untagged cost stays where it is.
-            step = F.when(owners == 0, F.lit(1.0)).when(F.col("_tagged"), grow).otherwise(F.lit(0.0))
-            cells = cells.withColumn("_step", step)
-            cells = cells.withColumn(m, F.col(m) * F.col("_step")).withColumn(f"f_{m}", F.col(f"f_{m}") * F.col("_step"))
-        cells = cells.select("date", *tags, *measures, *[f"f_{m}" for m in measures])
-        if len(tags) > 2 and number % checkpoint_every == 0 and number < len(subsets):
+            steps[m] = F.when(owners == 0, one).when(tagged, grow).otherwise(zero)
+        cells = joined.select(
+            "date",
+            *tags,
+            *[(F.col(m) * steps[m]).alias(m) for m in measures],
+            *[(F.col(f"f_{m}") * steps[m]).alias(f"f_{m}") for m in measures],
+        )
+        if store and number < len(subsets):
             cells = cut_lineage(cells)
     return cells.select("date", *tags, *[f"f_{m}" for m in measures])
 
 
 def allocate_untagged(
-    cost: DataFrame, tags: Sequence[str], measures: Sequence[str] = COSTS, checkpoint_every: int = 2
+    cost: DataFrame, tags: Sequence[str], measures: Sequence[str] = COSTS, store: bool = True
 ) -> DataFrame:
     """Move cost of blank tags to the tagged rows of the same date (and the same other tags), subset by subset.
 
@@ -309,16 +318,16 @@ def allocate_untagged(
     every daily total is conserved, credits included.
     """
     filled = blank_strings(cost)
-    factors = untag_factors(filled, tags, measures, checkpoint_every)
+    factors = untag_factors(filled, tags, measures, store)
     joined = join_totals(filled, factors, ["date", *tags])
     absorbed = F.lit(False)
     empty = F.lit(True)
     for m in measures:
         absorbed = absorbed | (F.col(f"f_{m}") == 0)
         empty = empty & (F.coalesce(F.col(m), F.lit(0.0)) == 0)
-    for m in measures:
-        joined = joined.withColumn(m, F.col(m) * F.col(f"f_{m}"))
-    return joined.where(~(absorbed & empty)).select(*cost.columns)
+    scaled = {m: (F.col(m) * F.col(f"f_{m}")).alias(m) for m in measures}
+    kept = joined.select(*[scaled.get(c, F.col(c)) for c in cost.columns], (~absorbed).alias("_kept"))
+    return kept.where(F.col("_kept") | ~empty).select(*cost.columns)
 
 
 def keep_positive(cost: DataFrame, measures: Sequence[str] = ("ondemand_cost", "amortized_cost", "billing_cost")) -> DataFrame:

@@ -60,9 +60,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder, so that a lost executor costs a re-read only."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Write the table to the shared folder and go on from there.
+
+    Later steps start from stored files, so a lost executor costs a re-read only; unlike a checkpoint the rows are
+    computed once, and the new scan brings exact sizes to the planner.
+    """
+    path = scratch_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
