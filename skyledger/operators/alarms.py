@@ -250,7 +250,7 @@ def evaluate_alarms(points: DataFrame, alarms: DataFrame, max_periods: int = MAX
     """State per alarm and period: M of the last N periods breaching, with the rule's missing-data policy.
 
     ``missing``: INSUFFICIENT_DATA when all N periods lack data. ``ignore``: the state stays as it was. Rows per
-    alarm are bounded by its periods, whatever the sample volume was.
+    alarm are bounded by its periods, whatever the sample volume was. ``max_periods`` must cover the largest N.
     """
     rules = alarms.select("alarm_name", "comparison", "threshold", "datapoints", "periods", "missing")
     rows = dense_grid(points).join(rules, "alarm_name", "inner")

@@ -194,10 +194,17 @@ def r05(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("alarm_name", "rule_id", tidy("threshold", 4).alias("threshold"))
 
 
-@query("r05_expand_all_rules")
+@query(
+    "r05_expand_all_rules",
+    f"""WITH {RULES_SQL}, r AS (SELECT *, ({_SERVICE_LIST})[p_partkey % {len(SERVICES)} + 1] AS service, p_size % 4 = 1 AS off, p_size % 3 AS vt FROM part)
+      SELECT rule_id, service, count(*) AS alarms FROM r JOIN rules USING (service)
+      WHERE CASE applies WHEN 'in_use' THEN p_partkey % 2 = 0 WHEN 'own_storage' THEN p_partkey % 5 <> 0 WHEN 'burstable' THEN p_partkey % 3 = 0 ELSE true END
+        AND CASE WHEN kind = 'fixed' THEN true WHEN kind = 'tag' THEN NOT off WHEN kind = 'defined' THEN false WHEN key IN ('search_nodes', 'subnet_use', 'plain_volume_iops') THEN true
+          WHEN key LIKE 'plain_%' THEN vt IN (0, 1) WHEN key IN ('instance_network', 'database_network') THEN NOT off AND p_size % 10 <> 0 ELSE NOT off END GROUP BY 1, 2""",
+)
 def r05_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = al.expand_rules(resources(spark, sf_dir), rule_table(spark))
-    return out.groupBy("rule_id", "service").agg(F.count(F.lit(1)).alias("alarms"), tidy(F.avg("threshold"), 2).alias("threshold"))
+    return out.groupBy("rule_id", "service").agg(F.count(F.lit(1)).alias("alarms"))
 
 
 @query(
