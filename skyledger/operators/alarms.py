@@ -68,7 +68,7 @@ def resolve_definition(resources: DataFrame, definitions: DataFrame, key: str =
         )
     )
     side = resources.select("service", F.col(key).alias("_key"), F.map_concat(values, by_tag).alias("_attributes"))
-    joined = side.join(defs, "service", "inner")
+    joined = join_totals(side, defs, ["service"], "inner")
     value = F.try_element_at("_attributes", F.col("filter_key"))
     hit = F.col("filter_key").isNull() | F.coalesce(F.array_contains("filter_values", value), F.lit(False))
     fields = F.struct("enabled", "threshold", "severity", "category", "plan")

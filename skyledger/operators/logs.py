@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from skyledger.functions import text
 from skyledger.functions.numbers import ratio
 from skyledger.functions.timefns import epoch_millis, warehouse_time
+from skyledger.operators.keyed import join_totals
 
 LINE = "line"
 
@@ -164,7 +165,7 @@ def parse_cdn_by_header(df: DataFrame, path: str = "path") -> DataFrame:
         path, F.split(F.trim(F.regexp_replace(LINE, "^#Fields:", "")), r"\s+").alias("_names")
     )
     headers = header.groupBy(path).agg(F.min("_names").alias("_names"))
-    rows = cdn_lines(df).join(headers, path, "inner").withColumn("_values", F.split(F.trim(F.col(LINE)), r"\s+"))
+    rows = join_totals(cdn_lines(df), headers, [path], "inner").withColumn("_values", F.split(F.trim(F.col(LINE)), r"\s+"))
     n = F.least(F.size("_names"), F.size("_values"))
     fields = F.map_from_arrays(F.slice("_names", F.lit(1), n), F.slice("_values", F.lit(1), n))
     return rows.select(path, fields.alias("fields"))

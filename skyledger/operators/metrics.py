@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions.timefns import floor_epoch
-from skyledger.operators.keyed import carried_lag
+from skyledger.operators.keyed import carried_lag, join_totals
 
 STATS = {"Average": F.avg, "Sum": F.sum, "Minimum": F.min, "Maximum": F.max, "SampleCount": F.count}
 
@@ -99,7 +99,7 @@ def match_left(
 ) -> DataFrame:
     """Many-to-one vector product: values multiply, ``carried`` labels of the one side are copied over."""
     right = one.select(*on, *carried, F.col(value).alias("_factor"))
-    return many.join(right, list(on), "inner").withColumn(value, F.col(value) * F.col("_factor")).drop("_factor")
+    return join_totals(many, right, on, "inner").withColumn(value, F.col(value) * F.col("_factor")).drop("_factor")
 
 
 def metric_math(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skyledger.functions import text
 from skyledger.functions.timefns import usage_day
 from skyledger.operators import metrics as m
+from skyledger.operators.keyed import join_totals
 
 # Label names of the samples and the two driver keys of the node label.
 REGION, CLUSTER = "topology_kubernetes_io_region", "alpha_eksctl_io_cluster_name"
@@ -260,14 +261,14 @@ def named_metrics(samples: DataFrame, cur: DataFrame, namespace: str = "AWS/EC2"
 
     Billing resources without samples would only add rows the dimension test removes again, so this is an inner join.
     """
-    names = cur.groupBy("line_item_resource_id").agg(F.max("resource_tags_user_name").alias("resource_name"))
+    names = cur.groupBy(F.col("line_item_resource_id").alias("resource_id")).agg(F.max("resource_tags_user_name").alias("resource_name"))
     points = (
         samples.where(F.col("namespace") == namespace)
         .select("region", "namespace", "metric_name", "timestamp", "value", F.explode("dimensions").alias("d"))
         .where(F.col("d.dim_name") == dimension)
         .withColumn("resource_id", F.col("d.dim_value"))
     )
-    return points.join(names, points["resource_id"] == names["line_item_resource_id"], "inner").select(
+    return join_totals(points, names, ["resource_id"], "inner").select(
         "region",
         "resource_name",
         "resource_id",
