@@ -184,6 +184,15 @@ def test_hot_key_join_keeps_rows(spark):
     assert out.groupBy("k", "n").count().where("n <> count").count() == 0
 
 
+def test_positions_of_a_large_key(spark):
+    df = spark.range(3000).select((F.col("id") % 50 == 0).cast("int").alias("k"), "id", (F.col("id") % 7).alias("w"))
+    out = keyed.position_before(df, ["k"], ["id"], F.col("w"), "before", F.floor(F.col("id") / 100))
+    seen = {0: 0, 1: 0}
+    for r in out.orderBy("id").collect():
+        assert r.before == seen[r.k]
+        seen[r.k] += r.w
+
+
 def test_delivery_batches(spark):
     sizes = rollup.delivery_batches(spark.range(0, 5001, 1, 3), 500).groupBy("batch").count()
     top = sizes.agg(F.max("count"), F.sum("count")).first()
@@ -234,7 +243,8 @@ def test_month_predicate_prunes(spark, tmp_path):
     writers.write_partitions(df, path, ["year", "month"])
     month = readers.read_partition(spark, path, "2024", "03")
     assert [r.v for r in month.collect()] == [3]
-    assert "PartitionFilters: [isnotnull(year" in plan(month).replace("\n", " ") or "PartitionFilters" in plan(month)
+    pruned = plan(month).split("PartitionFilters: [", 1)[1].split("PushedFilters")[0]
+    assert "year" in pruned and "month" in pruned
 
 
 def test_stream_equals_batch(spark, sf):
