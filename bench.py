@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from skyledger.plans import all_queries  # noqa: E402
-from skyledger.session import build_session  # noqa: E402
+from skyledger.session import build_session, local_scratch  # noqa: E402
 
 HEADLINE = [
     "x01_standardize",
@@ -52,6 +52,7 @@ def main() -> None:
         "bench", f"local[{cpus}]", spark_sql_shuffle_partitions=cpus, spark_driver_memory=os.environ.get("BENCH_MEMORY", "16g")
     )
     spark.sparkContext.setLogLevel("ERROR")
+    local_scratch(spark)
     known = all_queries()
     timings: dict[str, float] = {}
     for name in HEADLINE:

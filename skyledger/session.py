@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -42,16 +44,27 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def local_scratch(spark: SparkSession, folder: str | None = None) -> SparkSession:
+    """Names a scratch folder on a local master where none is set: for tests, the bench and the driver's entry.
+
+    A session that already has ``spark.checkpoint.dir`` is left alone, and so is a cluster, where only the operator
+    of the cluster knows a folder every executor can reach. A folder made here is removed when the process ends.
+    """
+    if spark.conf.get("spark.checkpoint.dir", None) or not spark.sparkContext.master.startswith("local"):
+        return spark
+    if folder is None:
+        folder = tempfile.mkdtemp(prefix="skyledger-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one only on a local master."""
+    """The folder the cluster names in ``spark.checkpoint.dir``; without one there is no place all executors share."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    path = tempfile.mkdtemp(prefix="skyledger-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

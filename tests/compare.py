@@ -68,6 +68,7 @@ def main(argv: list[str]) -> int:
     sf_dir, names = argv[0], argv[1:]
     spark = build_session("compare", os.environ.get("MASTER", "local[8]"), spark_sql_shuffle_partitions="8", spark_driver_memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
+    local_scratch(spark)
     con = connect(sf_dir)
     bad = 0
     for name, q in all_queries().items():

@@ -11,11 +11,12 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from skyledger.session import build_session, prepare
+def spark(tmp_path_factory):
+    from skyledger.session import build_session, local_scratch, prepare
 
     session = build_session("tests", "local[8]", spark_sql_shuffle_partitions="4", spark_driver_memory="6g")
     session.sparkContext.setLogLevel("ERROR")
+    local_scratch(session, str(tmp_path_factory.mktemp("scratch")))
     yield prepare(session)
     session.stop()
 
