@@ -63,7 +63,7 @@ def compare(spark, con, sf_dir: str, query) -> str:
 
 def main(argv: list[str]) -> int:
     from skyledger.plans import all_queries
-    from skyledger.session import build_session
+    from skyledger.session import build_session, local_scratch
 
     sf_dir, names = argv[0], argv[1:]
     spark = build_session("compare", os.environ.get("MASTER", "local[8]"), spark_sql_shuffle_partitions="8", spark_driver_memory="8g")
