@@ -50,18 +50,22 @@ def local_scratch(spark: SparkSession, folder: str | None = None) -> SparkSessio
     A session that already has ``spark.checkpoint.dir`` is left alone, and so is a cluster, where only the operator
     of the cluster knows a folder every executor can reach. A folder made here is removed when the process ends.
     """
-    if spark.conf.get("spark.checkpoint.dir", None) or not spark.sparkContext.master.startswith("local"):
+    if _checkpoint_dir(spark) or not spark.sparkContext.master.startswith("local"):
         return spark
     if folder is None:
         folder = tempfile.mkdtemp(prefix="skyledger-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.sparkContext.setCheckpointDir(folder)
     return spark
 
 
+def _checkpoint_dir(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; without one there is no place all executors share."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = _checkpoint_dir(spark)
     if not configured:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return configured.rstrip("/")
