@@ -46,10 +46,11 @@ def entropy_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, digest and text of the spans of every document."""
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] < 3)
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-        for k, kind in enumerate(secret_scan.KINDS)
-    ]
+
+    def count(k: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+
+    counts = [count(k).alias(f"n_{kind}") for k, kind in enumerate(secret_scan.KINDS)]
     return found.select(
         "doc_id",
         *counts,
