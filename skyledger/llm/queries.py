@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import mixing, packing, secret_scan
+from skyledger.llm import language_id, mixing, packing, pu_quality, secret_scan
 from skyledger.plans.registry import Query
 
 REGISTRY: dict[str, Query] = {}
@@ -57,3 +57,16 @@ def entropy_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
         secret_scan.span_text(F.col("spans")).alias("spans"),
     )
+
+
+@query("op7_language_evidence")
+def language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and posterior of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(language_id.document_evidence(docs), language_id.fit_text_model(docs))
+
+
+@query("op10_pu_quality")
+def pu_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return pu_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
