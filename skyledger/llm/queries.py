@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import language_id, mixing, packing, pu_quality, secret_scan
+from skyledger.llm import cap_filters, language_id, mixing, packing, pu_quality, secret_scan, topk_search
 from skyledger.plans.registry import Query
 
 REGISTRY: dict[str, Query] = {}
@@ -70,3 +70,59 @@ def language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pu_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return pu_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+TOP_K_SQL = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT vec_id, unnest(range(len(v))) AS i, unnest(v) AS x FROM usable
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+  FROM parts q JOIN parts c ON q.i = c.i AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0
+  GROUP BY ALL
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scores
+QUALIFY rank <= 5
+"""
+
+
+@query("op1_pivot_top_k", TOP_K_SQL)
+def pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of every fiftieth vector."""
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+CAP_FILTER_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reached AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION
+  SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a
+), components AS (
+  SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id
+)
+SELECT e.vec_id, count(l.b) AS n_links, any_value(c.component_id) AS component_id,
+       any_value(c.component_id) = e.vec_id AS kept
+FROM embeddings e JOIN components c USING (vec_id) LEFT JOIN links l ON l.a = e.vec_id
+GROUP BY e.vec_id
+"""
+
+
+@query("op5_cap_filter_near_duplicates", CAP_FILTER_SQL)
+def cap_filter_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"))
