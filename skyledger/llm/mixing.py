@@ -9,13 +9,15 @@ look their slot up by number. When a source runs out, the others go on under the
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from skyledger.llm.common import stored
+
 OTHER = "*"
 
 
@@ -95,11 +97,14 @@ def mix(
     docs: DataFrame,
     shares: Mapping[str, int],
     block_chars: int = 65_536,
-    bucket_rows: int = 20_000,
+    bucket_rows: int = 4096,
     seed: int = 42,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Rows (doc_id, source_group, block, slot, position) for every row of ``docs`` with doc_id, source and text.
 
+    Columns of ``docs`` named in ``keep`` come with them, as one struct column ``kept``.
+
     ``shares`` gives positive integers by source; sources without one, and null sources, form the group ``*``, which
     needs a share too (1 if absent). A document belongs to the block its first character falls into, and weighs its
     characters, one at least; a null text weighs one. ``slot`` is the turn of the block, ``position`` orders documents
@@ -117,6 +122,7 @@ def mix(
         F.when(F.col("source").isin(named), F.col("source")).otherwise(F.lit(OTHER)).alias("source_group"),
         F.greatest(F.coalesce(F.length("text"), F.lit(0)), F.lit(1)).cast("long").alias("_chars"),
         F.coalesce(F.col("source"), F.lit("")).alias("_source"),
+        *([F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept")] if keep else []),
     ).withColumn("_order", F.xxhash64("doc_id", "_chars", "_source", F.lit(seed)))
     sized = rows.groupBy("source_group").agg(F.count(F.lit(1)).alias("rows")).collect()  # one row per share
     most = max((r["rows"] for r in sized), default=1)
@@ -127,7 +133,8 @@ def mix(
     rows = rows.withColumn("_bucket", bucket)
     totals = rows.groupBy("source_group", "_bucket").agg(F.sum("_chars").alias("_sum"))
     before = Window.partitionBy("source_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_offset", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
+    # stored, or the rows would follow this table's partitioning and bring a whole source together
+    offsets = stored(totals.withColumn("_offset", F.coalesce(F.sum("_sum").over(before), F.lit(0))), "offsets")
     last = offsets.groupBy("source_group").agg(F.max(F.col("_offset") + F.col("_sum")).alias("chars")).collect()
     plan = phases({r["source_group"]: -(-r["chars"] // block_chars) for r in last}, weights)
     inside = (
@@ -140,5 +147,5 @@ def mix(
         .join(offsets.drop("_sum"), ["source_group", "_bucket"])
         .withColumn("position", F.col("_offset") + F.col("_inside"))
         .withColumn("block", F.floor(F.col("position") / block_chars))
-        .select("doc_id", "source_group", "block", _slot(F.col("source_group"), F.col("block"), plan).alias("slot"), "position")
+        .select("doc_id", "source_group", "block", _slot(F.col("source_group"), F.col("block"), plan).alias("slot"), "position", *(["kept"] if keep else []))
     )

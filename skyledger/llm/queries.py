@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import cap_filters, language_id, mixing, packing, pu_quality, secret_scan, topk_search
+from skyledger.llm import cap_filters, language_id, mixing, packing, prob_minhash, pu_quality, secret_scan, topk_search
 from skyledger.plans.registry import Query
 
 REGISTRY: dict[str, Query] = {}
@@ -126,3 +126,9 @@ GROUP BY e.vec_id
 def cap_filter_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector."""
     return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op9_prob_minhash")
+def prob_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near copies of every document."""
+    return prob_minhash.near_duplicates(table(spark, sf_dir, "documents"))
