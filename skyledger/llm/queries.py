@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import cap_filters, language_id, mixing, packing, prob_minhash, pu_quality, secret_scan, suffix_dedup, topk_search
+from skyledger.llm import cap_filters, fuzzy_passages, language_id, mixing, packing, prob_minhash, pu_quality, secret_scan, suffix_dedup, topk_search
 from skyledger.plans.registry import Query
 
 REGISTRY: dict[str, Query] = {}
@@ -139,3 +139,9 @@ def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What repeats within 100 bytes and is removed from every document, with a digest of the rest."""
     done = suffix_dedup.deduplicate(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op4_collinear_chaining")
+def collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages that every document shares with an earlier one."""
+    return fuzzy_passages.shared_passages(table(spark, sf_dir, "documents"))
