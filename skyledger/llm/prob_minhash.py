@@ -24,6 +24,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 TASK_PAIRS = 1500
+CHUNK, TASK_ROWS, COLUMNS = 512, 2000, 4096
 
 
 def shingles(values: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -191,6 +192,124 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return dealt.unionByName(heads).groupBy("task").applyInArrow(verify, "a long, b long")
 
 
+def _similar(sets: list[tuple[np.ndarray, np.ndarray]], asked: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Pairs of ``asked``, a square matrix of which the upper half counts, that are similar; enough of them to connect all such.
+
+    No similarity exceeds the share of either text's shingles, by weight, that the other one has. These shares come from
+    products of matrices; only pairs above the bound that nothing connects yet are looked at one by one.
+    """
+    n = len(sets)
+    code = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True)[1]
+    sizes = np.array([len(h) for h, _ in sets])
+    row = np.repeat(np.arange(n), sizes)
+    weight = np.concatenate([w for _, w in sets]).astype(np.float64)
+    total = np.bincount(row, weight, n)
+    often = np.bincount(code)[code] > 1
+    row, share = row[often], (weight / total[row])[often].astype(np.float32)
+    code = np.unique(code[often], return_inverse=True)[1] if often.any() else code[often]
+    order = np.argsort(code, kind="stable")
+    row, code, share = row[order], code[order], share[order]
+    common = np.zeros((n, n), np.float32)
+    for low in range(0, int(code.max()) + 1 if len(code) else 0, COLUMNS):
+        a, b = np.searchsorted(code, [low, low + COLUMNS])
+        has = np.zeros((n, COLUMNS), np.float32)
+        mass = np.zeros((n, COLUMNS), np.float32)
+        has[row[a:b], code[a:b] - low] = 1
+        mass[row[a:b], code[a:b] - low] = share[a:b]
+        common += mass @ has.T
+    left, right = np.nonzero(np.triu(asked, 1) & (np.minimum(common, common.T) >= similarity - 1e-4))
+    order = np.argsort(-(common[left, right] + common[right, left]), kind="stable")
+    root, found = list(range(n)), []
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, j in zip(left[order].tolist(), right[order].tolist(), strict=True):
+        if top(i) != top(j) and probability_jaccard(sets[i], sets[j]) >= similarity:
+            root[top(i)] = top(j)
+            found.append((i, j))
+    return found
+
+
+def _linked_apart(placed: DataFrame, signed: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between members (key, rep, component) of a bucket that are in different components.
+
+    The members of a bucket's largest component need no comparison with each other. They and the rest are cut into
+    chunks, and chunks are compared in pairs: a large bucket that hangs together but for a few costs each member once
+    per chunk of those few. A pair is looked at in the first band that both share.
+    """
+    per = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = (
+        per.groupBy("key")
+        .agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("most"))
+        .where(F.col("n") > F.col("most"))
+        .select("key", "main", F.ceil(F.col("most") / CHUNK).cast("int").alias("_mains"), F.ceil((F.col("n") - F.col("most")) / CHUNK).cast("int").alias("_others"))
+    )
+    loose = join_totals(placed, stored(sizes, "sizes"), ["key"], "inner")
+    is_main = F.col("component") == F.col("main")
+    own = F.pmod(F.xxhash64("rep"), F.when(is_main, F.col("_mains")).otherwise(F.col("_others"))).cast("int")
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    cell = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    cells = F.when(is_main, F.transform(upto("_others"), lambda j: cell(0, F.col("chunk"), j))).otherwise(
+        F.concat(
+            F.transform(upto("_mains"), lambda i: cell(0, i, F.col("chunk"))),
+            F.transform(upto("_others"), lambda j: cell(1, F.least(j, F.col("chunk")), F.greatest(j, F.col("chunk")))),
+        )
+    )
+    dealt = stored(
+        loose.withColumn("chunk", own).select("key", F.col("rep").alias("doc_id"), "component", is_main.alias("main"), "chunk", F.explode(cells).alias("cell")),
+        "loose",
+    )
+    keys = signed.where(F.size("keys") > 0).groupBy("doc_id").agg(F.min("keys").alias("keys"))
+    asked = dealt.select("doc_id").distinct()
+    payload = stored(texts.join(asked, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("packed").alias("packed")).join(keys, "doc_id"), "payload")
+    tasks = max(1, -(-dealt.count() // TASK_ROWS))
+    rows = dealt.join(payload, "doc_id").withColumn("task", F.pmod(F.xxhash64("key", "cell"), F.lit(tasks)))
+
+    def compare(table: pa.Table) -> pa.Table:
+        unpack = zstandard.ZstdDecompressor().decompress
+        key, doc, component = (table.column(c).to_numpy() for c in ("key", "doc_id", "component"))
+        main, chunk = (table.column(c).to_numpy(zero_copy_only=False) for c in ("main", "chunk"))
+        kind, i, j = (table.column(c).to_numpy() for c in ("kind", "i", "j"))
+        all_keys = table.column("keys").combine_chunks()
+        all_keys = all_keys.flatten().to_numpy().reshape(len(doc), -1)
+        packed = table.column("packed")
+        order = np.lexsort((doc, j, i, kind, key))
+        fresh = np.zeros(len(order), bool)
+        for c in (key, kind, i, j):
+            fresh[1:] |= c[order][1:] != c[order][:-1]
+        out = [[], []]
+        for own in np.split(order, np.flatnonzero(fresh)):
+            k, c, of = all_keys[own], component[own], doc[own]
+            asked = c[:, None] != c[None, :]
+            if kind[own[0]] == 0:
+                asked &= main[own][:, None] != main[own][None, :]
+            elif i[own[0]] != j[own[0]]:
+                asked &= chunk[own][:, None] != chunk[own][None, :]
+            if not asked.any():
+                continue
+            # the first band that both share is the bucket's
+            band = int((k[0] == key[own[0]]).argmax())
+            for earlier in range(band):
+                asked &= k[:, earlier][:, None] != k[:, earlier][None, :]
+            some = np.flatnonzero(asked.any(axis=1))
+            if not len(some):
+                continue
+            text = pa.array([unpack(packed[int(own[x])].as_py()) for x in some], pa.binary()).cast(pa.string())
+            hashed, weight, bounds, _ = shingles(text)
+            sets = [(hashed[s:e], weight[s:e]) for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
+            for x, y in _similar(sets, asked[np.ix_(some, some)], similarity):
+                out[0].append(of[some[x]])
+                out[1].append(of[some[y]])
+        return pa.table([pa.array(x, pa.int64()) for x in out], names=["a", "b"])
+
+    columns = ["task", "key", "doc_id", "component", "main", "chunk", "cell.kind", "cell.i", "cell.j", "keys", "packed"]
+    return rows.select(*columns).groupBy("task").applyInArrow(compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Rows (doc_id, class_id, kept), one per row of ``docs`` (doc_id, text): the smallest doc_id of its group.
 
@@ -200,8 +319,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     A row without doc_id has no class, teaches nothing and is kept. Other columns are ignored.
 
     Texts of equal words are one class before anything is compared. Where a band's bucket has several classes, each is
-    compared with the smallest; then classes of a bucket that do not yet hang together are compared pair by pair, so no
-    link is lost to the choice of the first one.
+    compared with the smallest; then members of a bucket that do not yet hang together are compared block by block, so
+    no link is lost to the choice of the first one, and no table of pairs is made.
     """
     signed = stored(signature_rows(docs, bands, rows), "signatures")
     lettered = signed.where(F.col("doc_id").isNotNull() & (F.size("keys") > 0))
@@ -224,16 +343,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
         shared.join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left")
         .select("key", "rep", F.coalesce("component", "rep").alias("component"))
     )
-    apart = placed.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where(F.col("_low") < F.col("_high"))
-    loose = stored(join_totals(placed, apart.select("key"), ["key"], "inner"), "loose")
-    cross = (
-        loose.alias("x")
-        .join(loose.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & (F.col("x.rep") < F.col("y.rep")))
-        .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-        .distinct()
-        .join(star, ["a", "b"], "left_anti")
-    )
-    more = _verified(stored(cross, "pairs"), texts, similarity)
+    more = stored(_linked_apart(placed, signed, texts, similarity), "links")
     groups = connected_components(links.unionByName(more))
     per_class = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
         "k1", "k2", F.coalesce("component", "rep").alias("class_id"), F.lit(True).alias("_lettered")
