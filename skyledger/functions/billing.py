@@ -16,8 +16,8 @@ from skyledger.functions.numbers import ratio, text_number
 # Instance-family patterns (narrow: one letter before the generation digit; wide: up to three).
 FAMILY_NARROW = r"([a-z][1-9].{0,1})\."
 FAMILY_WIDE = r"([a-z]{1,3}[1-9].{0,2})\."
-# Fixed value: memory written as text in GiB.
-MEMORY_TEXT = r"([\.|0-9]{1,6}) GiB"
+# Memory written as text in GiB: a whole number of any length, with thousands commas or a fraction.
+MEMORY_TEXT = r"^\s*([0-9][0-9,]*(?:\.[0-9]+)?|\.[0-9]+) GiB"
 
 
 @dataclass(frozen=True)
@@ -128,7 +128,8 @@ def gpu_hours(profile: Profile = MONTHLY, exact: bool = True) -> Column:
 
 
 def memory_hours(profile: Profile = MONTHLY, exact: bool = True) -> Column:
-    from_text = text_number(F.regexp_extract("product_memory", MEMORY_TEXT, 1), exact=exact)
+    digits = F.replace(F.regexp_extract("product_memory", MEMORY_TEXT, 1), F.lit(","), F.lit(""))
+    from_text = text_number(digits, exact=exact)
     from_number = text_number(F.col("product_memory_gib"), exact=exact)
     return _capacity(F.coalesce(from_text, from_number), profile)
 

@@ -16,7 +16,6 @@ from skyledger.functions.capacity import (
 )
 from skyledger.functions.timefns import floor_epoch
 from skyledger.operators.keyed import join_totals
-from skyledger.plans.catalogue import MAX_METRICS, MAX_PERIODS
 
 RESOURCE_SCHEMA = (
     "service string, resource_id string, sub_id string, tags array<struct<key:string,value:string>>, state string, "
@@ -60,19 +59,20 @@ def resolve_definition(resources: DataFrame, definitions: DataFrame, key: str =
     """
     defs = definitions.withColumn("filter_no", F.coalesce("filter_no", F.lit(2147483647)))
     attributes = [c for c, t in resources.dtypes if t == "string"]
-    values = F.create_map(*[x for c in attributes for x in (F.lit(c), F.col(c))])
-    by_tag = F.map_from_entries(
-        F.transform(
-            F.coalesce("tags", F.array().cast("array<struct<key:string,value:string>>")),
-            lambda t: F.struct(F.concat(F.lit("tag:"), t["key"]).alias("k"), t["value"].alias("v")),
-        )
+    own = F.array(*[F.struct(F.lit(c).alias("filter_key"), F.col(c).alias("filter_value")) for c in attributes])
+    by_tag = F.transform(
+        F.coalesce("tags", F.array().cast("array<struct<key:string,value:string>>")),
+        lambda t: F.struct(F.concat(F.lit("tag:"), t["key"]).alias("filter_key"), t["value"].alias("filter_value")),
     )
-    side = resources.select("service", F.col(key).alias("_key"), F.map_concat(values, by_tag).alias("_attributes"))
-    joined = join_totals(side, defs, ["service"], "inner")
-    value = F.try_element_at("_attributes", F.col("filter_key"))
-    hit = F.col("filter_key").isNull() | F.coalesce(F.array_contains("filter_values", value), F.lit(False))
+    side = resources.select("service", F.col(key).alias("_key"), F.concat(own, by_tag).alias("_attributes"))
+    # A filter meets only the resources that have its value; the default meets all of its service.
+    filters = defs.where(F.col("filter_key").isNotNull()).withColumn("filter_value", F.explode("filter_values")).drop("filter_values")
+    entries = side.select("service", "_key", F.explode("_attributes").alias("_a")).select("service", "_key", "_a.*").distinct()
+    found = entries.join(filters, ["service", "filter_key", "filter_value"]).drop("filter_value")
+    defaults = join_totals(side.drop("_attributes"), defs.where(F.col("filter_key").isNull()).drop("filter_values"), ["service"], "inner")
+    joined = found.unionByName(defaults)
     fields = F.struct("enabled", "threshold", "severity", "category", "plan")
-    best = joined.where(hit).groupBy("service", "_key", "metric").agg(F.min_by(fields, F.col("filter_no")).alias("_d"))
+    best = joined.groupBy("service", "_key", "metric").agg(F.min_by(fields, F.col("filter_no")).alias("_d"))
     return (
         best.select("service", F.col("_key").alias(key), "metric", "_d.*").where(F.col("enabled")).drop("enabled")
     )
@@ -100,13 +100,13 @@ def _applies() -> Column:
 def expand_rules(resources: DataFrame, rules: DataFrame, definitions: DataFrame | None = None) -> DataFrame:
     """Desired alarms: every rule of the resource's service that applies and has a threshold.
 
-    The rule table is the fixed catalogue (under a hundred rows), hence the broadcast.
+    The rule table is small; adaptive execution broadcasts it when its size allows.
     """
     known = capacity_limits(F.col("_tagged"), F.col("_off"))
     limits = F.create_map(*[x for n, c in known.items() for x in (F.lit(n), c.cast("double"))])
     read = as_resources(resources).select("*", tag_thresholds().alias("_tagged"), alarms_disabled().alias("_off"))
     prepared = read.withColumn("_limits", limits)
-    rows = prepared.join(F.broadcast(rules), "service", "inner").where(_applies())
+    rows = prepared.join(rules, "service", "inner").where(_applies())
     if definitions is not None:
         resolved = resolve_definition(as_resources(resources), definitions).select(
             "service", "resource_id", F.col("metric").alias("threshold_key"), F.col("threshold").alias("_defined")
@@ -114,7 +114,7 @@ def expand_rules(resources: DataFrame, rules: DataFrame, definitions: DataFrame
         rows = rows.join(resolved.distinct(), ["service", "resource_id", "threshold_key"], "left")
     else:
         rows = rows.withColumn("_defined", F.lit(None).cast("double"))
-    per_cpu = F.when(F.col("rule_id") == "AC56", F.col("vcpus").cast("double")).otherwise(F.lit(1.0))
+    per_cpu = F.when(F.col("per_vcpu"), F.col("vcpus").cast("double")).otherwise(F.lit(1.0))
     threshold = (
         F.when(F.col("threshold_kind") == "fixed", F.col("threshold_value"))
         .when(
@@ -158,6 +158,13 @@ def reconcile(desired: DataFrame, existing: DataFrame, prefixes: Sequence[str] =
     return both.select("alarm_name", action.otherwise(F.lit("keep")).alias("action"))
 
 
+def plan_text(plan: DataFrame) -> DataFrame:
+    """The plan as lines of text, one per alarm to create or delete."""
+    return plan.where(F.col("action") != "keep").select(
+        "alarm_name", "action", F.concat(F.initcap("action"), F.lit(" alarm "), F.col("alarm_name")).alias("line")
+    )
+
+
 def plan_summary(plan: DataFrame) -> DataFrame:
     """Number of alarms per action."""
     return plan.groupBy("action").agg(F.count(F.lit(1)).alias("alarms"))
@@ -193,25 +200,37 @@ def alarm_points(samples: DataFrame, alarms: DataFrame) -> DataFrame:
         .alias("value")
     )
     wide = per_metric.groupBy("alarm_name", "resource_id", "period", "expression", "period_start").agg(
-        *[F.max(F.when(F.col("_position") == i, F.col("value"))).alias(f"m{i + 1}") for i in range(MAX_METRICS)]
+        F.map_from_entries(F.collect_list(F.struct(F.col("_position") + 1, "value"))).alias("_m")
     )
+    counts = alarms.select("alarm_name", F.size("metrics").alias("_metrics")).distinct()
+    wide = join_totals(wide, counts, ["alarm_name"], "inner")
     return wide.withColumn("value", _expression()).select("alarm_name", "resource_id", "period", "period_start", "value")
 
 
+def _total(positions: Column) -> Column:
+    """Sum of the metrics at these positions; NULL when one of them is absent."""
+    return F.aggregate(positions, F.lit(0.0), lambda a, i: a + F.try_element_at(F.col("_m"), i))
+
+
 def _expression() -> Column:
-    m1, m2, m3, m4, m5 = (F.col(f"m{i}") for i in range(1, 6))
+    """Value of ``expression`` over the period's metrics ``_m`` (position -> value).
+
+    Any sum of metrics ``m1+m2+...`` is read, however many there are, alone or per second; an expression that is
+    neither a sum nor in the table is an error, not a NULL.
+    """
+    m1, m2, m3 = (F.try_element_at(F.col("_m"), F.lit(i)) for i in (1, 2, 3))
     period = F.col("period").cast("double")
     hundred = F.lit(100.0)
     w = Window.partitionBy("alarm_name").orderBy("period_start")
-    total = m1 + m2 + m3 + m4 + m5
+    total = _total(F.sequence(F.lit(1), F.col("_metrics")))
     seconds = (F.col("period_start") - F.lag("period_start").over(w)).cast("double")
+    text = F.col("expression")
+    sum_text = F.regexp_extract(text, r"^\(?(m\d+(?:\+m\d+)*)\)?(?:/PERIOD)?$", 1)
+    terms = F.transform(F.split(F.replace(sum_text, F.lit("m"), F.lit("")), r"\+"), lambda i: i.try_cast("int"))
+    plain_sum = F.when(text.endswith("/PERIOD"), _total(terms) / period).otherwise(_total(terms))
     table = {
-        "m1": m1,
         "m1/m2*100": F.try_divide(m1, m2) * hundred,
-        "(m1+m2)/PERIOD": (m1 + m2) / period,
         "(m1+m2)*8/PERIOD": (m1 + m2) * F.lit(8.0) / period,
-        "m1+m2": m1 + m2,
-        "m1+m2+m3+m4": m1 + m2 + m3 + m4,
         "MAX(m1,m2)": F.greatest(m1, m2),
         "MAX(m1,m2)/PERIOD": F.greatest(m1, m2) / period,
         "DIFF(m1)": m1 - F.lag(m1).over(w),
@@ -221,11 +240,10 @@ def _expression() -> Column:
         "m1*(100-m2)/100*8/PERIOD": m1 * (hundred - m2) / hundred * F.lit(8.0) / period,
         "LAG1/LAG2-1": F.try_divide(F.lag(m1, 1).over(w), F.lag(m1, 2).over(w)) - F.lit(1.0),
     }
-    chain = None
+    chain = F.when(sum_text != "", plain_sum)
     for name, value in table.items():
-        test = F.col("expression") == name
-        chain = F.when(test, value) if chain is None else chain.when(test, value)
-    return chain
+        chain = chain.when(text == name, value)
+    return chain.otherwise(F.raise_error(F.concat(F.lit("unknown alarm expression: "), text)).cast("double"))
 
 
 def breaching(value: Column, comparison: Column, threshold: Column) -> Column:
@@ -237,38 +255,61 @@ def breaching(value: Column, comparison: Column, threshold: Column) -> Column:
     )
 
 
-def dense_grid(points: DataFrame, key: str = "alarm_name") -> DataFrame:
-    """One row per key and period between its first and last point; absent periods have a NULL value."""
+def dense_grid(
+    points: DataFrame, key: str = "alarm_name", keys: DataFrame | None = None, start: int | None = None, as_of: int | None = None
+) -> DataFrame:
+    """One row per key and period; absent periods have a NULL value.
+
+    Without more, a key's grid runs from its first to its last point. ``start`` and ``as_of`` (epoch seconds) move
+    either end for all keys; ``keys`` (key, period) adds keys that have no point, from ``start`` or else in the period
+    of ``as_of`` alone. Without ``as_of`` nothing is known of such keys.
+    """
     extent = points.groupBy(key).agg(
         F.min("period_start").alias("_from"), F.max("period_start").alias("_to"), F.max("period").cast("long").alias("period")
     )
-    grid = extent.select(key, "period", F.explode(F.sequence("_from", "_to", "period")).alias("period_start"))
+    if keys is not None and as_of is not None:
+        named = keys.select(key, F.col("period").cast("long").alias("_period")).distinct()
+        extent = named.join(extent, key, "left").withColumn("period", F.coalesce("period", "_period"))
+    floor = lambda at: (F.lit(at) - F.pmod(F.lit(at), F.col("period"))).cast("long")
+    last = floor(as_of) if as_of is not None else F.col("_to")
+    first = floor(start) if start is not None else F.coalesce("_from", last)
+    grid = (
+        extent.withColumn("_first", first).withColumn("_last", last).where(F.col("_first") <= F.col("_last"))
+        .select(key, "period", F.explode(F.sequence("_first", "_last", "period")).alias("period_start"))
+    )
     return grid.join(points.select(key, "period_start", "value"), [key, "period_start"], "left")
 
 
-def evaluate_alarms(points: DataFrame, alarms: DataFrame, max_periods: int = MAX_PERIODS) -> DataFrame:
+def evaluate_alarms(points: DataFrame, alarms: DataFrame, start: int | None = None, as_of: int | None = None) -> DataFrame:
     """State per alarm and period: M of the last N periods breaching, with the rule's missing-data policy.
 
-    ``missing``: INSUFFICIENT_DATA when all N periods lack data. ``ignore``: the state stays as it was. Rows per
-    alarm are bounded by its periods, whatever the sample volume was. ``max_periods`` must cover the largest N.
+    ``missing``: INSUFFICIENT_DATA when all N periods lack data. ``ignore``: the state stays as it was. With ``as_of``
+    every alarm is judged up to that time, those without any sample and those whose metric stopped included. Rows per
+    alarm are bounded by its periods, whatever the sample volume was; N may be any number, as the counts of the last N
+    periods are differences of running sums.
     """
     rules = alarms.select("alarm_name", "comparison", "threshold", "datapoints", "periods", "missing")
-    rows = dense_grid(points).join(rules, "alarm_name", "inner")
-    rows = rows.withColumn("_breach", breaching(F.col("value"), F.col("comparison"), F.col("threshold")).cast("int"))
+    rows = dense_grid(points, keys=alarms, start=start, as_of=as_of).join(rules, "alarm_name", "inner")
+    breach = breaching(F.col("value"), F.col("comparison"), F.col("threshold")).cast("int")
     w = Window.partitionBy("alarm_name").orderBy("period_start")
-    breaches = present = F.lit(0)
-    for back in range(max_periods):
-        within = F.col("periods") > back
-        seen = F.col("_breach") if back == 0 else F.lag("_breach", back).over(w)
-        breaches = breaches + F.when(within, F.coalesce(seen, F.lit(0))).otherwise(F.lit(0))
-        present = present + F.when(within & seen.isNotNull(), F.lit(1)).otherwise(F.lit(0))
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    rows = (
+        rows.withColumn("_breach", breach)
+        .withColumn("_breaches", F.coalesce(F.sum("_breach").over(so_far), F.lit(0)))
+        .withColumn("_present", F.count("_breach").over(so_far))
+    )
+    earlier = rows.select(
+        "alarm_name", (F.col("period_start") + F.col("periods") * F.col("period")).alias("period_start"),
+        F.col("_breaches").alias("_old_breaches"), F.col("_present").alias("_old_present"),
+    )
+    rows = rows.join(earlier, ["alarm_name", "period_start"], "left")
     known = F.when(F.col("breaches") >= F.col("datapoints"), F.lit("ALARM")).when(F.col("present") > 0, F.lit("OK"))
-    kept = F.last("_known", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    kept = F.last("_known", ignorenulls=True).over(so_far)
     none = F.lit("INSUFFICIENT_DATA")
     state = F.when(F.col("missing") == "ignore", F.coalesce(kept, none)).otherwise(F.coalesce("_known", none))
     return (
-        rows.withColumn("breaches", breaches)
-        .withColumn("present", present)
+        rows.withColumn("breaches", (F.col("_breaches") - F.coalesce("_old_breaches", F.lit(0))).cast("int"))
+        .withColumn("present", (F.col("_present") - F.coalesce("_old_present", F.lit(0))).cast("int"))
         .withColumn("_known", known)
         .withColumn("state", state)
         .withColumn("previous_state", F.lag("state").over(w))

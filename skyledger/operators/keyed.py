@@ -17,22 +17,36 @@ def blank_strings(df: DataFrame) -> DataFrame:
 
 
 def _row_salt(df: DataFrame, keys: Sequence[str], salts: int) -> Column:
+    """Salt from the row and the partition it is in: equal rows of a key spread too, a repeated task gives the same."""
     atomic = [n for n, t in df.dtypes if n not in keys and not t.startswith(("map", "array", "struct", "variant"))]
-    return F.pmod(F.xxhash64(*[F.col(f"`{n}`") for n in (atomic or list(keys))]), F.lit(salts)).cast("int")
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(f"`{n}`") for n in atomic]), F.lit(salts)).cast("int")
+
+
+def join_null_safe(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join on ``keys`` where NULL equals NULL, as grouping and windows have it; the keys come from ``df``."""
+    named = {k: f"_key_{i}" for i, k in enumerate(keys)}
+    right = other.select(*[F.col(f"`{k}`").alias(n) for k, n in named.items()], *[f"`{c}`" for c in other.columns if c not in named])
+    same = F.lit(True)
+    for k, n in named.items():
+        same = same & df[f"`{k}`"].eqNullSafe(right[n])
+    return df.join(right, same, how).drop(*named.values())
 
 
 def join_totals(
-    df: DataFrame, totals: DataFrame, keys: Sequence[str], how: str = "left", salts: int = DEFAULT_SALTS
+    df: DataFrame, totals: DataFrame, keys: Sequence[str], how: str = "left", salts: int = DEFAULT_SALTS, null_safe: bool = False
 ) -> DataFrame:
     """Attach one-row-per-key ``totals`` to ``df`` without sending a hot key to one task.
 
-    The salt is a hash of the row, so recomputed tasks place rows exactly as before. ``totals`` is already
-    aggregated, so its ``salts`` copies stay small; adaptive execution broadcasts it when its measured size allows.
+    The salt is a hash of the row and its partition, so recomputed tasks place rows exactly as before. ``totals`` is
+    already aggregated, so its ``salts`` copies stay small; adaptive execution broadcasts it when its measured size
+    allows. With ``null_safe`` a NULL key meets the NULL key of ``totals``.
     """
     if salts <= 1:
-        return df.join(totals, list(keys), how)
+        return join_null_safe(df, totals, keys, how) if null_safe else df.join(totals, list(keys), how)
     copies = totals.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return df.withColumn(SALT, _row_salt(df, keys, salts)).join(copies, [*keys, SALT], how).drop(SALT)
+    salted = df.withColumn(SALT, _row_salt(df, keys, salts))
+    joined = join_null_safe(salted, copies, [*keys, SALT], how) if null_safe else salted.join(copies, [*keys, SALT], how)
+    return joined.drop(SALT)
 
 
 def mark_members(df: DataFrame, members: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
@@ -44,7 +58,7 @@ def mark_members(df: DataFrame, members: DataFrame, keys: Sequence[str], flag: s
 def share_of_total(df: DataFrame, keys: Sequence[str], measures: dict[str, str]) -> DataFrame:
     """``measures`` maps a numeric column to the name of its share within the key."""
     totals = df.groupBy(*keys).agg(*[F.sum(m).alias(f"_total_{m}") for m in measures])
-    out = join_totals(df, totals, keys)
+    out = join_totals(df, totals, keys, null_safe=True)
     for measure, share in measures.items():
         out = out.withColumn(share, F.try_divide(F.col(measure).cast("double"), F.col(f"_total_{measure}")))
     return out.drop(*[f"_total_{m}" for m in measures])
@@ -53,7 +67,7 @@ def share_of_total(df: DataFrame, keys: Sequence[str], measures: dict[str, str])
 def keep_greatest(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
     """Rows whose ``by`` equals the greatest value of their key, ties included (rank = 1, descending)."""
     best = df.groupBy(*keys).agg(F.max(by).alias("_best"))
-    return join_totals(df, best, keys, "inner").where(F.col(by).eqNullSafe(F.col("_best"))).drop("_best")
+    return join_totals(df, best, keys, "inner", null_safe=True).where(F.col(by).eqNullSafe(F.col("_best"))).drop("_best")
 
 
 def carried_lag(
@@ -77,9 +91,9 @@ def carried_lag(
         "_carried", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket"))
     ).drop("_last")
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    lagged = rows.withColumn("_inside", F.lag(F.struct(F.col(value).alias("v"))).over(inside))
     return (
-        rows.withColumn("_inside", F.lag(F.struct(F.col(value).alias("v"))).over(inside))
-        .join(carried, [*keys, "_bucket"], "left")
+        join_null_safe(lagged, carried, [*keys, "_bucket"], "left")
         .withColumn(out, F.coalesce("_inside", "_carried")["v"])
         .drop("_bucket", "_inside", "_carried")
     )
@@ -98,9 +112,9 @@ def position_before(
     earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.withColumn("_offset", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))).drop("_sum")
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("_inside", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
     return (
-        rows.withColumn("_inside", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
-        .join(offsets, [*keys, "_bucket"], "left")
+        join_null_safe(placed, offsets, [*keys, "_bucket"], "left")
         .withColumn(out, F.col("_offset") + F.col("_inside"))
         .drop("_bucket", "_weight", "_inside", "_offset")
     )

@@ -97,9 +97,30 @@ def aggregate_by(points: DataFrame, labels: Sequence[str], how: str, value: str
 def match_left(
     many: DataFrame, one: DataFrame, on: Sequence[str], carried: Sequence[str] = (), value: str = "value"
 ) -> DataFrame:
-    """Many-to-one vector product: values multiply, ``carried`` labels of the one side are copied over."""
-    right = one.select(*on, *carried, F.col(value).alias("_factor"))
-    return join_totals(many, right, on, "inner").withColumn(value, F.col(value) * F.col("_factor")).drop("_factor")
+    """Many-to-one vector product: values multiply, ``carried`` labels of the one side are copied over.
+
+    Where the one side has several rows for a key, the one with the greatest value (then labels) is the partner, so a
+    row of the many side never counts twice.
+    """
+    right = one.groupBy(*on).agg(F.max(F.struct(F.col(value).alias("v"), *carried)).alias("_partner"))
+    joined = join_totals(many, right, on, "inner").withColumn(value, F.col(value) * F.col("_partner.v"))
+    return joined.select(*many.columns, *[F.col(f"_partner.{c}").alias(c) for c in carried])
+
+
+def match_named(
+    many: DataFrame, one: DataFrame, on: Sequence[str], scope: str, carried: Sequence[str] = (), value: str = "value"
+) -> DataFrame:
+    """``match_left`` within a scope such as a namespace: names repeat across scopes.
+
+    A row of the one side with a blank ``scope`` serves every scope that has no row of its own.
+    """
+    best = one.groupBy(*on, scope).agg(F.max(F.struct(F.col(value).alias("v"), *carried)).alias("_p"))
+    by_scope = best.groupBy(*on).agg(F.map_from_entries(F.collect_list(F.struct(scope, "_p"))).alias("_scopes"))
+    joined = join_totals(many, by_scope, on, "inner")
+    partner = F.coalesce(F.try_element_at("_scopes", F.col(scope)), F.try_element_at("_scopes", F.lit("")))
+    joined = joined.withColumn("_partner", partner).where(F.col("_partner").isNotNull())
+    joined = joined.withColumn(value, F.col(value) * F.col("_partner.v"))
+    return joined.select(*many.columns, *[F.col(f"_partner.{c}").alias(c) for c in carried])
 
 
 def metric_math(

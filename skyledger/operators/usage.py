@@ -52,21 +52,21 @@ def _pod_rows(samples: DataFrame, metric: str, with_image: bool) -> DataFrame:
 
 
 def pod_apps(samples: DataFrame) -> DataFrame:
-    """Application label per pod and day, weight 1 where the pod's label series exists."""
+    """Application label per namespace, pod and day, weight 1 where the pod's label series exists."""
     rows = samples.where(F.col("metric") == "kube_pod_labels").select(
+        _label("namespace").alias("namespace"),
         _label("pod").alias("pod"),
         text.first_label("labels", *APP_LABELS).alias("app"),
         F.col("value"),
         m.floor_epoch("epoch", 86400).alias("day_start"),
     )
-    return rows.groupBy("pod", "app", "day_start").agg(F.avg("value").alias("value"))
+    return rows.groupBy("namespace", "pod", "app", "day_start").agg(F.avg("value").alias("value"))
 
 
 def pods_off_host_network(samples: DataFrame) -> DataFrame:
     rows = samples.where((F.col("metric") == "kube_pod_info") & (_label("host_network") == "false"))
-    return rows.groupBy(_label("pod").alias("pod"), m.floor_epoch("epoch", 86400).alias("day_start")).agg(
-        F.avg("value").alias("value")
-    )
+    keys = [_label("namespace").alias("namespace"), _label("pod").alias("pod"), m.floor_epoch("epoch", 86400).alias("day_start")]
+    return rows.groupBy(*keys).agg(F.avg("value").alias("value"))
 
 
 def _daily_pod_metric(samples: DataFrame, kind: str, apps: DataFrame, off_host: DataFrame) -> DataFrame:
@@ -79,8 +79,8 @@ def _daily_pod_metric(samples: DataFrame, kind: str, apps: DataFrame, off_host:
     daily = m.sum_by_day(hourly, series, column)
     by_pod = daily.groupBy(*POD_LABELS, "day_start").agg(F.sum("value").alias("value"))
     if kind.startswith("network"):
-        by_pod = m.match_left(by_pod, off_host, ["pod", "day_start"])
-    labelled = m.match_left(by_pod, apps, ["pod", "day_start"], ["app"])
+        by_pod = m.match_named(by_pod, off_host, ["pod", "day_start"], "namespace")
+    labelled = m.match_named(by_pod, apps, ["pod", "day_start"], "namespace", ["app"])
     return labelled.withColumn("kind", F.lit(kind))
 
 
@@ -175,15 +175,16 @@ def ingress_daily_requests(samples: DataFrame, usage_account: str) -> DataFrame:
     labels = (
         samples.where(F.col("metric") == "kube_ingress_labels")
         .select(
+            _label("namespace").alias("namespace"),
             _label("ingress").alias("ingress"),
             text.first_label("labels", *APP_LABELS).alias("app"),
             "value",
             m.floor_epoch("epoch", 86400).alias("day_start"),
         )
-        .groupBy("ingress", "app", "day_start")
+        .groupBy("namespace", "ingress", "app", "day_start")
         .agg(F.avg("value").alias("value"))
     )
-    matched = m.match_left(totals, labels, ["ingress", "day_start"], ["app"])
+    matched = m.match_named(totals, labels, ["ingress", "day_start"], "namespace", ["app"])
     day = F.to_date(F.timestamp_seconds("day_start"))
     return matched.select(
         F.year(day).cast("string").alias("year"),

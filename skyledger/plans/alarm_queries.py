@@ -199,14 +199,47 @@ def r05(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {RULES_SQL}, r AS (SELECT *, ({_SERVICE_LIST})[p_partkey % {len(SERVICES)} + 1] AS service, p_size % 4 = 1 AS off, p_size % 3 AS vt FROM part)
       SELECT rule_id, service, count(*) AS alarms FROM r JOIN rules USING (service)
       WHERE CASE applies WHEN 'in_use' THEN p_partkey % 2 = 0 WHEN 'own_storage' THEN p_partkey % 5 <> 0 WHEN 'burstable' THEN p_partkey % 3 = 0 ELSE true END
-        AND CASE WHEN kind = 'fixed' THEN true WHEN kind = 'tag' THEN NOT off WHEN kind = 'defined' THEN false WHEN key IN ('search_nodes', 'subnet_use', 'plain_volume_iops') THEN true
+        AND CASE WHEN kind = 'fixed' THEN true WHEN kind = 'tag' THEN NOT off WHEN kind = 'defined' THEN true WHEN key IN ('search_nodes', 'subnet_use', 'plain_volume_iops') THEN true
           WHEN key LIKE 'plain_%' THEN vt IN (0, 1) WHEN key IN ('instance_network', 'database_network') THEN NOT off AND p_size % 10 <> 0 ELSE NOT off END GROUP BY 1, 2""",
 )
 def r05_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = al.expand_rules(resources(spark, sf_dir), rule_table(spark))
+    out = al.expand_rules(resources(spark, sf_dir), rule_table(spark), rule_definitions(spark))
     return out.groupBy("rule_id", "service").agg(F.count(F.lit(1)).alias("alarms"))
 
 
+def rule_definitions(spark: SparkSession) -> DataFrame:
+    """Definitions of every metric that a rule of kind ``defined`` names: sub 3 has its own, the rest a default."""
+    rows = []
+    for r in RULES:
+        if r.threshold.kind == "defined":
+            rows.append((r.service, 0, "sub_id", ["s3"], r.threshold.key, True, 7.0, 3, "", ""))
+            rows.append((r.service, None, None, None, r.threshold.key, True, 40.0, 3, "", ""))
+    return spark.createDataFrame(rows, al.DEFINITION_SCHEMA)
+
+
+@query(
+    "r05_defined_rules",
+    f"""WITH {RULES_SQL}, r AS (SELECT *, ({_SERVICE_LIST})[p_partkey % {len(SERVICES)} + 1] AS service FROM part)
+      SELECT replace(replace(name, '{{id}}', 'r' || p_partkey), '{{sub}}', 's' || (p_partkey % 9)) AS alarm_name, rule_id,
+        cast(round(CASE WHEN p_partkey % 9 = 3 THEN 7 ELSE 40 END * factor * CASE WHEN rule_id = 'AC56' THEN p_size % 8 + 1 ELSE 1 END, 4) AS DOUBLE) + 0 AS threshold
+      FROM r JOIN rules USING (service) WHERE kind = 'defined' AND CASE applies WHEN 'burstable' THEN p_partkey % 3 = 0 ELSE true END""",
+)
+def r05_defined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = [r for r in RULES if r.threshold.kind == "defined"]
+    out = al.expand_rules(resources(spark, sf_dir), rule_table(spark, chosen), rule_definitions(spark))
+    return out.select("alarm_name", "rule_id", tidy("threshold", 4).alias("threshold"))
+
+
+@query(
+    "a18_plan_text",
+    """WITH w AS (SELECT DISTINCT 'AWS/X-' || p_brand || '-' || p_size AS n FROM part WHERE p_type <> 'PROMO'), h AS (SELECT DISTINCT 'AWS/X-' || p_brand || '-' || p_size AS n FROM part WHERE p_type <> 'SMALL'),
+      a AS (SELECT coalesce(w.n, h.n) AS alarm_name, CASE WHEN h.n IS NULL THEN 'create' WHEN w.n IS NULL THEN 'delete' END AS action FROM w FULL JOIN h ON w.n = h.n)
+      SELECT alarm_name, action, CASE action WHEN 'create' THEN 'Create' ELSE 'Delete' END || ' alarm ' || alarm_name AS line FROM a WHERE action IS NOT NULL""",
+)
+def a18_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return al.plan_text(reconciled(spark, sf_dir))
+
+
 @query(
     "r06_j14_reconcile",
     """WITH w AS (SELECT DISTINCT 'AWS/X-' || p_brand || '-' || p_size AS n FROM part WHERE p_type <> 'PROMO'), h AS (SELECT DISTINCT 'AWS/X-' || p_brand || '-' || p_size AS n FROM part WHERE p_type <> 'SMALL')
@@ -267,6 +300,46 @@ def evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return al.evaluate_alarms(points, alarms)
 
 
+COMPLETE = f"""{SAMPLES}, p AS (SELECT user_id, epoch // 86400 * 86400 AS period_start, sum(value) AS value FROM samples WHERE metric = 'click' AND user_id % 3 <> 1 GROUP BY 1, 2),
+  u AS (SELECT DISTINCT user_id FROM events), z AS (SELECT (max(epoch) + 259200) // 86400 * 86400 AS hi FROM samples),
+  g AS (SELECT u.user_id, unnest(generate_series(coalesce((SELECT min(period_start) FROM p WHERE p.user_id = u.user_id), hi), hi, 86400)) AS period_start FROM u, z),
+  b AS (SELECT g.user_id, g.period_start, p.value, cast(CASE WHEN g.user_id % 2 = 0 THEN p.value >= 20.0 + g.user_id % 60 ELSE p.value < 20.0 + g.user_id % 60 END AS INTEGER) AS br FROM g LEFT JOIN p ON p.user_id = g.user_id AND p.period_start = g.period_start),
+  c AS (SELECT *, cast(coalesce(sum(br) OVER w, 0) AS INTEGER) AS breaches, cast(count(br) OVER w AS INTEGER) AS present FROM b WINDOW w AS (PARTITION BY user_id ORDER BY period_start ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)),
+  k AS (SELECT *, CASE WHEN breaches >= 3 THEN 'ALARM' WHEN present > 0 THEN 'OK' END AS known FROM c)
+  SELECT 'a-' || user_id AS alarm_name, period_start, breaches, present,
+    coalesce(CASE WHEN user_id % 3 = 0 THEN last_value(known IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY period_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) ELSE known END, 'INSUFFICIENT_DATA') AS state FROM k"""
+
+
+@query("r07_alarms_without_samples", f"WITH {COMPLETE}")
+def r07_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three of eight days; a third of the alarms watch a resource without samples, and all metrics stop before the end."""
+    alarms = daily_alarms(spark, sf_dir).withColumn("periods", F.lit(8)).withColumn("datapoints", F.lit(3))
+    number = F.substring("resource_id", 3, 20).cast("int")
+    alarms = alarms.withColumn("resource_id", F.when(number % 3 == 1, F.lit("silent")).otherwise(F.col("resource_id")))
+    alarms = alarms.withColumn("metrics", F.array(F.lit("click"))).withColumn("statistics", F.array(F.lit("Sum")))
+    samples = b.event_samples(spark, sf_dir).select("resource_id", "metric", "epoch", "value")
+    as_of = samples.agg(F.max("epoch")).first()[0] + 3 * 86400
+    out = al.evaluate_alarms(al.alarm_points(samples, alarms), alarms, as_of=as_of)
+    return out.select("alarm_name", "period_start", "breaches", "present", "state")
+
+
+@query(
+    "r07_six_metric_sum",
+    f"""WITH {SAMPLES}, p AS (SELECT user_id, epoch // 86400 * 86400 AS period_start, sum(value) FILTER (metric = 'click') AS a, avg(value) FILTER (metric = 'click') AS b, min(value) FILTER (metric = 'click') AS c, max(value) FILTER (metric = 'click') AS d,
+        sum(value) FILTER (metric = 'view') AS e, cast(count(*) FILTER (metric = 'view') AS DOUBLE) AS f, count(*) FILTER (metric = 'view') AS n FROM samples WHERE metric IN ('click', 'view') GROUP BY 1, 2)
+      SELECT 'a-' || user_id AS alarm_name, period_start, round(CASE WHEN n > 0 THEN a + b + c + d + e + f END / CASE WHEN user_id % 2 = 0 THEN 1 ELSE 86400 END, 6) + 0 AS value FROM p""",
+)
+def r07_six(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even = F.substring("resource_id", 3, 20).cast("int") % 2 == 0
+    names, kinds = ("click",) * 4 + ("view",) * 2, ("Sum", "Average", "Minimum", "Maximum", "Sum", "SampleCount")
+    alarms = daily_alarms(spark, sf_dir).withColumns({
+        "metrics": F.array(*map(F.lit, names)), "statistics": F.array(*map(F.lit, kinds)),
+        "expression": F.when(even, "m1+m2+m3+m4+m5+m6").otherwise("(m1+m2+m3+m4+m5+m6)/PERIOD"),
+    })
+    points = al.alarm_points(b.event_samples(spark, sf_dir).select("resource_id", "metric", "epoch", "value"), alarms)
+    return points.select("alarm_name", "period_start", tidy("value").alias("value"))
+
+
 @query("w07_state_changes", f"WITH {EVALUATED} SELECT alarm_name, period_start, state, previous_state FROM f WHERE previous_state IS NOT NULL AND state <> previous_state")
 def w07(spark: SparkSession, sf_dir: str) -> DataFrame:
     return al.transitions(evaluated(spark, sf_dir)).select("alarm_name", "period_start", "state", "previous_state")

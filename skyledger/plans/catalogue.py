@@ -52,6 +52,7 @@ class Rule:
     missing: str
     applies: str = ""
     note: str = ""
+    per_vcpu: bool = False
 
 
 MIB, GIB = 1024.0**2, 1024.0**3
@@ -115,7 +116,7 @@ RULES: list[Rule] = [
     Rule("AC53", "RDS", "AWS/RDS-DatabaseConnections-{id}", ("DatabaseConnections",), ONE, "Average", 300, 3, 3, ">=", limit("database_connections"), "ignore"),
     Rule("AC54", "ElastiCache", "AWS/ElastiCache-CPUUtilization-{id}", ("CPUUtilization",), ONE, "Average", 300, 3, 3, ">=", defined("CPUUtilization"), "missing"),
     Rule("AC55", "ElastiCache", "AWS/ElastiCache-EngineCPUUtilization-{id}", ("EngineCPUUtilization",), ONE, "Average", 300, 3, 3, ">=", defined("EngineCPUUtilization"), "ignore"),
-    Rule("AC56", "ElastiCache", "AWS/ElastiCache-CPUCreditBalance-{id}", ("CPUCreditBalance",), ONE, "Average", 300, 3, 3, "<=", defined("CPUCreditBalance"), "ignore", "burstable", "threshold times vCPUs"),
+    Rule("AC56", "ElastiCache", "AWS/ElastiCache-CPUCreditBalance-{id}", ("CPUCreditBalance",), ONE, "Average", 300, 3, 3, "<=", defined("CPUCreditBalance"), "ignore", "burstable", "threshold times vCPUs", per_vcpu=True),
     Rule("AC57", "ElastiCache", "AWS/ElastiCache-DatabaseMemoryUsagePercentage-{id}", ("DatabaseMemoryUsagePercentage",), ONE, "Average", 300, 3, 3, ">=", defined("DatabaseMemoryUsagePercentage"), "ignore"),
     Rule("AC58", "ElastiCache", "AWS/ElastiCache-SwapUsage-{id}", ("SwapUsage",), ONE, "Average", 300, 3, 3, ">=", defined("SwapUsage", MIB), "ignore"),
     Rule("AC59", "ElastiCache", "AWS/ElastiCache-NetworkBandwidth-{id}", ("NetworkBytesIn", "NetworkBytesOut"), GREATER_RATE, "Sum", 300, 1, 1, ">=", limit("instance_network"), "ignore"),
@@ -159,13 +160,10 @@ RULES: list[Rule] = [
     Rule("AC97", "CloudFront", "CloudFront-{id}-Low-RequestsChangeRate-Alarm", ("Requests",), "LAG1/LAG2-1", "Sum", 300, 1, 1, "<", fixed(-0.8), "missing"),
 ]
 
-MAX_PERIODS = max(r.periods for r in RULES)
-MAX_METRICS = max(len(r.metrics) for r in RULES)
-
 RULE_SCHEMA = (
     "rule_id string, service string, name string, metrics array<string>, expression string, statistics array<string>, "
     "period int, datapoints int, periods int, comparison string, threshold_kind string, threshold_key string, "
-    "threshold_value double, threshold_factor double, missing string, applies string, note string"
+    "threshold_value double, threshold_factor double, missing string, applies string, note string, per_vcpu boolean"
 )
 
 
@@ -180,7 +178,7 @@ def rule_table(spark: SparkSession, rules: list[Rule] | None = None) -> DataFram
             (
                 r["rule_id"], r["service"], r["name"], list(rule.metrics), r["expression"],
                 stats if len(stats) > 1 else stats * len(rule.metrics), r["period"], r["datapoints"], r["periods"],
-                r["comparison"], t.kind, t.key, t.value, t.factor, r["missing"], r["applies"], r["note"],
+                r["comparison"], t.kind, t.key, t.value, t.factor, r["missing"], r["applies"], r["note"], r["per_vcpu"],
             )
         )
     return spark.createDataFrame(rows, RULE_SCHEMA)
