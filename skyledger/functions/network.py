@@ -1,7 +1,9 @@
-"""IPv4 arithmetic on integers."""
+"""IPv4 arithmetic on integers, and addresses of both families as text that sorts like the address."""
 
 from __future__ import annotations
 
+import ipaddress
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,14 +49,52 @@ def cidr_end(cidr: Column | str) -> Column:
     return cidr_start(cidr) + cidr_size(cidr) - F.lit(1)
 
 
+# An IPv4 address as the last 32 bits of an IPv6 one.
+MAPPED = "0" * 20 + "ffff"
+_V6 = r"^[0-9a-f:]+(:(25[0-5]|2[0-4]\d|1?\d?\d)(\.(25[0-5]|2[0-4]\d|1?\d?\d)){3})?$"
+
+
+def address_key(ip: Column | str) -> Column:
+    """An address of either family as 32 hexadecimal digits that sort as the address; NULL for anything else.
+
+    IPv4 and the IPv4-mapped form of IPv6 give the same key.
+    """
+    text = F.lower(F.trim(_col(ip)))
+    v4 = ip_number(text)
+    tail = F.regexp_extract(text, r":(\d+\.\d+\.\d+\.\d+)$", 1)
+    number = ip_number(F.nullif(tail, F.lit("")))
+    words = F.concat_ws(":", F.hex(F.shiftright(number, 16)), F.hex(number.bitwiseAND(F.lit(65535))))
+    plain = F.when(tail != "", F.lower(F.concat(F.regexp_replace(text, r"\d+(\.\d+){3}$", ""), words))).otherwise(text)
+    halves = F.split(plain, "::", -1)
+    groups = lambda part: F.filter(F.split(part, ":", -1), lambda g: g != "")
+    left, right = groups(F.get(halves, F.lit(0))), groups(F.coalesce(F.get(halves, F.lit(1)), F.lit("")))
+    short = F.size(halves) == 2
+    gap = F.when(short, F.lit(8) - F.size(left) - F.size(right)).otherwise(F.lit(0))
+    whole = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(gap, F.lit(0))), right)
+    tidy = ~plain.rlike(":::") & (F.size(halves) <= 2) & ~plain.rlike("^:[^:]|[^:]:$")
+    sound = tidy & (F.size(whole) == 8) & (~short | (gap >= 1)) & F.forall(whole, lambda g: F.length(g) <= 4)
+    v6 = F.when(text.rlike(_V6) & text.contains(":") & sound, F.array_join(F.transform(whole, lambda g: F.lpad(g, 4, "0")), ""))
+    mapped = F.concat(F.lit(MAPPED), F.lpad(F.lower(F.hex(v4)), 8, "0"))
+    return F.when(v4.isNotNull(), mapped).otherwise(v6)
+
+
+def cidr_keys(cidr: str) -> tuple[str, str] | None:
+    """First and last key of a block of either family, NULL text for text that is no block."""
+    try:
+        block = ipaddress.ip_network(cidr.strip(), strict=False)
+    except ValueError:
+        return None
+    prefix = MAPPED if block.version == 4 else ""
+    return tuple(prefix + f"{int(a):0{8 if block.version == 4 else 32}x}" for a in (block[0], block[-1]))
+
+
 def in_any_cidr(ip: Column | str, cidrs: list[str]) -> Column:
-    """Membership in a fixed, parameter-sized CIDR list; false for text that is not an address."""
-    number = ip_number(ip)
+    """Membership in a fixed, parameter-sized CIDR list of either family; false for text that is not an address."""
+    key = address_key(ip)
     hit = F.lit(False)
     for cidr in cidrs:
-        if cidr.strip():
-            text = F.lit(cidr.strip())
-            hit = hit | number.between(cidr_start(text), cidr_end(text))
+        if bounds := cidr_keys(cidr):
+            hit = hit | key.between(*bounds)
     return F.coalesce(hit, F.lit(False))
 
 

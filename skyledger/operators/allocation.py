@@ -21,6 +21,7 @@ COST_DIMENSIONS = [
 SCALED = ["usage_amount", *COSTS]
 CAPACITY = ["vcpus", "gpus", "memory_gb"]
 CPU_WEIGHT = 9.0  # fixed value: one vCPU-hour is priced like nine GiB-hours
+PART_WORKLOADS = 20_000
 
 COMPUTE, TRANSFER, OTHER = 1, 2, 0
 
@@ -71,7 +72,7 @@ def line_class() -> Column:
 
 def flag_lines(lines: DataFrame, usage: DataFrame, transfer: bool = True) -> DataFrame:
     """Lines with ``eks_flag``: the class where the instance has workload metrics that day, else 0."""
-    keys = usage.select(*INSTANCE).distinct().withColumnRenamed("instance", "resource_id").withColumn("_hit", F.lit(1))
+    keys = usage.where(F.col("instance") != "").select(*INSTANCE).distinct().withColumnRenamed("instance", "resource_id").withColumn("_hit", F.lit(1))
     wanted = [COMPUTE, TRANSFER] if transfer else [COMPUTE]
     flagged = join_totals(lines, keys, [*INSTANCE[:-1], "resource_id"])
     return flagged.withColumn(
@@ -102,10 +103,10 @@ def _instance_totals(usage: DataFrame) -> DataFrame:
 
 def relative_shares(usage: DataFrame) -> DataFrame:
     """Each workload's share of its instance's CPU, memory and network use that day."""
-    # One instance-day has few workloads; should one be huge, adaptive execution splits its partition.
-    return join_totals(usage, _instance_totals(usage), INSTANCE, salts=1).select(
+    return join_totals(usage, _instance_totals(usage), INSTANCE).select(
         *INSTANCE,
         *WORKLOAD,
+        "_n",
         _even("cpu_usage", "_cpu_total").alias("cpu_share"),
         _even("mem_usage", "_mem_total").alias("mem_share"),
         _even("network_usage", "_net_total").alias("net_share"),
@@ -116,7 +117,7 @@ def billed_capacity(cost: DataFrame) -> DataFrame:
     """vCPU- and GiB-hours billed per instance and day, over its compute lines of all charge types."""
     return (
         blank_strings(cost)
-        .where(line_class() == COMPUTE)
+        .where((line_class() == COMPUTE) & (F.col("resource_id") != ""))
         .withColumnRenamed("resource_id", "instance")
         .groupBy(*INSTANCE)
         .agg(F.sum("vcpus").alias("_vcpus"), F.sum("memory_gb").alias("_memory"))
@@ -161,10 +162,11 @@ def capacity_shares(usage: DataFrame, cost: DataFrame) -> DataFrame:
         return F.when(F.col("_idle"), F.lit(1.0) - part).otherwise(part)
 
     # Instances without any workload are not the clusters' and stay out.
-    joined = join_totals(rows, totals, INSTANCE, salts=1).where(F.col("_n") > 0)
+    joined = join_totals(rows, totals, INSTANCE).where(F.col("_n") > 0)
     return joined.select(
         *INSTANCE,
         "resource_id",
+        "_n",
         F.when(F.col("_idle"), F.col("_cluster")).otherwise(F.col("eks_cluster_name")).alias("eks_cluster_name"),
         "eks_namespace",
         "eks_app",
@@ -177,19 +179,32 @@ def capacity_shares(usage: DataFrame, cost: DataFrame) -> DataFrame:
 def _spread(lines: DataFrame, shares: DataFrame, transfer: bool, weight: float) -> DataFrame:
     """One left join does the whole allocation: lines without a partner pass through unchanged.
 
-    Lines that cannot be allocated get a join key no instance has, derived from the row, so that the large rest
-    of the bill spreads over all partitions instead of meeting under one NULL key.
+    Lines that cannot be allocated, those without a resource id among them, get a join key no instance has, derived
+    from the row, so that the large rest of the bill spreads over all partitions instead of meeting under one key.
+    An instance with very many workloads is cut into parts of ``PART_WORKLOADS``, and its lines are copied to each.
     """
     klass = line_class()
-    allocatable = klass != OTHER if transfer else klass == COMPUTE
+    allocatable = (klass != OTHER if transfer else klass == COMPUTE) & (F.col("resource_id") != "")
     no_partner = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in COST_DIMENSIONS]).cast("string"))
     keyed = (
         lines.withColumn("_class", klass)
         .withColumn("instance", F.when(allocatable, F.col("resource_id")).otherwise(no_partner))
         .withColumn("_weight", cpu_weight(weight))
     )
-    right = shares.withColumnRenamed("resource_id", "_workload").withColumn("_hit", F.lit(1))
-    joined = keyed.join(right, INSTANCE, "left")
+    parts = F.ceil(F.col("_n") / PART_WORKLOADS).cast("int")
+    right = (
+        shares.where(F.col("instance") != "")
+        .withColumnRenamed("resource_id", "_workload")
+        .withColumn("_hit", F.lit(1))
+        .withColumn("_part", F.pmod(F.xxhash64("_workload", *WORKLOAD[1:]), parts).cast("int"))
+        .drop("_n")
+    )
+    large = shares.where((parts > 1) & (F.col("instance") != "")).select(*INSTANCE, parts.alias("_parts")).distinct()
+    copied = join_totals(keyed, large, INSTANCE).withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+    copied = copied.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    joined = copied.join(right, [*INSTANCE, "_part"], "left")
+    # A copy that met no workload in its part is not an unmatched line.
+    joined = joined.where((F.col("_parts") == 1) | F.col("_hit").isNotNull()).drop("_part", "_parts")
     # The idle row takes no part in transfer cost.
     joined = joined.where((F.col("_class") != TRANSFER) | F.col("_hit").isNull() | F.col("net_share").isNotNull())
     hit = F.col("_hit") == 1
@@ -246,7 +261,7 @@ def allocation_stages(metrics: DataFrame, cost: DataFrame, use_reserved: bool =
     lines = cost_lines(cost)
     flagged = flag_lines(lines, usage)
     billed = (
-        flagged.where(F.col("eks_flag") == COMPUTE)
+        flagged.where((F.col("eks_flag") == COMPUTE) & (F.col("resource_id") != ""))
         .withColumnRenamed("resource_id", "instance")
         .select(*INSTANCE)
         .distinct()

@@ -73,9 +73,9 @@ def missing_tags(resources: DataFrame, required: Sequence[str] | str, by: Sequen
     )
 
 
-def tag_check_report(resources: DataFrame, required: Sequence[str] | str, by: Sequence[str] = ("region",)) -> DataFrame:
-    """Message text per group. ``by`` should bound a group's size (say region and a block of ids), as a text is
-    one value; ``missing_tags`` gives the same findings as rows.
+def tag_check_report(resources: DataFrame, required: Sequence[str] | str, by: Sequence[str]) -> DataFrame:
+    """Message text per group. The caller names a ``by`` that bounds a group (say region and a block of ids), as a text
+    is one value; ``missing_tags`` gives the same findings as rows.
     """
     lines = missing_tags(resources, required, by)
     parts = F.transform(F.array_sort(F.collect_list(F.struct("resource_id", "line"))), lambda e: e["line"])

@@ -12,9 +12,9 @@ from skyledger.functions.timefns import floor_epoch
 from skyledger.operators.keyed import position_before
 
 CDN_KEYS = ["host", "country", "asn", "response_code", "result_type"]
-# Default dimension subsets (they form a roll-up) and their metric names.
-CDN_SETS = [[], ["Host"], ["Host", "Country"], ["Host", "Country", "ResponseCode"]]
-PROBE_SETS = [["Target"], ["Target", "City"]]
+# Default dimension subsets.
+CDN_SETS = [[], ["host"], ["host", "country"], ["host", "country", "response_code"]]
+PROBE_SETS = [["target"], ["target", "city"]]
 
 
 def minute_of(millis: Column | str, period: int = 60) -> Column:
@@ -60,18 +60,26 @@ def merge_minutes(partials: DataFrame, keys: Sequence[str] = tuple(CDN_KEYS)) ->
     return partials.groupBy("minute", *keys).agg(*merge_measures())
 
 
-def cdn_dimension_sets(minutes: DataFrame) -> DataFrame:
-    """The same measures on (), (host), (host, country) and (host, country, response code), tagged by ``level``.
+def _sets(rows: DataFrame, sets: Sequence[Sequence[str]], measures: Sequence[Column]) -> DataFrame:
+    dims = list(dict.fromkeys(d for s in sets for d in s))
+    columns = [[F.col(c) for c in ("minute", *s)] for s in sets]
+    if not dims:
+        return rows.groupBy("minute").agg(*measures).withColumn("level", F.lit(0))
+    grouped = rows.groupingSets(columns, "minute", *dims).agg(*measures, F.grouping_id("minute", *dims).alias("_gid"))
+    return grouped.withColumn("level", (F.lit(len(dims)) - F.bit_count("_gid")).cast("int")).drop("_gid")
 
-    Runs on the per-minute table, so the raw log is aggregated once.
+
+def cdn_dimension_sets(minutes: DataFrame, sets: Sequence[Sequence[str]] = CDN_SETS) -> DataFrame:
+    """The measures on each set of dimensions, tagged by ``level``, the number of dimensions of the set.
+
+    Dimensions outside a row's set are NULL. Runs on the per-minute table, so the raw log is aggregated once.
     """
-    dims = ["host", "country", "response_code"]
-    sets = [["minute"], ["minute", "host"], ["minute", "host", "country"], ["minute", *dims]]
-    grouped = minutes.groupingSets([[F.col(c) for c in s] for s in sets], "minute", *dims).agg(
-        *merge_measures(), F.grouping_id("minute", *dims).alias("_gid")
-    )
-    level = F.lit(3) - F.bit_count("_gid")
-    return grouped.withColumn("level", level.cast("int")).drop("_gid")
+    return _sets(minutes, sets, merge_measures())
+
+
+def probe_dimension_sets(probes: DataFrame, sets: Sequence[Sequence[str]] = PROBE_SETS, period: int = 60) -> DataFrame:
+    """``probe_minutes`` on each set of dimensions; averages do not add up, so this reads the probes themselves."""
+    return _sets(_timed_probes(probes, period), sets, _probe_measures())
 
 
 def statistic_values(minutes: DataFrame) -> DataFrame:
@@ -90,7 +98,15 @@ def probe_minutes(probes: DataFrame, period: int = 60) -> DataFrame:
 
     ``probes``: timestamp (ms), city, target, status, dns_ms, connect_ms, first_byte_ms.
     """
-    rows = probes.withColumn("success", F.when(F.col("status") == 200, 1).otherwise(0))
+    return _timed_probes(probes, period).groupBy("minute", "city", "target").agg(*_probe_measures())
+
+
+def _timed_probes(probes: DataFrame, period: int) -> DataFrame:
+    success = F.when(F.col("status") == 200, 1).otherwise(0)
+    return probes.withColumn("success", success).withColumn("minute", minute_of("timestamp", period))
+
+
+def _probe_measures() -> list[Column]:
     measures = [F.count(F.lit(1)).alias("probes")]
     for c in ("success", "dns_ms", "connect_ms", "first_byte_ms"):
         measures += [
@@ -99,7 +115,7 @@ def probe_minutes(probes: DataFrame, period: int = 60) -> DataFrame:
             F.min(c).alias(f"{c}_min"),
             F.max(c).alias(f"{c}_max"),
         ]
-    return rows.groupBy(minute_of("timestamp", period).alias("minute"), "city", "target").agg(*measures)
+    return measures
 
 
 def count_per_minute(df: DataFrame, millis: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -163,9 +179,16 @@ def numbered_batches(
 def payload_slices(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, body: str, limit: int = 40960
 ) -> DataFrame:
-    """Slice number so that the payload texts of a slice start within ``limit`` characters of each other."""
-    placed = position_before(df, keys, order, F.length(body), "_position", bucket)
-    return placed.withColumn("slice", F.floor(F.col("_position") / F.lit(limit)).cast("long")).drop("_position")
+    """Slice numbers that grow with the order, so that the payload texts of a slice have ``limit`` characters at most.
+
+    Texts that lie within the same stretch of ``limit`` characters of the key's running length share a slice; one that
+    crosses into the next stretch has a slice of its own, as has a text that is longer than the limit.
+    """
+    size = F.coalesce(F.length(body), F.lit(0)).cast("long")
+    placed = position_before(df, keys, order, size, "_position", bucket)
+    stretch = F.floor(F.col("_position") / F.lit(limit)).cast("long")
+    crosses = F.col("_position") + size > (stretch + 1) * F.lit(limit)
+    return placed.withColumn("slice", stretch * 2 + crosses.cast("long")).drop("_position")
 
 
 def day_index(df: DataFrame, day: Column, prefix: str) -> DataFrame:

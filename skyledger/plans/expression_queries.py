@@ -53,10 +53,10 @@ def s01(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "s17_look_back_days",
-    "SELECT cast(o_orderdate AS DATE) AS day, round(sum(o_totalprice), 4) + 0 AS total FROM orders WHERE o_orderdate >= DATE '2001-11-30' - 35 GROUP BY 1",
+    "SELECT cast(o_orderdate AS DATE) AS day, round(sum(o_totalprice), 4) + 0 AS total FROM orders WHERE o_orderdate >= DATE '2001-07-20' - 35 GROUP BY 1",
 )
 def s17(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recent = cost.look_back(t(spark, sf_dir, "orders"), "o_orderdate", date(2001, 11, 30))
+    recent = cost.look_back(t(spark, sf_dir, "orders"), "o_orderdate", date(2001, 7, 20))
     return recent.groupBy(F.to_date("o_orderdate").alias("day")).agg(tidy(F.sum("o_totalprice"), 4).alias("total"))
 
 
@@ -320,11 +320,15 @@ def p41(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT cast(o_orderdate AS DATE) AS day, strftime(date_trunc('month', o_orderdate) - INTERVAL 2 DAY, '%Y') AS year, strftime(date_trunc('month', o_orderdate) - INTERVAL 2 DAY, '%m') AS month, count(*) AS orders FROM orders GROUP BY 1, 2, 3",
 )
 def p43(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = F.to_date("o_orderdate")
-    run = F.date_sub(F.trunc(day, "month"), 2)
-    return t(spark, sf_dir, "orders").groupBy(
-        day.alias("day"), F.date_format(run, "yyyy").alias("year"), F.date_format(run, "MM").alias("month")
-    ).agg(F.count(F.lit(1)).alias("orders"))
+    orders = t(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day"))
+    span = orders.agg(F.min("day").alias("a"), F.max("day").alias("b")).first()  # one row
+    months = [date(y, m, 1) for y in range(span["a"].year, span["b"].year + 1) for m in range(1, 13)]
+    runs = [(day, *timefns.run_month(as_of=day.replace(day=17))) for day in months]
+    known = spark.createDataFrame(runs, "_month date, year string, month string")
+    return (
+        orders.withColumn("_month", F.trunc("day", "month").cast("date")).join(known, "_month")
+        .groupBy("day", "year", "month").agg(F.count(F.lit(1)).alias("orders"))
+    )
 
 
 @query(

@@ -259,6 +259,17 @@ def a13(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "a13_chosen_dimension_sets",
+    f"""WITH {_MINUTES}, hours AS (SELECT minute // 86400000 * 86400000 AS minute, * EXCLUDE (minute) FROM mins)
+      SELECT minute, result_type, host, cast(2 - grouping(result_type) - grouping(host) AS INTEGER) AS level, cast(sum(requests) AS BIGINT) AS requests, cast(sum(bytes_up) AS BIGINT) AS bytes_up FROM hours GROUP BY GROUPING SETS ((minute, result_type), (minute, result_type, host))""",
+)
+def a13_chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = cdn_rollup(spark, sf_dir).withColumn("minute", rollup.minute_of("minute", 86400))
+    out = rollup.cdn_dimension_sets(days, [["result_type"], ["result_type", "host"]])
+    return out.select("minute", "result_type", "host", "level", "requests", "bytes_up")
+
+
 @query(
     "a15_cdn_statistic_values",
     f"WITH {_MINUTES} SELECT minute, host, country, result_type, response_code, requests, speed_count AS sample_count, cast(trunc(coalesce(speed_sum, 0)) AS BIGINT) AS speed_sum, cast(trunc(coalesce(speed_min, 0)) AS BIGINT) AS speed_min, cast(trunc(coalesce(speed_max, 0)) AS BIGINT) AS speed_max FROM mins",
@@ -424,7 +435,8 @@ def s18(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "s18_payload_slices",
-    "SELECT cast(ts AS DATE) AS day, cast(coalesce(sum(length(props)) OVER (PARTITION BY cast(ts AS DATE) ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 500 AS BIGINT) AS slice, event_id FROM events",
+    """WITH p AS (SELECT cast(ts AS DATE) AS day, event_id, coalesce(length(props), 0) AS n, coalesce(sum(length(props)) OVER (PARTITION BY cast(ts AS DATE) ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begun FROM events)
+      SELECT day, cast(begun // 500 * 2 + CASE WHEN begun + n > (begun // 500 + 1) * 500 THEN 1 ELSE 0 END AS BIGINT) AS slice, event_id FROM p""",
 )
 def s18_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = events(spark, sf_dir).select(F.to_date("ts").alias("day"), "event_id", "props")

@@ -26,7 +26,11 @@ def record_stream(spark: SparkSession, path: str, schema: str, format: str = "js
 
 def cdn_requests(lines: DataFrame, fields: Sequence[str], country: str | None = None) -> DataFrame:
     """Access-log lines to the roll-up's input columns; batch or streaming."""
-    rows = logs.parse_cdn(lines, fields).where(F.col("parse_ok"))
+    return parsed_requests(logs.parse_cdn(lines, fields).where(F.col("parse_ok")), country)
+
+
+def parsed_requests(rows: DataFrame, country: str | None = None) -> DataFrame:
+    """Parsed access-log rows to the roll-up's input columns."""
     return rows.select(
         "timestamp",
         F.timestamp_millis("timestamp").alias("ts"),
@@ -95,7 +99,7 @@ def fan_out_sink(
         day = F.timestamp_millis("timestamp")
         indexed = rollup.day_index(good.drop("parse_ok", "line"), day, prefix)
         indexed.write.mode("overwrite").partitionBy("index").json(f"{index_path}/batch_id={batch_id}")
-        replace_batch(rollup.cdn_minutes(cdn_requests(batch, fields)), minutes_path, batch_id)
+        replace_batch(rollup.cdn_minutes(parsed_requests(good)), minutes_path, batch_id)
         failed = parsed.where(~F.col("parse_ok")).select("line")
         replace_batch(failed, failed_path, batch_id, "text")
         parsed.unpersist()
