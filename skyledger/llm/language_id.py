@@ -29,11 +29,12 @@ _LETTER[97:123] = _LETTER[128:] = True
 
 
 def _trigrams(values: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
-    """Feature number and row of every trigram that holds letters."""
+    """Feature number and row of every trigram around a letter; a text begins and ends with a blank."""
     data, offsets = text_bytes(values)
     data = lowered(data)
-    data = np.where(_LETTER[data], data, np.uint8(32)).astype(np.uint32)
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    data = np.where(_LETTER[data], data, np.uint8(32))
+    data = np.insert(data, np.sort(np.concatenate((offsets[:-1], offsets[1:]))), np.uint8(32)).astype(np.uint32)
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets) + 2)
     if len(data) < 3:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), len(offsets) - 1
     code = data[:-2] | (data[1:-1] << np.uint32(8)) | (data[2:] << np.uint32(16))
@@ -70,9 +71,11 @@ def fit_text_model(
         .agg(F.sum("n").alias("n"))
         .toArrow()
     )
-    counts = np.full(len(languages) * FEATURES, 0.1)
-    counts[sums.column("cell").to_numpy()] += sums.column("n").to_numpy()
+    counts = np.zeros(len(languages) * FEATURES)
+    counts[sums.column("cell").to_numpy()] = sums.column("n").to_numpy()
     counts = counts.reshape(len(languages), FEATURES)
+    # as if all languages had equally much text, or what is new would speak for the rarest one
+    counts = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1) * 1e6 + 0.5
     return np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
@@ -109,7 +112,7 @@ def _text_scores(docs: DataFrame, model: np.ndarray) -> DataFrame:
         for batch in slices(batches, "text"):
             feature, row, rows = _trigrams(batch.column("text"))
             grams = np.bincount(row, minlength=rows)
-            logs = np.stack([np.bincount(row, weights=model[k][feature], minlength=rows) for k in range(n)], axis=1)
+            logs = np.stack([np.bincount(row, weights=model[k][feature], minlength=rows).astype(float) for k in range(n)], axis=1)
             logs *= np.minimum(1.0, FULL_EVIDENCE / np.maximum(grams, 1))[:, None]
             logs -= logs.max(axis=1, keepdims=True)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, rows * n + 1, n, dtype=np.int32)), pa.array(logs.ravel()))
