@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from skyledger.session import scratch_path
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -24,6 +24,7 @@ from skyledger.llm.common import binary_column, ranges, slices, stored, text_byt
 SEQUENCE_TOKENS = 2048
 SHARD_PIECES = 4096
 CACHED_WORDS = 300_000
+SLICE_BYTES = 4 << 20
 END_ID = 0
 
 #: Chunks of these characters need no normalising but lower case, and fall into words as the tokenizer splits them.
@@ -116,7 +117,7 @@ def token_pieces(docs: DataFrame, file: str | None = None, length: int = SEQUENC
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _tokens(file or tokenizer_file())
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             flat, offsets = tokens.ids(batch.column("text"))
             sizes = np.diff(offsets)
             pieces = -(-sizes // length)
