@@ -190,3 +190,24 @@ def test_tag_subsets_order():
     assert len(al.tag_subsets(list("abcd"))) == 15
     assert all(len(s) < 4 for s in al.tag_subsets(list("abcd")))
     assert list(itertools.chain(*al.tag_subsets(["x"]))) == []
+
+
+def test_instance_with_most_workloads_is_split(spark, monkeypatch):
+    """Nine tenths of the workloads on one instance: cut into parts, each line still shared out once and in full."""
+    monkeypatch.setattr(al, "PART_WORKLOADS", 100)
+    pods = [(f"p{i}", 1.0 + i % 7, 2.0 + i % 5, 1.0 + i % 3) for i in range(900)]
+    usage = metrics(spark, pods).unionByName(metrics(spark, pods[:100], "i-2"))
+    lines = [*ONE_BOX, ("i-2", "Usage", "BoxUsage:m5", 4.0, 16.0, 20.0), ("i-3", "Usage", "BoxUsage:m5", 4.0, 16.0, 40.0)]
+    for level in (al.allocate_compute, al.allocate_compute_and_transfer):
+        out = level(usage, bill(spark, lines))
+        assert total(out) == pytest.approx(72.0)
+        shared = out.where("resource_id LIKE 'i-1:pod%' AND usage_type LIKE '%BoxUsage%'")
+        assert shared.count() == 900 and total(shared) == pytest.approx(10.0)
+    parts = al.relative_shares(al.workload_usage(usage)).withColumn("part", F.ceil(F.col("_n") / al.PART_WORKLOADS))
+    assert {r.part for r in parts.where("instance = 'i-1'").select("part").distinct().collect()} == {9}
+
+
+def test_blank_instances_are_not_matched(spark):
+    """A line without resource id is not shared out to pods that have no node."""
+    out = al.allocate_with_residual(metrics(spark, TWO_PODS, ""), bill(spark, [("", "Usage", "BoxUsage:m5", 4.0, 16.0, 10.0)]))
+    assert [(r.resource_id, r.ondemand_cost, r.eks_app) for r in out.collect()] == [("", 10.0, "")]

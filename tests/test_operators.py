@@ -256,3 +256,79 @@ def test_stream_equals_batch(spark, sf):
     batch = shown(rollup.cdn_minutes(cdn_requests(cdn_lines(spark, sf), CDN_FIELDS)), "minute", *rollup.CDN_KEYS)
     assert streamed.exceptAll(batch).count() == 0
     assert batch.exceptAll(streamed).count() == 0
+
+
+def test_many_periods_and_unknown_expressions(spark):
+    assert states(spark, [9] * 12, need=(8, 8)) == ["OK"] * 7 + ["ALARM"] * 5
+    alarms = spark.createDataFrame([("a", "r", ["m"], ["Sum"], "m1^2", 60, 1, 1, ">=", 5.0, "missing")], ALARM)
+    samples = spark.createDataFrame([("r", "m", 7, 1.0)], "resource_id string, metric string, epoch bigint, value double")
+    with pytest.raises(Exception, match="unknown alarm expression: m1"):
+        al.alarm_points(samples, alarms).collect()
+
+
+def test_alarms_without_samples(spark):
+    alarms = spark.createDataFrame(
+        [(n, r, ["m"], ["Sum"], "m1", 60, 1, 2, ">=", 5.0, "missing") for n, r in (("a", "r"), ("b", "none"))], ALARM
+    )
+    samples = spark.createDataFrame([("r", "m", 7, 9.0)], "resource_id string, metric string, epoch bigint, value double")
+    out = al.evaluate_alarms(al.alarm_points(samples, alarms), alarms, start=0, as_of=200).orderBy("alarm_name", "period_start")
+    none = "INSUFFICIENT_DATA"
+    assert [r.state for r in out.collect()] == ["ALARM", "ALARM", none, none] + [none] * 4
+
+
+def test_null_keys(spark):
+    rows = spark.createDataFrame([(None, 1, 1.0), (None, 2, 3.0), ("a", 1, 4.0)], "k string, t int, v double")
+    assert sorted(r.v for r in keyed.keep_greatest(rows, ["k"], "v").collect()) == [3.0, 4.0]
+    assert {(r.k, r.s) for r in keyed.share_of_total(rows, ["k"], {"v": "s"}).collect()} == {(None, 0.25), (None, 0.75), ("a", 1.0)}
+    lagged = keyed.carried_lag(rows, ["k"], ["t"], "v", "before", F.col("t"))
+    assert {(r.k, r.t, r.before) for r in lagged.collect()} == {(None, 1, None), (None, 2, 1.0), ("a", 1, None)}
+    placed = keyed.position_before(rows, ["k"], ["t"], F.lit(1), "n", F.col("t"))
+    assert {(r.k, r.t, r.n) for r in placed.collect()} == {(None, 1, 0), (None, 2, 1), ("a", 1, 0)}
+
+
+def test_equal_rows_of_a_key_get_several_salts(spark):
+    rows = spark.range(0, 1000, 1, 16).select(F.lit("hot").alias("k"))
+    salts = rows.select(keyed._row_salt(rows, ["k"], 8).alias("s")).distinct().count()
+    assert salts > 2
+    totals = spark.createDataFrame([("hot", 7)], "k string, n int")
+    assert keyed.join_totals(rows, totals, ["k"]).where("n = 7").count() == 1000
+
+
+def test_memory_text(spark):
+    texts = ["1,952 GiB", "24576.5 GiB", "16 GiB", ".5 GiB", "NA", "12345678 GiB", "x 4 GiB"]
+    df = spark.createDataFrame([(t,) for t in texts], "product_memory string")
+    digits = F.replace(F.regexp_extract("product_memory", billing.MEMORY_TEXT, 1), F.lit(","), F.lit(""))
+    assert [r.d for r in df.select(digits.alias("d")).collect()] == ["1952", "24576.5", "16", ".5", "", "12345678", ""]
+
+
+def test_one_partner_per_name_and_namespace(spark):
+    many = spark.createDataFrame([("ns1", "web-0", 10.0), ("ns2", "web-0", 5.0)], "namespace string, pod string, value double")
+    apps = spark.createDataFrame([("ns1", "web-0", "a", 1.0), ("ns2", "web-0", "b", 1.0), ("", "web-0", "c", 1.0)], "namespace string, pod string, app string, value double")
+    got = {(r.namespace, r.app, r.value) for r in metrics.match_named(many, apps, ["pod"], "namespace", ["app"]).collect()}
+    assert got == {("ns1", "a", 10.0), ("ns2", "b", 5.0)}
+    assert metrics.match_left(many, apps, ["pod"], ["app"]).agg(F.sum("value")).first()[0] == 15.0
+
+
+def test_addresses_of_both_families(spark):
+    import ipaddress
+
+    texts = ["1.2.3.4", "::", "::1", "2001:DB8::1", "::ffff:1.2.3.4", "1:2:3:4:5:6:7::", "64:ff9b::10.0.0.1", "1::2::3", ":::1", "12345::", "x", None]
+    df = spark.createDataFrame([(t,) for t in texts], "ip string")
+
+    def want(t):
+        try:
+            a = ipaddress.ip_address(t)
+        except ValueError:
+            return None
+        return network.MAPPED + f"{int(a):08x}" if a.version == 4 else f"{int(a):032x}"
+
+    assert [r.k for r in df.select(network.address_key("ip").alias("k")).collect()] == [want(t) for t in texts]
+    hits = df.where(network.in_any_cidr("ip", ["1.2.0.0/16", "2001:db8::/32", "no block"])).collect()
+    assert [r.ip for r in hits] == ["1.2.3.4", "2001:DB8::1", "::ffff:1.2.3.4"]
+
+
+def test_payload_slices_keep_the_limit(spark):
+    rows = spark.createDataFrame([("k", i, "x" * n) for i, n in enumerate([40, 30, 5, 5, 90, 20, 250, 1, 99])], "k string, i int, body string")
+    out = rollup.payload_slices(rows, ["k"], ["i"], F.floor(F.col("i") / 2), "body", 100)
+    sizes = out.groupBy("slice").agg(F.sum(F.length("body")).alias("n"), F.count(F.lit(1)).alias("rows"), F.min("i").alias("a")).orderBy("slice").collect()
+    assert all(r.n <= 100 or r.rows == 1 for r in sizes) and [r.a for r in sizes] == sorted(r.a for r in sizes)
