@@ -1,7 +1,7 @@
 """Timings of the headline queries, as one JSON line.
 
 BENCH_SF_DIR names the tables, BENCH_CPUS the local cores. Each query runs once to warm up and then BENCH_RUNS times;
-the median counts. Results go to the no-op sink, so nothing is collected.
+the median counts. ``first_run`` has the warm-up, which also lands the tables that jobs hand on (raw input included). Results go to the no-op sink, so nothing is collected.
 """
 
 from __future__ import annotations
@@ -41,13 +41,15 @@ HEADLINE = [
     "i06_snapshot_increment",
     "c01_required_tags",
     "c04_propagate_tags",
+    "l07_cdn_log_by_header",
+    "x11_monthly_cost",
 ]
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = build_session(
         "bench", f"local[{cpus}]", spark_sql_shuffle_partitions=cpus, spark_driver_memory=os.environ.get("BENCH_MEMORY", "16g")
     )
@@ -55,12 +57,14 @@ def main() -> None:
     local_scratch(spark)
     known = all_queries()
     timings: dict[str, float] = {}
+    first: dict[str, float] = {}
     for name in HEADLINE:
         taken = []
         for _ in range(runs + 1):
             start = time.perf_counter()
             known[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
             taken.append(time.perf_counter() - start)
+        first[name] = round(taken[0], 3)
         timings[name] = round(statistics.median(taken[1:]), 3)
         print(f"{name} {timings[name]}", file=sys.stderr, flush=True)
     print(
@@ -70,6 +74,7 @@ def main() -> None:
                 "value": round(sum(timings.values()), 3),
                 "unit": "sec",
                 "queries": timings,
+                "first_run": first,
                 "sf": os.path.basename(sf_dir.rstrip("/")),
             }
         )

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 
 from skyledger.operators import allocation, cost
+from skyledger.session import cut_lineage
 
 LEVELS = {
     0: allocation.allocate_compute,
@@ -27,10 +28,10 @@ def monthly_cost(
 ) -> dict[str, DataFrame]:
     """Standardise, allocate to workloads, then untag and unit cost, both on the allocated table.
 
-    ``stage`` may materialise a step (write the table and read it back, or checkpoint): it is given each intermediate
-    table and its name. Without it everything stays one lazy plan.
+    The standardised and the allocated table are stored in the scratch folder, as each has several readers. ``stage``
+    stores them elsewhere or not at all: it is given each of the two and its name.
     """
-    keep = stage or (lambda df, name: df)
+    keep = stage or (lambda df, name: cut_lineage(df))
     standard = keep(cost.standardize(cur, year, month), "standard")
 
     def month_of(df: DataFrame) -> DataFrame:
