@@ -128,13 +128,82 @@ def cap_filter_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-@query("op9_prob_minhash")
+PROB_MINHASH_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
+), grams AS (
+  SELECT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g
+  FROM words
+), counts AS (
+  SELECT doc_id, g, count(*)::DOUBLE AS x FROM grams GROUP BY ALL
+), totals AS (
+  SELECT doc_id, sum(x) AS total FROM counts GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, sum(a.x) AS xa, sum(b.x) AS xb
+  FROM counts a JOIN counts b USING (g) WHERE a.doc_id < b.doc_id GROUP BY ALL
+), near AS (
+  SELECT a, b, ta.total - xa AS only_a, tb.total - xb AS only_b
+  FROM shared JOIN totals ta ON ta.doc_id = a JOIN totals tb ON tb.doc_id = b
+  WHERE xa > 0.79 * ta.total AND xb > 0.79 * tb.total
+), common AS (
+  SELECT n.a, n.b, ca.x, cb.x AS y FROM near n JOIN counts ca ON ca.doc_id = n.a JOIN counts cb ON cb.doc_id = n.b AND cb.g = ca.g
+), ratios AS (
+  SELECT a, b, x / y AS r, sum(x) AS xs FROM common GROUP BY ALL
+), larger AS (
+  SELECT r.a, r.b, r.r, any_value(r.xs) AS xs, sum(greatest(m.x, r.r * m.y)) AS top FROM ratios r JOIN common m USING (a, b) GROUP BY r.a, r.b, r.r
+), links AS MATERIALIZED (
+  SELECT a, b FROM larger JOIN near USING (a, b) GROUP BY a, b HAVING sum(xs / (only_a + r * only_b + top)) >= 0.8
+), ends AS MATERIALIZED (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT DISTINCT doc_id, doc_id AS other FROM documents WHERE doc_id IS NOT NULL
+  UNION
+  SELECT r.doc_id, e.b FROM reached r JOIN ends e ON r.other = e.a
+), classes AS (
+  SELECT doc_id, min(other) AS class_id FROM reached GROUP BY doc_id
+)
+SELECT doc_id, class_id, coalesce(doc_id = class_id, true) AS kept FROM documents LEFT JOIN classes USING (doc_id)
+"""
+
+
+@query("op9_prob_minhash", PROB_MINHASH_SQL)
 def prob_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of near copies of every document."""
     return prob_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query("op6_suffix_dedup")
+SUFFIX_SQL = """
+WITH texts AS (
+  SELECT doc_id, hex(encode(min(coalesce(text, '')))) AS h FROM documents GROUP BY doc_id
+), sized AS (
+  SELECT doc_id, h, length(h) // 2 AS n FROM texts
+), strings AS (
+  SELECT doc_id, s, md5(substr(h, 2 * s + 1, 200)) AS k FROM (SELECT doc_id, h, unnest(range(n - 99)) AS s FROM sized WHERE n >= 100)
+), firsts AS (
+  SELECT k, min(doc_id * 16777216 + s) AS place FROM strings GROUP BY k HAVING count(*) > 1
+), again AS (
+  SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS before
+  FROM strings JOIN firsts USING (k) WHERE doc_id * 16777216 + s > place
+), runs AS (
+  SELECT doc_id, s, sum(CASE WHEN s <= before + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM again
+), spans AS (
+  SELECT doc_id, run, min(s) AS a, max(s) + 100 AS b FROM runs GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM spans
+  UNION ALL SELECT doc_id, max(b), 2147483647 FROM spans GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS h FROM gaps JOIN sized USING (doc_id) GROUP BY doc_id
+), removed AS (
+  SELECT doc_id, sum(b - a) AS bytes, count(*) AS spans FROM spans GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, coalesce(r.bytes, 0)::BIGINT AS n_removed, coalesce(r.spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k.h, z.h))) AS kept_sha256
+FROM sized z LEFT JOIN removed r USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
+
+@query("op6_suffix_dedup", SUFFIX_SQL)
 def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What repeats within 100 bytes and is removed from every document, with a digest of the rest."""
     done = suffix_dedup.deduplicate(table(spark, sf_dir, "documents"))
