@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ipaddress
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -51,7 +52,31 @@ def cidr_end(cidr: Column | str) -> Column:
 
 # An IPv4 address as the last 32 bits of an IPv6 one.
 MAPPED = "0" * 20 + "ffff"
-_V6 = r"^[0-9a-f:]+(:(25[0-5]|2[0-4]\d|1?\d?\d)(\.(25[0-5]|2[0-4]\d|1?\d?\d)){3})?$"
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once; written out at every use, nested expressions would multiply."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _v6_key(text: Column) -> Column:
+    """Key of IPv6 text without an IPv4 tail."""
+
+    def of_halves(halves: Column) -> Column:
+        groups = lambda k: F.filter(F.split(F.coalesce(F.get(halves, F.lit(k)), F.lit("")), ":", -1), lambda g: g != "")
+        both = F.struct(groups(0).alias("left"), groups(1).alias("right"), (F.size(halves) == 2).alias("short"))
+
+        def of_groups(part: Column) -> Column:
+            gap = F.lit(8) - F.size(part["left"]) - F.size(part["right"])
+            sound = F.when(part["short"], gap >= 1).otherwise(gap == 0)
+            whole = F.concat(part["left"], F.array_repeat(F.lit("0"), F.greatest(gap, F.lit(0))), part["right"])
+            return F.when(sound, F.array_join(F.transform(whole, lambda g: F.when(F.length(g) <= 4, F.lpad(g, 4, "0"))), ""))
+
+        return F.when(F.size(halves) <= 2, _let(both, of_groups))
+
+    key = _let(F.split(text, "::", -1), of_halves)
+    # groups that are too long leave their place empty
+    return F.when(text.rlike("^[0-9a-f:]+$") & ~text.rlike(":::|^:[^:]|[^:]:$") & (F.length(key) == 32), key)
 
 
 def address_key(ip: Column | str) -> Column:
@@ -59,23 +84,15 @@ def address_key(ip: Column | str) -> Column:
 
     IPv4 and the IPv4-mapped form of IPv6 give the same key.
     """
-    text = F.lower(F.trim(_col(ip)))
-    v4 = ip_number(text)
-    tail = F.regexp_extract(text, r":(\d+\.\d+\.\d+\.\d+)$", 1)
-    number = ip_number(F.nullif(tail, F.lit("")))
-    words = F.concat_ws(":", F.hex(F.shiftright(number, 16)), F.hex(number.bitwiseAND(F.lit(65535))))
-    plain = F.when(tail != "", F.lower(F.concat(F.regexp_replace(text, r"\d+(\.\d+){3}$", ""), words))).otherwise(text)
-    halves = F.split(plain, "::", -1)
-    groups = lambda part: F.filter(F.split(part, ":", -1), lambda g: g != "")
-    left, right = groups(F.get(halves, F.lit(0))), groups(F.coalesce(F.get(halves, F.lit(1)), F.lit("")))
-    short = F.size(halves) == 2
-    gap = F.when(short, F.lit(8) - F.size(left) - F.size(right)).otherwise(F.lit(0))
-    whole = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(gap, F.lit(0))), right)
-    tidy = ~plain.rlike(":::") & (F.size(halves) <= 2) & ~plain.rlike("^:[^:]|[^:]:$")
-    sound = tidy & (F.size(whole) == 8) & (~short | (gap >= 1)) & F.forall(whole, lambda g: F.length(g) <= 4)
-    v6 = F.when(text.rlike(_V6) & text.contains(":") & sound, F.array_join(F.transform(whole, lambda g: F.lpad(g, 4, "0")), ""))
-    mapped = F.concat(F.lit(MAPPED), F.lpad(F.lower(F.hex(v4)), 8, "0"))
-    return F.when(v4.isNotNull(), mapped).otherwise(v6)
+
+    def of_text(text: Column) -> Column:
+        mapped = _let(ip_number(text), lambda n: F.concat(F.lit(MAPPED), F.lpad(F.lower(F.hex(n)), 8, "0")))
+        tail = F.regexp_extract(text, r":(\d+(?:\.\d+){3})$", 1)
+        words = _let(ip_number(tail), lambda n: F.concat_ws(":", F.lower(F.hex(F.shiftright(n, 16))), F.lower(F.hex(n.bitwiseAND(F.lit(65535))))))
+        whole = F.when(tail != "", F.when(tail.rlike(DOTTED), F.concat(F.regexp_replace(text, r"\d+(\.\d+){3}$", ""), words))).otherwise(text)
+        return F.when(text.rlike(DOTTED), mapped).when(text.contains(":"), _let(whole, _v6_key))
+
+    return _let(F.lower(F.trim(_col(ip))), of_text)
 
 
 def cidr_keys(cidr: str) -> tuple[str, str] | None:

@@ -7,15 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.functions.network import MAPPED
 from skyledger.operators.keyed import _row_salt
 
 
-def block_slices(blocks: DataFrame, bits: int = 16) -> DataFrame:
-    """One row per block and aligned slice of ``2**bits`` addresses it covers."""
-    width = 1 << bits
-    first = F.floor(F.col("start_ip") / F.lit(width)).cast("long")
-    last = F.floor(F.col("end_ip") / F.lit(width)).cast("long")
-    return blocks.withColumn("_slice", F.explode(F.sequence(first, last)))
+def keyed_blocks(blocks: DataFrame) -> DataFrame:
+    """``blocks`` with ``start_key`` and ``end_key``: as given, or from the IPv4 numbers ``start_ip`` and ``end_ip``."""
+    if "start_key" in blocks.columns:
+        return blocks
+    hexed = lambda c: F.lpad(F.lower(F.hex(F.col(c).cast("long"))), 8, "0")
+    return blocks.withColumn("start_key", hexed("start_ip")).withColumn("end_key", hexed("end_ip"))
 
 
 def enrich_by_block(
@@ -23,20 +24,33 @@ def enrich_by_block(
     blocks: DataFrame,
     attributes: Sequence[str],
     ip: str = "ip_number",
-    bits: int = 16,
     salts: int = 8,
     missing: str = "unknown",
 ) -> DataFrame:
     """Attributes of the block holding each address, ``missing`` where there is none.
 
-    Blocks do not overlap. The range test runs inside an equi-join on the address slice, so there is no nested loop;
-    addresses are de-duplicated first, which turns a source that sends a third of all rows into one look-up row.
+    ``ip`` is an IPv4 number where blocks have ``start_ip`` and ``end_ip``, or text as ``network.address_key`` gives it,
+    for either family, where they have ``start_key`` and ``end_key``. Blocks do not overlap.
+
+    A block is filed once, under the digits that its first and last address have in common; an address is looked up
+    under each of its beginnings (9 for an IPv4 number). Blocks filed under the same digits differ in the next one, so
+    there are 15 of them at most and no address meets more, however dense the blocks are. Addresses are de-duplicated
+    first, which turns a source that sends a third of all rows into one look-up.
     """
+    text = "start_key" in blocks.columns
+    filed = keyed_blocks(blocks)
+    digits = F.length("start_key")
+    shared = F.size(F.filter(F.sequence(F.lit(1), digits), lambda n: F.col("start_key").substr(F.lit(1), n) == F.col("end_key").substr(F.lit(1), n)))
+    filed = filed.withColumn("_file", F.col("start_key").substr(F.lit(1), shared)).select("_file", "start_key", "end_key", *attributes)
     distinct = rows.select(F.col(ip).alias("_ip")).where(F.col("_ip").isNotNull()).distinct()
-    sliced = distinct.withColumn("_slice", F.floor(F.col("_ip") / F.lit(1 << bits)).cast("long"))
+    key = F.lower(F.col("_ip")) if text else F.lpad(F.lower(F.hex(F.col("_ip").cast("long"))), 8, "0")
+    # IPv4 addresses share their first digits as keys of both families, and so do their blocks
+    first = F.when(F.col("_key").startswith(MAPPED), F.lit(len(MAPPED))).otherwise(F.lit(0))
+    looked = distinct.withColumn("_key", key).withColumn("_n", F.explode(F.sequence(first, F.length("_key"))))
     found = (
-        sliced.join(block_slices(blocks, bits), "_slice", "inner")
-        .where(F.col("_ip").between(F.col("start_ip"), F.col("end_ip")))
+        looked.withColumn("_file", F.col("_key").substr(F.lit(1), F.col("_n")))
+        .join(filed, "_file", "inner")
+        .where(F.col("_key").between(F.col("start_key"), F.col("end_key")))
         .select("_ip", *attributes)
     )
     # Back to the rows by address, salted because one address may be most of them.

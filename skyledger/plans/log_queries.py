@@ -245,6 +245,26 @@ def a12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(cdn_rollup(spark, sf_dir), "minute", *rollup.CDN_KEYS)
 
 
+@query(
+    "j10_blocks_of_both_families",
+    """SELECT user_id % 2 AS family, coalesce(n_name, 'unknown') AS name, count(*) AS events, count(DISTINCT (user_id % 256) * 256 + event_id % 256) AS addresses
+      FROM events LEFT JOIN nation ON n_nationkey = (user_id % 256) // 10 GROUP BY 1, 2""",
+)
+def j10_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses of both families, in blocks of ten /24 or /48 networks per nation."""
+    x, y = F.col("user_id") % 256, F.col("event_id") % 256
+    v4 = F.concat_ws(".", F.lit("10"), F.lit("0"), x.cast("string"), y.cast("string"))
+    v6 = F.concat(F.lit("2001:DB8:"), F.hex(x), F.lit("::"), F.hex(y))
+    rows = events(spark, sf_dir).select((F.col("user_id") % 2).alias("family"), F.when(F.col("user_id") % 2 == 0, v4).otherwise(v6).alias("ip"))
+    n = F.col("n_nationkey")
+    nations = b.table(spark, sf_dir, "nation")
+    low = nations.select("n_name", F.concat(F.lit("10.0."), (n * 10).cast("string"), F.lit(".0")).alias("a"), F.concat(F.lit("10.0."), (n * 10 + 9).cast("string"), F.lit(".255")).alias("z"))
+    high = nations.select("n_name", F.concat(F.lit("2001:db8:"), F.hex(n * 10), F.lit("::")).alias("a"), F.concat(F.lit("2001:db8:"), F.hex(n * 10 + 9), F.lit(":ffff:ffff:ffff:ffff:ffff")).alias("z"))
+    blocks = low.unionByName(high).select(network.address_key("a").alias("start_key"), network.address_key("z").alias("end_key"), F.col("n_name").alias("name"))
+    out = geo.enrich_by_block(rows.withColumn("key", network.address_key("ip")), blocks, ["name"], "key")
+    return out.groupBy("family", "name").agg(F.count(F.lit(1)).alias("events"), F.countDistinct("key").alias("addresses"))
+
+
 @query(
     "a13_cdn_dimension_sets",
     f"""WITH {_MINUTES}, hours AS (SELECT minute // 86400000 * 86400000 AS minute, * EXCLUDE (minute) FROM mins)
