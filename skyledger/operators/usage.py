@@ -34,11 +34,15 @@ def _series_id() -> Column:
     return F.xxhash64(F.array_sort(F.map_entries("labels")))
 
 
-def _pod_rows(samples: DataFrame, metric: str, with_image: bool) -> DataFrame:
-    rows = samples.where(F.col("metric") == metric)
-    if with_image:
-        rows = rows.where(_label("image") != "")
-    return rows.select(
+def _pod_rows(samples: DataFrame) -> DataFrame:
+    """Samples of all pod metrics with their kind; CPU and memory only of containers, which have an image."""
+    kind = None
+    for name, metric in POD_METRICS.items():
+        test = F.col("metric") == metric
+        kind = F.when(test, F.lit(name)) if kind is None else kind.when(test, F.lit(name))
+    kept = samples.where(F.col("metric").isin(*POD_METRICS.values())).withColumn("kind", kind)
+    return kept.where(~F.col("kind").isin("cpu", "memory") | (_label("image") != "")).select(
+        "kind",
         _label(REGION).alias("region"),
         _label(CLUSTER).alias("cluster"),
         _label("namespace").alias("namespace"),
@@ -69,19 +73,23 @@ def pods_off_host_network(samples: DataFrame) -> DataFrame:
     return rows.groupBy(*keys).agg(F.avg("value").alias("value"))
 
 
-def _daily_pod_metric(samples: DataFrame, kind: str, apps: DataFrame, off_host: DataFrame) -> DataFrame:
-    series = [*POD_LABELS, "series"]
-    rows = m.drop_repeated_samples(_pod_rows(samples, POD_METRICS[kind], kind in ("cpu", "memory")), series, "epoch")
-    if kind == "memory":
-        hourly, column = m.average_over(rows, series), "average"
-    else:
-        hourly, column = m.counter_increase(rows, series), "rate" if kind == "cpu" else "increase"
-    daily = m.sum_by_day(hourly, series, column)
-    by_pod = daily.groupBy(*POD_LABELS, "day_start").agg(F.sum("value").alias("value"))
-    if kind.startswith("network"):
-        by_pod = m.match_named(by_pod, off_host, ["pod", "day_start"], "namespace")
-    labelled = m.match_named(by_pod, apps, ["pod", "day_start"], "namespace", ["app"])
-    return labelled.withColumn("kind", F.lit(kind))
+def _daily_pod_metrics(samples: DataFrame, apps: DataFrame, off_host: DataFrame) -> DataFrame:
+    """Daily value per pod, kind and application; the kind is part of the series, so all metrics go through together."""
+    series = ["kind", *POD_LABELS, "series"]
+    unique = m.drop_repeated_samples(_pod_rows(samples), series, "epoch")
+    levels = m.average_over(unique.where(F.col("kind") == "memory"), series).withColumnRenamed("average", "hourly")
+    grown = m.counter_increase(unique.where(F.col("kind") != "memory"), series)
+    grown = grown.withColumn("hourly", F.when(F.col("kind") == "cpu", F.col("rate")).otherwise(F.col("increase")))
+    hourly = levels.unionByName(grown.select(*levels.columns))
+    day = m.floor_epoch("window_start", 86400).alias("day_start")
+    by_pod = hourly.groupBy("kind", *POD_LABELS, day).agg(F.sum("hourly").alias("value"))
+    # Network use counts only for pods that have an interface of their own.
+    own = off_host.groupBy("pod", "day_start").agg(F.map_from_entries(F.collect_list(F.struct("namespace", "value"))).alias("_own"))
+    weight = F.coalesce(F.try_element_at("_own", F.col("namespace")), F.try_element_at("_own", F.lit("")))
+    network = F.col("kind").startswith("network")
+    weighted = join_totals(by_pod, own, ["pod", "day_start"]).withColumn("_weight", F.when(network, weight).otherwise(F.lit(1.0)))
+    counted = weighted.where(F.col("_weight").isNotNull()).withColumn("value", F.col("value") * F.col("_weight")).select(*by_pod.columns)
+    return m.match_named(counted, apps, ["pod", "day_start"], "namespace", ["app"])
 
 
 def pod_reservations(samples: DataFrame) -> DataFrame:
@@ -112,9 +120,7 @@ def pod_daily_usage(samples: DataFrame, usage_account: str) -> DataFrame:
 
     ``samples``: metric, labels (map), epoch (seconds), value.
     """
-    apps, off_host = pod_apps(samples), pods_off_host_network(samples)
-    parts = [_daily_pod_metric(samples, kind, apps, off_host) for kind in POD_METRICS]
-    stacked = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    stacked = _daily_pod_metrics(samples, pod_apps(samples), pods_off_host_network(samples))
 
     def of(kind: str, alias: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("value"))), F.lit(0.0)).alias(alias)
