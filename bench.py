@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from skyledger.plans import all_queries  # noqa: E402
-from skyledger.session import build_session, local_scratch  # noqa: E402
+from skyledger.session import build_session, local_scratch, release_scratch  # noqa: E402
 
 HEADLINE = [
     "x01_standardize",
@@ -79,6 +79,7 @@ def main() -> None:
             }
         )
     )
+    release_scratch(spark)
     spark.stop()
 
 

@@ -71,9 +71,26 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; ``release_scratch`` deletes it."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete everything this process stored below the shared folder. Results that read from it are written by then."""
+    while _made:
+        delete_path(spark, _made.pop())
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Goldens for expressions, logs, events, alarms and compliance; plan shape checks; stream equals batch."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -332,3 +333,14 @@ def test_payload_slices_keep_the_limit(spark):
     out = rollup.payload_slices(rows, ["k"], ["i"], F.floor(F.col("i") / 2), "body", 100)
     sizes = out.groupBy("slice").agg(F.sum(F.length("body")).alias("n"), F.count(F.lit(1)).alias("rows"), F.min("i").alias("a")).orderBy("slice").collect()
     assert all(r.n <= 100 or r.rows == 1 for r in sizes) and [r.a for r in sizes] == sorted(r.a for r in sizes)
+
+
+def test_scratch_is_released(spark, monkeypatch):
+    from skyledger import session
+
+    monkeypatch.setattr(session, "_made", [])
+    stored = session.cut_lineage(spark.range(5).toDF("x"))
+    folder = stored.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert stored.count() == 5 and os.path.isdir(folder)
+    session.release_scratch(spark)
+    assert not os.path.exists(folder)
