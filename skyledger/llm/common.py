@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from skyledger.session import scratch_path
+from skyledger.session import delete_path, scratch_path
 
 SLICE_BYTES = 2 << 20
 
@@ -22,11 +22,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def forget(df: DataFrame) -> None:
     """Delete a stored table that nothing will read again."""
-    spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        delete_path(df.sparkSession, folder)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
