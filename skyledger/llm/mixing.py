@@ -84,7 +84,9 @@ def _slot(group: Column, block: Column, plan: list[Phase]) -> Column:
             if not n:
                 continue
             inside = block - F.lit(phase.first_block[s])
-            place = F.element_at(F.array(*map(F.lit, places[s])), (inside % phase.shares[s] + 1).cast("int"))
+            # one text literal, which the optimiser folds to an array, instead of a literal per place
+            turns = F.split(F.lit(",".join(map(str, places[s]))), ",").cast("array<int>")
+            place = F.element_at(turns, (inside % phase.shares[s] + 1).cast("int"))
             slot = F.lit(phase.first_slot) + F.floor(inside / phase.shares[s]) * frame + place
             by_source.setdefault(s, []).append(F.when(block < phase.first_block[s] + n, slot))
     out = F.lit(None).cast("long")
