@@ -33,17 +33,26 @@ def join_null_safe(df: DataFrame, other: DataFrame, keys: Sequence[str], how: st
 
 
 def join_totals(
-    df: DataFrame, totals: DataFrame, keys: Sequence[str], how: str = "left", salts: int = DEFAULT_SALTS, null_safe: bool = False
+    df: DataFrame,
+    totals: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    salts: int = DEFAULT_SALTS,
+    null_safe: bool = False,
+    grows: bool = False,
 ) -> DataFrame:
     """Attach one-row-per-key ``totals`` to ``df`` without sending a hot key to one task.
 
     The salt is a hash of the row and its partition, so recomputed tasks place rows exactly as before. ``totals`` is
     already aggregated, so its ``salts`` copies stay small; adaptive execution broadcasts it when its measured size
-    allows. With ``null_safe`` a NULL key meets the NULL key of ``totals``.
+    allows. With ``null_safe`` a NULL key meets the NULL key of ``totals``. ``grows`` says that the number of keys grows
+    with the data: such totals are never broadcast, since a stored table's file size says little of its size in memory.
     """
     if salts <= 1:
+        totals = totals.hint("merge") if grows else totals
         return join_null_safe(df, totals, keys, how) if null_safe else df.join(totals, list(keys), how)
     copies = totals.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    copies = copies.hint("merge") if grows else copies
     salted = df.withColumn(SALT, _row_salt(df, keys, salts))
     joined = join_null_safe(salted, copies, [*keys, SALT], how) if null_safe else salted.join(copies, [*keys, SALT], how)
     return joined.drop(SALT)
