@@ -248,7 +248,7 @@ def near_duplicates(
         .join(components.withColumnRenamed("node", "rep"), "rep", "left")
         .select("_k1", "_k2", (F.coalesce("_links", F.lit(0)) + F.col("size") - 1).alias("_n"), F.coalesce("component", "rep").alias("_c"), F.lit(True).alias("_ok"))
     )
-    members = join_totals(rows.select("vec_id", "_ok", "_k1", "_k2"), per_class, ["_k1", "_k2", "_ok"])
+    members = join_totals(rows.select("vec_id", "_ok", "_k1", "_k2"), per_class, ["_k1", "_k2", "_ok"], grows=True)
     component = F.coalesce("_c", "vec_id")
     return members.select(
         "vec_id",

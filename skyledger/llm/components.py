@@ -43,12 +43,12 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.min("a")).alias("_least"))
-    return join_totals(both, least, ["a"]).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("_least").alias("b")).distinct()
+    return join_totals(both, least, ["a"], grows=True).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("_least").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("_least"))
-    others = join_totals(down, least, ["a"]).where(F.col("b") != F.col("_least")).select(F.col("b").alias("a"), F.col("_least").alias("b"))
+    others = join_totals(down, least, ["a"], grows=True).where(F.col("b") != F.col("_least")).select(F.col("b").alias("a"), F.col("_least").alias("b"))
     return others.unionByName(least.select("a", F.col("_least").alias("b"))).distinct()

@@ -173,8 +173,8 @@ def identify(docs: DataFrame, model: np.ndarray, languages: Sequence[str] = LANG
 
     flat = F.array(*[F.lit(0.0)] * n)
     # one row per host, declared language or suffix: attached with a salt, so a hot host does not meet in one task
-    joined = join_totals(scored, hosts, ["host"])
-    joined = join_totals(joined, by_domain, ["domain"])
+    joined = join_totals(scored, hosts, ["host"], grows=True)
+    joined = join_totals(joined, by_domain, ["domain"], grows=True)
     joined = join_totals(joined, emission("declared"), ["declared"])
     joined = join_totals(joined, emission("suffix"), ["suffix"])
     host_prior = F.coalesce("_host_prior", "_domain_prior", prior)

@@ -150,7 +150,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TASK_PAIRS).cast("int").alias("_parts"))
     task = F.pmod(F.xxhash64("a", "_part"), F.lit(tasks)).alias("task")
     dealt = (
-        join_totals(pairs, parts, ["a"])
+        join_totals(pairs, parts, ["a"], grows=True)
         .withColumn("_part", F.pmod(F.xxhash64("b"), F.col("_parts")).cast("int"))
         .select("a", F.col("b").alias("doc_id"), task)
         .join(texts, "doc_id")
@@ -248,7 +248,7 @@ def _linked_apart(placed: DataFrame, signed: DataFrame, texts: DataFrame, simila
         .where(F.col("n") > F.col("most"))
         .select("key", "main", F.ceil(F.col("most") / CHUNK).cast("int").alias("_mains"), F.ceil((F.col("n") - F.col("most")) / CHUNK).cast("int").alias("_others"))
     )
-    loose = join_totals(placed, stored(sizes, "sizes"), ["key"], "inner")
+    loose = join_totals(placed, stored(sizes, "sizes"), ["key"], "inner", grows=True)
     is_main = F.col("component") == F.col("main")
     own = F.pmod(F.xxhash64("rep"), F.when(is_main, F.col("_mains")).otherwise(F.col("_others"))).cast("int")
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
@@ -333,7 +333,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
         "bands",
     )
     firsts = keyed.groupBy("key").agg(F.min("rep").alias("first"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
-    shared = stored(join_totals(keyed, firsts, ["key"], "inner"), "buckets")
+    shared = stored(join_totals(keyed, firsts, ["key"], "inner", grows=True), "buckets")
     star = stored(shared.where(F.col("rep") != F.col("first")).select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     needed = shared.select(F.col("rep").alias("doc_id")).distinct()
     texts = stored(packed_texts(docs).join(needed, "doc_id", "left_semi"), "texts")
@@ -349,6 +349,6 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
         "k1", "k2", F.coalesce("component", "rep").alias("class_id"), F.lit(True).alias("_lettered")
     )
     members = signed.select("doc_id", "k1", "k2", (F.col("doc_id").isNotNull() & (F.size("keys") > 0)).alias("_lettered"))
-    out = join_totals(members, per_class, ["k1", "k2", "_lettered"])
+    out = join_totals(members, per_class, ["k1", "k2", "_lettered"], grows=True)
     class_id = F.coalesce("class_id", "doc_id")
     return out.select("doc_id", class_id.alias("class_id"), F.col("doc_id").eqNullSafe(class_id).alias("kept"))
