@@ -37,9 +37,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequences and places."""
-    pieces = packing.token_pieces(docs)
-    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    """The pieces of all documents with their sequences and places; sequences follow the order of the mix."""
+    pieces = packing.token_pieces(mixing.places(docs), keep=["_place"])
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), shard_pieces=packing.SHARD_PIECES, order="_place")
 
 
 STAGES = [

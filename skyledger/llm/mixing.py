@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -19,6 +20,8 @@ from pyspark.sql.window import Window
 from skyledger.llm.common import stored
 
 OTHER = "*"
+#: A place is the number of a part of the order, and below so many bits the row within the part.
+PART_BITS = 33
 
 
 def frame_schedule(shares: Mapping[str, int]) -> list[str]:
@@ -151,3 +154,21 @@ def mix(
         .withColumn("block", F.floor(F.col("position") / block_chars))
         .select("doc_id", "source_group", "block", _slot(F.col("source_group"), F.col("block"), plan).alias("slot"), "position", *(["kept"] if keep else []))
     )
+
+
+def places(docs: DataFrame, name: str = "_place") -> DataFrame:
+    """``docs`` with the place of every row in the order it was written in; places grow along that order.
+
+    For a stored table this is the number of the part file and the row within it, however files are read. Another frame
+    gives its rows the order in which its partitions are computed.
+    """
+    leaf = docs._jdf.queryExecution().analyzed().children().isEmpty()  # above a join or filter, files tell nothing of the order
+    try:
+        files = docs.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")) if leaf else None
+    except AnalysisException:
+        files = None
+    if files is None:
+        return docs.withColumn(name, F.monotonically_increasing_id())
+    number = lambda pattern: F.coalesce(F.regexp_extract("_file", pattern, 1).try_cast("long"), F.lit(0).cast("long"))
+    part = F.shiftleft(number(r"^part-(\d+)"), 11) + number(r"-c(\d+)\.")
+    return files.withColumn(name, F.shiftleft(part, PART_BITS) + F.col("_row")).drop("_file", "_row")

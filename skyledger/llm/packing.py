@@ -4,12 +4,13 @@ A document becomes pieces of at most ``length`` tokens. A piece weighs three thi
 cost of attending within it (tokens squared). Pieces are dealt to shards of bounded size and packed there by vector
 best fit: largest piece first, each into the open sequence that still holds it under every capacity and is best by the
 weighted norm of what would be left (``norm``) or the weighted dot product of need and room (``dot``). Sequences that
-stay loose are taken apart and packed once more together with those of other shards.
+stay loose are taken apart and packed once more together with those of other shards. Where pieces have an order, shards
+are consecutive stretches of it and sequences are numbered along it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -18,8 +19,10 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from skyledger.llm.common import binary_column, ranges, slices, stored, text_bytes
+from skyledger.llm.mixing import PART_BITS
 
 SEQUENCE_TOKENS = 2048
 SHARD_PIECES = 4096
@@ -107,13 +110,14 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def token_pieces(docs: DataFrame, file: str | None = None, length: int = SEQUENCE_TOKENS) -> DataFrame:
+def token_pieces(docs: DataFrame, file: str | None = None, length: int = SEQUENCE_TOKENS, keep: Sequence[str] = ()) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids): each document's token ids, closed by id 0, cut only beyond ``length``.
 
     ``ids`` is the piece's ids as little-endian unsigned 32-bit integers. A null text counts as empty and gives one
     piece of one id. Repeated rows and null ids are documents of their own. ``file`` is looked up by name on each
-    executor where it is not given.
+    executor where it is not given. Columns of ``docs`` named in ``keep`` come with every piece.
     """
+    taken = [f for f in docs.schema if f.name in keep]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _tokens(file or tokenizer_file())
@@ -133,12 +137,13 @@ def token_pieces(docs: DataFrame, file: str | None = None, length: int = SEQUENC
                     pa.array(start),
                     pa.array(size),
                     binary_column(flat.view(np.uint8), ends * 4),
+                    *[batch.column(f.name).take(pa.array(row)) for f in taken],
                 ],
-                names=["doc_id", "piece", "start", "length", "ids"],
+                names=["doc_id", "piece", "start", "length", "ids", *[f.name for f in taken]],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        cut, "doc_id long, piece int, start long, length long, ids binary"
+    return docs.select(F.col("doc_id").cast("long"), "text", *[f.name for f in taken]).mapInArrow(
+        cut, ", ".join(["doc_id long, piece int, start long, length long, ids binary", *[f"{f.name} {f.dataType.simpleString()}" for f in taken]])
     )
 
 
@@ -177,6 +182,16 @@ def best_fit(
     return bin_of, offset
 
 
+def _along(bins: np.ndarray, number: np.ndarray, stretch: int) -> np.ndarray:
+    """Numbers of the bins that grow along the order: by the stretch of the first piece, then by the mean place."""
+    first = np.full(bins.max() + 1, np.iinfo(np.int64).max)
+    np.minimum.at(first, bins, number)
+    mean = np.bincount(bins, weights=number) / np.bincount(bins)
+    rank = np.empty(len(first), np.int64)
+    rank[np.lexsort((first, mean))] = np.arange(len(first))
+    return ((first // stretch << 32) + rank)[bins]
+
+
 def pack(
     pieces: DataFrame,
     capacity: int = SEQUENCE_TOKENS,
@@ -186,12 +201,17 @@ def pack(
     rule: str = "norm",
     shard_pieces: int = SHARD_PIECES,
     loose: float = 0.995,
+    order: str | None = None,
 ) -> DataFrame:
     """Every row of ``pieces`` with its ``sequence_id`` and its ``offset`` there; its other columns are kept.
 
     A piece longer than ``capacity`` raises an error. ``max_docs`` and ``max_cost`` limit the pieces of a sequence
     and the sum of their squared lengths; by default neither binds. Equal pieces and repeated rows are placed one by
     one; an empty table gives an empty one. Columns named like the added ones are replaced.
+
+    ``order`` names a column of places as ``mixing.places`` gives them; it is not kept. Then every shard holds
+    ``shard_pieces`` pieces that follow one another, loose sequences meet those of the stretches next to them, and
+    ``sequence_id`` grows along the order: by the stretch of a sequence's first piece, within it by the mean place.
     """
     limits = np.array([capacity, max_docs or capacity, max_cost or capacity * capacity], float)
     scales = np.array(weights, float)
@@ -208,7 +228,18 @@ def pack(
         shards = max(1, -(-df.count() // shard_pieces))
         return df.withColumn("_shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)) + first), first + shards
 
-    def packed(df: DataFrame) -> DataFrame:
+    def numbered(df: DataFrame, name: str) -> DataFrame:
+        """Adds the number of every piece in the order, counted within each part of it and from the parts before."""
+        df = df.withColumn("_part", F.shiftright(F.col(order), PART_BITS))
+        at, bases = 0, []
+        for part, n in sorted(map(tuple, df.groupBy("_part").count().collect())):  # one row per stored file
+            bases.append((part, at))
+            at += n
+        inside = Window.partitionBy("_part").orderBy(order, "doc_id", "piece")
+        base = df.sparkSession.createDataFrame(bases, "_part long, _base long")
+        return df.join(base, "_part").withColumn(name, F.col("_base") + F.row_number().over(inside) - 1).drop("_part", "_base")
+
+    def packed(df: DataFrame, again: bool = False) -> DataFrame:
         names = [c for c in df.columns if c != "_shard"]
         schema = df.select(*names, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(0.0).alias("_fill")).schema
 
@@ -216,7 +247,13 @@ def pack(
             tokens = table.column("length").to_numpy().astype(np.int64)
             bins, offset = best_fit(tokens, limits, scales, rule)
             fill = np.bincount(bins, weights=tokens)[bins] / capacity
-            sequence = bins + (table.column("_shard")[0].as_py() << 32)
+            shard = table.column("_shard")[0].as_py()
+            if order is None:
+                sequence = bins + (shard << 32)
+            else:
+                sequence = _along(bins, table.column("_number").to_numpy(), shard_pieces)
+                # a stretch has loose pieces in two shards that follow one another at most
+                sequence += (1 << 31) + shard % 2 * shard_pieces if again else 0
             out = table.select(names)
             for name, values in (("sequence_id", sequence), ("offset", offset), ("_fill", fill)):
                 out = out.append_column(name, pa.array(values))
@@ -224,6 +261,14 @@ def pack(
 
         return df.groupBy("_shard").applyInArrow(one, schema)
 
+    if order is not None:
+        stretch = lambda c: F.floor(F.col(c) / shard_pieces).cast("long")
+        once = stored(packed(numbered(rows, "_number").withColumn("_shard", stretch("_number"))), "packed")
+        again = once.where(F.col("_fill") < loose).drop("sequence_id", "offset", "_fill")
+        again = numbered(again, "_again").withColumn("_shard", stretch("_again")).drop("_again")
+        done = once.where(F.col("_fill") >= loose).unionByName(packed(again, again=True))
+        return done.drop("_fill", "_number", order)
+
     first, shards = dealt(rows, 0)
     once = stored(packed(first), "packed")
     again, _ = dealt(once.where(F.col("_fill") < loose).drop("sequence_id", "offset", "_fill"), shards)

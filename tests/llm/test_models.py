@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 import pytest
-from brute import ASSIGN, awkward, base_spans, crc, documents, near_groups
+from brute import ASSIGN, awkward, base_spans, crc, documents, near_groups, prose
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -139,6 +139,24 @@ def test_stages_keep_columns_and_take_awkward_rows(spark):
     assert rows.where("piece = 0 AND doc_id <> 4").count() == 4
 
 
+@pytest.mark.parametrize("lazy", [True, False])
+def test_sequences_follow_the_mix(spark, tmp_path, monkeypatch, lazy):
+    monkeypatch.setattr(packing, "SHARD_PIECES", 64)
+    rows = [(i, prose(i, 150), "en", f"src{i % 2}") for i in range(1600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(7)
+    mixed = corpus_pipeline.mixture(spark, docs, "")
+    if not lazy:
+        mixed.write.parquet(str(tmp_path / "mixed"))
+        mixed = spark.read.parquet(str(tmp_path / "mixed"))
+    got = corpus_pipeline.packed(spark, mixed, "").toPandas().sort_values("sequence_id")
+    assert sorted(got.doc_id) == list(range(1600)) and got.groupby("sequence_id").length.sum().max() <= 2048
+    assert not set(got.columns) - {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
+    # src0 : src1 = 60 : 20 until src0 runs out after two thirds of all, a block being a twelfth of a source or so
+    done = got.length.cumsum() / got.length.sum()
+    share = lambda a, b: got.length[(done > a) & (done <= b) & (got.doc_id % 2 == 0)].sum() / got.length.sum() / (b - a)
+    assert 0.6 < share(0, 0.3) < 0.9 and 0.6 < share(0.3, 0.6) < 0.9 and share(0.75, 1) < 0.1
+
+
 def test_stages_take_an_empty_table(spark):
     rows = documents(spark, []).limit(0)
     for _, stage in corpus_pipeline.STAGES:
