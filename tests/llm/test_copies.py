@@ -150,6 +150,25 @@ def test_passages_planted_and_fuzzy(spark):
     assert by_doc[102][0].identity >= 0.8
 
 
+def test_passages_of_every_identity(spark):
+    rng, rows, planted = np.random.default_rng(11), [], collections.defaultdict(set)
+    for i in range(360):
+        words, share = (50, 60, 80)[i % 3], (0.0, 0.05, 0.1, 0.15)[i // 3 % 4]
+        passage = prose(5000 + i, words).split()
+        changed = rng.random(words) < share
+        if changed.mean() > 0.2:
+            continue
+        copy = [f"new{rng.integers(10**9)}" if c else w for w, c in zip(passage, changed, strict=True)]
+        rows += [(1000 + i, f"{prose(6000 + i, 30)} {' '.join(passage)} {prose(7000 + i, 30)}")]
+        rows += [(9000 + i, f"{prose(8000 + i, 20)} {' '.join(copy)} {prose(9000 + i, 40)}")]
+        planted[words, share].add((9000 + i, 1000 + i))
+    got = fuzzy_passages.shared_passages(documents(spark, rows)).collect()
+    assert all(r.identity >= 0.8 and min(r.end_word - r.start_word, r.source_end - r.source_start) >= 45 for r in got)
+    found = {(r.doc_id, r.source_id) for r in got}
+    recall = {k: len(v & found) / len(v) for k, v in planted.items()}
+    assert min(recall.values()) >= 0.7 and min(r for (words, share), r in recall.items() if words >= 60 or share <= 0.05) >= 0.9, recall
+
+
 def test_passages_of_nothing(spark):
     assert fuzzy_passages.shared_passages(documents(spark, []).limit(0)).count() == 0
     assert fuzzy_passages.shared_passages(documents(spark, [(1, None), (2, ""), (3, "a b"), (3, "a b")])).count() == 0
