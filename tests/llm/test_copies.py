@@ -169,6 +169,16 @@ def test_passages_of_every_identity(spark):
     assert min(recall.values()) >= 0.7 and min(r for (words, share), r in recall.items() if words >= 60 or share <= 0.05) >= 0.9, recall
 
 
+def test_second_copy_of_a_passage(spark):
+    passage = prose(80, 70)
+    part = " ".join(passage.split()[:30])
+    rows = [(1, f"{prose(81, 50)} {passage} {prose(82, 50)}"), (2, f"{prose(83, 40)} {passage} {prose(84, 90)} {passage}")]
+    rows += [(3, f"{part} {prose(85, 60)} {passage}")]
+    got = fuzzy_passages.shared_passages(documents(spark, rows)).collect()
+    assert {r.source_id for r in got} == {1}
+    assert sorted((r.doc_id, r.start_word, r.end_word) for r in got) == [(2, 40, 110), (2, 200, 270), (3, 90, 160)]
+
+
 def test_passages_of_nothing(spark):
     assert fuzzy_passages.shared_passages(documents(spark, []).limit(0)).count() == 0
     assert fuzzy_passages.shared_passages(documents(spark, [(1, None), (2, ""), (3, "a b"), (3, "a b")])).count() == 0
