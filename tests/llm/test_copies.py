@@ -169,6 +169,18 @@ def test_passages_of_every_identity(spark):
     assert min(recall.values()) >= 0.7 and min(r for (words, share), r in recall.items() if words >= 60 or share <= 0.05) >= 0.9, recall
 
 
+def test_passages_of_common_sentences(spark):
+    # three sentences of 30 words that stand alone in earlier documents, then together in two
+    rows, pairs = [], set()
+    for g in range(40):
+        sentences = [prose(20_000 + 10 * g + k, 30) for k in range(3)]
+        rows += [(1000 * g + k, f"{prose(30_000 + 10 * g + k, 30)} {sentences[k]} {prose(40_000 + 10 * g + k, 30)}") for k in range(3)]
+        rows += [(1000 * g + 10 + k, f"{prose(50_000 + 10 * g + k, 30)} {' '.join(sentences)} {prose(60_000 + 10 * g + k, 30)}") for k in range(2)]
+        pairs.add((1000 * g + 11, 1000 * g + 10))
+    got = fuzzy_passages.shared_passages(documents(spark, rows)).collect()
+    assert {(r.doc_id, r.source_id) for r in got} == pairs
+
+
 def test_second_copy_of_a_passage(spark):
     passage = prose(80, 70)
     part = " ".join(passage.split()[:30])
