@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import cap_filters, fuzzy_passages, language_id, mixing, packing, prob_minhash, pu_quality, secret_scan, suffix_dedup, topk_search
+from skyledger.llm import (
+    cap_filters,
+    fuzzy_passages,
+    language_id,
+    merkle,
+    mixing,
+    packing,
+    prob_minhash,
+    pu_quality,
+    secret_scan,
+    spelling,
+    suffix_dedup,
+    topk_search,
+    url_rules,
+)
 from skyledger.plans.registry import Query
 
 REGISTRY: dict[str, Query] = {}
@@ -214,3 +228,159 @@ def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The passages that every document shares with an earlier one."""
     return fuzzy_passages.shared_passages(table(spark, sf_dir, "documents"))
+
+
+#: CRC-32 in SQL: its table from the polynomial, and the step over the bytes of a text given in hexadecimal.
+CRC_TABLE = """
+crc AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS steps
+)"""
+
+
+def crc_sql(hex_text: str) -> str:
+    byte = f"list_transform(range(length({hex_text}) // 2), lambda i: ('0x' || substr({hex_text}, 2 * i + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {byte}), lambda c, b: xor(c // 256, steps[xor(c % 256, b) + 1])), 4294967295)"
+
+
+SPELLING_SQL = f"""
+WITH RECURSIVE {CRC_TABLE}, runs AS (
+  SELECT doc_id, translate(w, '{url_rules.UPPER}', '{url_rules.LOWER}') AS w
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS w FROM documents)
+), per_doc AS (
+  SELECT doc_id, w, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || w)) AS h FROM runs WHERE length(w) >= 6 GROUP BY doc_id, w
+), checks AS (
+  SELECT w, n, {crc_sql("h")} AS h FROM per_doc, crc
+), words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN left(w, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS word, n FROM checks)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), cuts AS MATERIALIZED (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS cut FROM (SELECT word, n, unnest(range(length(word)))::INT AS i FROM words)
+), near AS MATERIALIZED (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cuts c JOIN words w ON c.cut = w.word
+  UNION SELECT w.word, c.word, c.n FROM cuts c JOIN words w ON c.cut = w.word
+), judged AS MATERIALIZED (
+  SELECT words.word, n, n_near, CASE WHEN best.other_n >= 5 * n THEN best.other END AS form, CASE WHEN best.other_n >= 5 * n THEN best.other_n END AS form_n
+  FROM words LEFT JOIN (
+    SELECT word, count(*) AS n_near, first({{'other': other, 'other_n': other_n}} ORDER BY other_n DESC, other) AS best FROM near GROUP BY word
+  ) USING (word)
+), chain AS (
+  SELECT word, word AS reached, 0 AS step FROM judged
+  UNION ALL SELECT c.word, j.form, c.step + 1 FROM chain c JOIN judged j ON c.reached = j.word WHERE j.form IS NOT NULL
+), roots AS (
+  SELECT word, arg_max(reached, step) AS root FROM chain GROUP BY word
+)
+SELECT word, form, root, n, coalesce(n_near, 0) AS n_near, form_n FROM judged JOIN roots USING (word)
+"""
+
+
+@query("op11_spelling_variants", SPELLING_SQL)
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frequent words of all documents, some with a letter dropped, each with the form it is a variant of."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), shortest=6, least=5, ratio=5, drop_every=199)
+
+
+#: Host rules of the contract, and globs for all other pages: mobile mirrors, feeds, sessions in paths, files that hold no text.
+HOST_RULES = [
+    url_rules.HostRule("block", "net", "/"),
+    url_rules.HostRule("allow", "example.net", "/en/"),
+    url_rules.HostRule("block", "example.com", "/de/"),
+    url_rules.HostRule("allow", "org", "/fr/"),
+]
+URL_GLOBS = [url_rules.Glob("block", g) for g in ("m.*/**", "**/feed/", "**;jsessionid=**", "**/login", "**.zip", "**.exe", "**.jp?g")]
+
+URL_SQL = f"""
+WITH parts AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), '{url_rules.UPPER}', '{url_rules.LOWER}') AS host,
+         regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+  FROM pages
+), judged AS (
+  SELECT page_id, host, path, CASE
+      WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+      WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+      WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+      WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM parts
+)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+    WHEN rule IS NOT NULL THEN 'allow'
+    WHEN regexp_full_match(host || path, 'm[.][^/]*/.*|.*/feed/|.*;jsessionid=.*|.*/login|.*[.]zip|.*[.]exe|.*[.]jp[^/]g', 's') THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM judged
+"""
+
+
+@query("op12_url_rules", URL_SQL)
+def url_rule_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    return url_rules.judge(table(spark, sf_dir, "pages"), HOST_RULES, URL_GLOBS)
+
+
+def _tree_sql(prefix: str, leaves: str, depth: int) -> str:
+    """CTEs of one set of trees: node levels from ``leaves`` (tree, idx, d), and left and right neighbours in each run."""
+    out = [f"{prefix}0 AS MATERIALIZED (SELECT tree, idx, d, count(*) OVER (PARTITION BY tree) AS n FROM {leaves})"]
+    for k in range(depth):
+        out.append(f"""{prefix}{k + 1} AS MATERIALIZED (
+  SELECT tree, idx // 8 AS idx, sha256(string_agg(d, '' ORDER BY idx)) AS d, count(*) OVER (PARTITION BY tree) AS n FROM {prefix}{k} WHERE n > 1 GROUP BY tree, idx // 8
+  UNION ALL SELECT tree, idx, d, n FROM {prefix}{k} WHERE n = 1
+)""")
+        run = "PARTITION BY tree, idx // 8 ORDER BY idx ROWS BETWEEN"
+        out.append(f"""{prefix}{k}_run AS MATERIALIZED (
+  SELECT tree, idx, n > 1 AS climbs, coalesce(string_agg(d, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(d, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {prefix}{k}
+)""")
+    return ",\n".join(out)
+
+
+def _fold_sql(prefix: str, source: str, depth: int) -> str:
+    """CTEs that carry (tree, idx, proof, folded) of ``source`` up all levels; the rest of the row rides along."""
+    out = []
+    for k in range(depth):
+        out.append(f"""{prefix}{k}_fold AS (
+  SELECT s.* EXCLUDE (idx, proof, folded), CASE WHEN climbs THEN s.idx // 8 ELSE s.idx END AS idx,
+         CASE WHEN climbs THEN proof || l || r ELSE proof END AS proof, CASE WHEN climbs THEN sha256(l || folded || r) ELSE folded END AS folded
+  FROM {source} s JOIN {prefix}{k}_run t ON s.tree = t.tree AND s.idx = t.idx
+)""")
+        source = f"{prefix}{k}_fold"
+    return ",\n".join(out)
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR))::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+LEAF_SQL = " || ".join(_field_sql(c) for c in merkle.FIELDS)
+FORGED_SQL = " || ".join(_field_sql("forged" if c == "text" else c) for c in merkle.FIELDS)
+LEVELS, TOP_LEVELS = 6, 2  # enough for 262,144 rows of a language and 64 languages
+
+MERKLE_SQL = f"""
+WITH {CRC_TABLE}, checks AS (
+  SELECT d.*, {crc_sql("hex(encode(doc_id::VARCHAR))")} AS c FROM documents d, crc
+), swapped AS (
+  SELECT *, CASE WHEN c % 3 = 0 THEN translate(text, '{url_rules.UPPER}', '{url_rules.LOWER}') ELSE text END AS forged FROM checks
+), leaves AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS tree, sha256({LEAF_SQL}) AS d, sha256({FORGED_SQL}) AS claim FROM swapped
+), placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, d) - 1 AS idx FROM leaves
+), {_tree_sql("t", "placed", LEVELS)}, groups AS MATERIALIZED (
+  SELECT tree AS name, '' AS tree, d, row_number() OVER (ORDER BY tree) - 1 AS idx FROM t{LEVELS}
+), {_tree_sql("g", "groups", TOP_LEVELS)}, begun AS (
+  SELECT doc_id, d AS leaf, tree, idx, '' AS proof, claim AS folded FROM placed
+), {_fold_sql("t", "begun", LEVELS)}, joined AS (
+  SELECT f.doc_id, f.leaf, f.proof, f.folded, g.d AS subroot, g.tree, g.idx FROM t{LEVELS - 1}_fold f JOIN groups g ON f.tree = g.name
+), {_fold_sql("g", "joined", TOP_LEVELS)}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM g{TOP_LEVELS - 1}_fold, (SELECT d AS root FROM g{TOP_LEVELS})
+"""
+
+
+@query("op13_merkle_manifest", MERKLE_SQL)
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document; a third of the proofs are checked with a changed text."""
+    forged = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    text = F.when(forged, merkle.lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    return merkle.manifest(table(spark, sf_dir, "documents"), text)
