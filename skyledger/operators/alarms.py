@@ -182,28 +182,43 @@ def alarm_points(samples: DataFrame, alarms: DataFrame) -> DataFrame:
 
     Samples are reduced to minutes before they meet the alarms, so a busy resource costs one row per minute.
     """
+    return points_of(period_statistics(samples, alarms), alarms)
+
+
+def period_statistics(samples: DataFrame, alarms: DataFrame) -> DataFrame:
+    """Count, sum, least and greatest value per alarm, position of its metric, and period; those of one period add up."""
     wanted = alarms.select(
-        "alarm_name", "resource_id", "period", "expression",
-        F.posexplode(F.arrays_zip("metrics", "statistics")).alias("_position", "_m"),
-    ).select("alarm_name", "resource_id", "period", "expression", "_position", F.col("_m.metrics").alias("metric"), F.col("_m.statistics").alias("statistic"))
+        "alarm_name", "resource_id", "period", F.posexplode(F.arrays_zip("metrics", "statistics")).alias("_position", "_m")
+    ).select("alarm_name", "resource_id", "period", "_position", F.col("_m.metrics").alias("metric"), F.col("_m.statistics").alias("statistic"))
     parts = join_totals(minute_statistics(samples), wanted, ["resource_id", "metric"], "inner")
-    n, total = F.sum("_n"), F.sum("_sum")
-    stat = F.max("statistic")
-    per_metric = parts.groupBy(
-        "alarm_name", "resource_id", "period", "expression", "_position", floor_epoch("minute", F.col("period")).alias("period_start")
-    ).agg(
-        F.when(stat == "Average", F.try_divide(total, n.cast("double")))
-        .when(stat == "Sum", total)
-        .when(stat == "Minimum", F.min("_min"))
-        .when(stat == "Maximum", F.max("_max"))
-        .otherwise(n.cast("double"))
-        .alias("value")
+    return merge_statistics(parts.withColumn("period_start", floor_epoch("minute", F.col("period"))))
+
+
+STATISTICS = ["alarm_name", "resource_id", "period", "_position", "statistic", "period_start"]
+
+
+def merge_statistics(parts: DataFrame) -> DataFrame:
+    """Statistics of the same alarm, metric and period combined."""
+    return parts.groupBy(*STATISTICS).agg(
+        F.sum("_n").alias("_n"), F.sum("_sum").alias("_sum"), F.min("_min").alias("_min"), F.max("_max").alias("_max")
+    )
+
+
+def points_of(statistics: DataFrame, alarms: DataFrame) -> DataFrame:
+    """Value of each alarm's expression per period, from the statistics of its metrics."""
+    per_metric = statistics.withColumn(
+        "value",
+        F.when(F.col("statistic") == "Average", F.try_divide("_sum", F.col("_n").cast("double")))
+        .when(F.col("statistic") == "Sum", F.col("_sum"))
+        .when(F.col("statistic") == "Minimum", F.col("_min"))
+        .when(F.col("statistic") == "Maximum", F.col("_max"))
+        .otherwise(F.col("_n").cast("double")),
     )
-    wide = per_metric.groupBy("alarm_name", "resource_id", "period", "expression", "period_start").agg(
+    wide = per_metric.groupBy("alarm_name", "resource_id", "period", "period_start").agg(
         F.map_from_entries(F.collect_list(F.struct(F.col("_position") + 1, "value"))).alias("_m")
     )
-    counts = alarms.select("alarm_name", F.size("metrics").alias("_metrics")).distinct()
-    wide = join_totals(wide, counts, ["alarm_name"], "inner")
+    rules = alarms.select("alarm_name", "expression", F.size("metrics").alias("_metrics")).distinct()
+    wide = join_totals(wide, rules, ["alarm_name"], "inner")
     return wide.withColumn("value", _expression()).select("alarm_name", "resource_id", "period", "period_start", "value")
 
 
@@ -288,8 +303,20 @@ def evaluate_alarms(points: DataFrame, alarms: DataFrame, start: int | None = No
     alarm are bounded by its periods, whatever the sample volume was; N may be any number, as the counts of the last N
     periods are differences of running sums.
     """
-    rules = alarms.select("alarm_name", "comparison", "threshold", "datapoints", "periods", "missing")
-    rows = dense_grid(points, keys=alarms, start=start, as_of=as_of).join(rules, "alarm_name", "inner")
+    rules = alarms.select("alarm_name", *RULE)
+    return judge_periods(dense_grid(points, keys=alarms, start=start, as_of=as_of).join(rules, "alarm_name", "inner"))
+
+
+RULE = ["comparison", "threshold", "datapoints", "periods", "missing"]
+
+
+def judge_periods(rows: DataFrame, carried: bool = False) -> DataFrame:
+    """States from a gapless grid of periods with the alarm's rule on every row.
+
+    With ``carried`` the grid starts in the middle: rows marked ``context`` only lend their values to the counts of the rows
+    behind them and are left out of the result; ``known_before`` and ``state_before`` are the last known state and the state
+    at the last of them.
+    """
     breach = breaching(F.col("value"), F.col("comparison"), F.col("threshold")).cast("int")
     w = Window.partitionBy("alarm_name").orderBy("period_start")
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -305,16 +332,27 @@ def evaluate_alarms(points: DataFrame, alarms: DataFrame, start: int | None = No
     rows = rows.join(earlier, ["alarm_name", "period_start"], "left")
     known = F.when(F.col("breaches") >= F.col("datapoints"), F.lit("ALARM")).when(F.col("present") > 0, F.lit("OK"))
     kept = F.last("_known", ignorenulls=True).over(so_far)
+    before = F.lag("state").over(w)
+    if carried:
+        known = F.when(~F.col("context"), known)
+        kept = F.coalesce(kept, F.col("known_before"))
+        before = F.when(F.lag("context").over(w), F.col("state_before")).otherwise(before)
     none = F.lit("INSUFFICIENT_DATA")
     state = F.when(F.col("missing") == "ignore", F.coalesce(kept, none)).otherwise(F.coalesce("_known", none))
-    return (
+    judged = (
         rows.withColumn("breaches", (F.col("_breaches") - F.coalesce("_old_breaches", F.lit(0))).cast("int"))
         .withColumn("present", (F.col("_present") - F.coalesce("_old_present", F.lit(0))).cast("int"))
         .withColumn("_known", known)
+        .withColumn("_last_known", kept)
         .withColumn("state", state)
-        .withColumn("previous_state", F.lag("state").over(w))
-        .select("alarm_name", "period_start", "value", "breaches", "present", "state", "previous_state")
+        .withColumn("previous_state", before)
     )
+    if carried:
+        return judged.where(~F.col("context")).select(*JUDGED, F.col("_last_known").alias("last_known"))
+    return judged.select(*JUDGED)
+
+
+JUDGED = ["alarm_name", "period_start", "value", "breaches", "present", "state", "previous_state"]
 
 
 def transitions(states: DataFrame) -> DataFrame:

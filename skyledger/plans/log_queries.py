@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skyledger.functions import network
 from skyledger.functions.numbers import tidy
 from skyledger.functions.timefns import epoch_seconds
-from skyledger.operators import geo, logs, rollup
+from skyledger.operators import geo, logs, rollup, slices
 from skyledger.plans import bindings as b
 from skyledger.plans.registry import query
 from skyledger.streaming.streams import cdn_requests
@@ -216,6 +216,40 @@ def j10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", "asn", "org", "continent", "country", "city")
 
 
+_NESTED = """nested AS (SELECT n_nationkey::BIGINT * 16777216 * 5 AS s, n_nationkey::BIGINT * 16777216 * 5 + 16777216 * 5 - 1 AS e, 'n' || n_nationkey AS name FROM nation
+      UNION ALL SELECT r_regionkey::BIGINT * 16777216 * 25, r_regionkey::BIGINT * 16777216 * 25 + 16777216 * 25 - 1, 'r' || r_regionkey FROM region
+      UNION ALL SELECT c_custkey::BIGINT * 65536 * 4, c_custkey::BIGINT * 65536 * 4 + 65535, 'c' || c_custkey FROM customer WHERE c_custkey < 16384
+      UNION ALL SELECT s_suppkey::BIGINT * 65536 * 8 + 30000, s_suppkey::BIGINT * 65536 * 8 + 90000, 's' || s_suppkey FROM supplier WHERE s_suppkey < 8192
+      UNION ALL SELECT 0, 4294967295, 'all')"""
+
+
+@query(
+    "j10_l08_nested_blocks",
+    f"""WITH {REQ}, {_NESTED} SELECT event_id, f.family, coalesce(min_by(name, (e - s, s, name)), 'unknown') AS name
+      FROM req CROSS JOIN (SELECT unnest([4, 6]) AS family) f LEFT JOIN nested ON ip BETWEEN s AND e GROUP BY 1, 2""",
+)
+def j10_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks within blocks: everything, regions, nations, /16 networks of customers, and ranges of suppliers across them; as both families."""
+    def block(table: str, key: str, step: int, size: int, letter: str, shift: int = 0, most: int = 1 << 31) -> DataFrame:
+        rows = b.table(spark, sf_dir, table).where(F.col(key) < most)
+        start = F.col(key).cast("long") * step + shift
+        return rows.select(start.alias("s"), (start + size).alias("e"), F.concat(F.lit(letter), _text(key)).alias("name"))
+
+    known = block("nation", "n_nationkey", 5 << 24, (5 << 24) - 1, "n").unionByName(block("region", "r_regionkey", 25 << 24, (25 << 24) - 1, "r"))
+    known = known.unionByName(block("customer", "c_custkey", 4 << 16, 65535, "c", most=16384)).unionByName(block("supplier", "s_suppkey", 8 << 16, 60000, "s", 30000, 8192))
+    known = known.unionByName(b.table(spark, sf_dir, "region").where("r_regionkey = 0").select(F.lit(0).cast("long").alias("s"), F.lit(4294967295).cast("long").alias("e"), F.lit("all").alias("name")))
+    rows = events(spark, sf_dir).select("event_id", address().alias("ip_number"))
+
+    def key(column: str) -> Column:
+        return F.concat(F.lit("20010db8"), F.lpad(F.lower(F.hex(column)), 8, "0"), F.lit("0" * 16))
+
+    v4 = geo.enrich_by_block(rows, known.withColumnsRenamed({"s": "start_ip", "e": "end_ip"}), ["name"]).select("event_id", F.lit(4).alias("family"), "name")
+    last = F.concat(F.substring(key("e"), 1, 16), F.lit("f" * 16))
+    wide = known.select(key("s").alias("start_key"), last.alias("end_key"), "name")
+    v6 = geo.enrich_by_block(rows.withColumn("key", key("ip_number")), wide, ["name"], "key").select("event_id", F.lit(6).alias("family"), "name")
+    return v4.unionByName(v6)
+
+
 def cdn_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed, located and rolled up to minutes."""
     parsed = cdn_requests(cdn_lines(spark, sf_dir), CDN_FIELDS).drop("country", "asn")
@@ -463,6 +497,30 @@ def s18_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.payload_slices(rows, ["day"], ["event_id"], F.floor(F.col("event_id") / 100), "props", 500).drop("props")
 
 
+@query(
+    "s18_filled_slices",
+    """WITH RECURSIVE p AS (SELECT cast(ts AS DATE) AS day, event_id, greatest(coalesce(length(props), 0), 1) AS n, row_number() OVER (PARTITION BY cast(ts AS DATE) ORDER BY event_id) AS rn FROM events),
+      f AS (SELECT day, event_id, rn, n AS filled, 0::BIGINT AS slice FROM p WHERE rn = 1
+        UNION ALL SELECT p.day, p.event_id, p.rn, CASE WHEN f.filled + p.n <= 200 THEN f.filled + p.n ELSE p.n END, CASE WHEN f.filled + p.n <= 200 THEN f.slice ELSE f.slice + 1 END
+        FROM f JOIN p ON p.day = f.day AND p.rn = f.rn + 1)
+      SELECT day, slice, event_id FROM f""",
+)
+def s18_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = events(spark, sf_dir).select(F.to_date("ts").alias("day"), "event_id", "props")
+    return slices.filled_slices(rows, ["day"], ["event_id"], F.floor(F.col("event_id") / 100), "props", 200, stretch=4).select("day", "slice", "event_id")
+
+
+@query(
+    "s18_even_slices",
+    """WITH p AS (SELECT cast(ts AS DATE) AS day, event_id, row_number() OVER (PARTITION BY cast(ts AS DATE) ORDER BY event_id) - 1 AS rn,
+        sum(coalesce(length(props), 0)) OVER (PARTITION BY cast(ts AS DATE)) AS total, count(*) OVER (PARTITION BY cast(ts AS DATE)) AS n FROM events)
+      SELECT day, cast(rn // cast(ceil(n / greatest(ceil(total / 500), 1)) AS BIGINT) AS BIGINT) AS slice, event_id FROM p""",
+)
+def s18_even(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = events(spark, sf_dir).select(F.to_date("ts").alias("day"), "event_id", "props")
+    return slices.even_slices(rows, ["day"], ["event_id"], F.floor(F.col("event_id") / 100), "props", 500).drop("props")
+
+
 @query("s18_delivery_batches", "SELECT count(*) AS records, true AS within_limit FROM events")
 def s18_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = rollup.delivery_batches(events(spark, sf_dir)).groupBy("batch").agg(F.count(F.lit(1)).alias("n"))

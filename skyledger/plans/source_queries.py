@@ -14,7 +14,9 @@ from skyledger.plans import bindings as b
 from skyledger.plans.inventory_queries import subnets
 from skyledger.plans.registry import query
 from skyledger.session import scratch_path
+from skyledger.sources import ledger as ld
 from skyledger.sources import readers, writers
+from skyledger.sources.files import list_files
 
 
 def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -174,6 +176,21 @@ def s17(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.groupBy("day").agg(F.count(F.lit(1)).alias("orders"))
 
 
+@query(
+    "s17_refresh_removes_days",
+    """WITH m AS (SELECT cast(date_trunc('week', o_orderdate) AS DATE) AS day FROM orders)
+      SELECT day, count(*) * CASE WHEN day >= DATE '2001-07-20' - 35 THEN 1 ELSE 2 END AS orders FROM m WHERE day < DATE '2001-07-20' - 35 OR day(day) % 2 = 0 GROUP BY day""",
+)
+def s17_removes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In the window only even days are left in the source; odd ones disappear, days before the window stay."""
+    path = scratch_path(spark, "refresh")
+    orders = t(spark, sf_dir, "orders").select("o_orderkey", F.to_date(F.date_trunc("week", "o_orderdate")).alias("day"))
+    writers.write_partitions(orders.unionByName(orders), path, ["day"])
+    writers.refresh(orders.where(F.dayofmonth("day") % 2 == 0), path, "day", date(2001, 7, 20))
+    back = spark.read.schema("o_orderkey bigint, day date").parquet(path)
+    return back.groupBy("day").agg(F.count(F.lit(1)).alias("orders"))
+
+
 @query(
     "s19_registered_catalog",
     "SELECT r_name, count(*) AS nations FROM nation JOIN region ON r_regionkey = n_regionkey GROUP BY 1",
@@ -189,3 +206,28 @@ def s19(spark: SparkSession, sf_dir: str) -> DataFrame:
 def j08(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inventory.text_tag_rows(subnets(spark, sf_dir), ["id"], "Name", "name")
     return rows.select(F.substring("id", 8, 10).cast("int").alias("n_nationkey"), "name")
+
+
+@query("s15_t06_file_ledger", "SELECT event_type, CASE WHEN event_id % 3 = 0 THEN 0 WHEN event_id % 3 = 1 THEN 1 ELSE 2 END AS run, count(*) AS lines FROM events GROUP BY 1, 2")
+def s15_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries within seconds. The second run is lost after its write and done again; a run too many finds nothing."""
+    source, out, root = (scratch_path(spark, n) for n in ("arrivals", "picked", "ledger"))
+    events = t(spark, sf_dir, "events").select("event_id", "event_type")
+    book = ld.FileLedger(spark, root)
+
+    def take(run: int) -> DataFrame:
+        lines = spark.read.text(source, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("event_type"))
+        return ld.read_planned(book, run, lines).select("event_type")
+
+    for delivery in range(3):
+        events.where(F.col("event_id") % 3 == delivery).select("event_type").write.mode("append").text(source)
+        files = list_files(spark, source).where(F.col("size") > 0)
+        run = book.begin(files)
+        ld.write_run(take(run), out, run)
+        if delivery == 1:  # lost before the commit; what comes next is the same run with the same files
+            events.where("false").select("event_type").write.mode("append").text(source)
+            run = book.begin(files)
+            ld.write_run(take(run), out, run)
+        book.commit(run)
+    assert book.begin(list_files(spark, source).where(F.col("size") > 0)) is None
+    return ld.committed_rows(book, out, "event_type string").groupBy("event_type", "run").agg(F.count(F.lit(1)).alias("lines"))

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from skyledger.functions.numbers import tidy
 from skyledger.operators import rollup
 from skyledger.plans import bindings as b
+from skyledger.plans.alarm_queries import EVALUATED, daily_alarms
 from skyledger.plans.log_queries import CDN_FIELDS, REQ, cdn_line, shown
 from skyledger.plans.registry import query
 from skyledger.session import scratch_path
+from skyledger.streaming import alarm_states, archive
 from skyledger.streaming import streams as st
 
 _MINS = f"""{REQ}, mins AS (SELECT ms // 60000 * 60000 AS minute, host, 'unknown' AS country, 'unknown' AS asn, response_code, result_type, count(*) AS requests, cast(sum(down) AS BIGINT) AS bytes_down, cast(sum(up) AS BIGINT) AS bytes_up,
@@ -86,3 +88,47 @@ def t09(spark: SparkSession, sf_dir: str) -> DataFrame:
     st.run_available(st.unique_samples(stream, ["event_type", "user_id"]), checkpoint, path=out)
     back = spark.read.parquet(out)
     return back.groupBy("event_type").agg(F.count(F.lit(1)).alias("samples"), tidy(F.sum("value"), 4).alias("total"))
+
+
+STREAMED = EVALUATED.replace(
+    "x AS (SELECT user_id, min(period_start) AS lo, max(period_start) AS hi FROM p GROUP BY 1)",
+    "x AS (SELECT user_id, lo, hi FROM (SELECT DISTINCT user_id FROM events), (SELECT min(epoch) // 86400 * 86400 AS lo, max(epoch) // 86400 * 86400 AS hi FROM samples))",
+)
+
+
+@query("r07_t07_stream_alarm_states", f"WITH {STREAMED} SELECT alarm_name, period_start, value, breaches, present, state, previous_state FROM f")
+def t07_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples in three deliveries, some a day late, the last delivered again: the states are those of the whole table."""
+    source, checkpoint, out = (scratch_path(spark, n) for n in ("samples", "checkpoint", "alarm-states"))
+    samples = b.event_samples(spark, sf_dir).select("resource_id", "metric", "epoch", "value")
+    first, last = samples.agg(F.min("epoch"), F.max("epoch")).first()
+    # every seventh second is delivered up to a day late
+    due = F.col("epoch") + F.when(F.col("epoch") % 7 == 0, F.col("epoch") % 86400).otherwise(F.lit(0))
+    third = F.least(F.floor((due - F.lit(first)) * 3 / F.lit(last + 1 - first)), F.lit(2))
+    sink = alarm_states.alarm_sink(out, daily_alarms(spark, sf_dir), first, late_periods=2)
+    for delivery in range(3):
+        samples.where(third == delivery).write.mode("append").parquet(source)
+        stream = st.record_stream(spark, source, "resource_id string, metric string, epoch long, value double", "parquet")
+        st.run_available(stream, checkpoint, sink)
+    sink(samples.where(third == 2), 2)
+    return alarm_states.current_states(spark, out).withColumn("value", tidy("value"))
+
+
+@query("t03_t04_compacted_minutes", f"WITH {_MINS} SELECT * FROM mins")
+def t03_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four deliveries with late rows, compacted after the second and the third; one day is then made anew from the log."""
+    source, checkpoint, partials, root = (scratch_path(spark, n) for n in ("in", "checkpoint", "partials", "archive"))
+    lines = _lines(spark, sf_dir)
+    book = archive.MinuteArchive(spark, partials, root)
+    for delivery in range(4):
+        lines.where(F.col("user_id") % 4 == delivery).select("line").write.mode("append").text(source)
+        st.run_available(st.cdn_requests(st.line_stream(spark, source), CDN_FIELDS), checkpoint, st.partial_minutes_sink(partials))
+        if delivery in (1, 2):
+            book.compact(archive.committed_batch(spark, checkpoint))
+            book.clean()
+    book.compact(archive.committed_batch(spark, checkpoint))
+    day = lines.agg(F.min("d")).first()[0]
+    requests = st.cdn_requests(lines.where(F.col("d") == F.lit(day)).select("line"), CDN_FIELDS)
+    book.recompute(rollup.cdn_minutes(requests), [day])
+    book.clean()
+    return shown(book.read(), "minute", *rollup.CDN_KEYS)

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.session import delete_path
+from skyledger.sources.files import file_names
+
 
 def write_partitions(df: DataFrame, path: str, by: Sequence[str], format: str = "parquet") -> None:
     """Replace exactly the partitions present in ``df``.
@@ -75,6 +78,23 @@ def write_archive(lines: DataFrame, path: str) -> None:
 
 
 def refresh(df: DataFrame, path: str, day: str, as_of: date, days: int = 35) -> None:
-    """Rewrite the last ``days`` day partitions and leave older ones alone."""
+    """Make the last ``days`` day partitions those of ``df`` and leave older ones alone.
+
+    Partitions in the window that have no rows any more are removed. They are told by the names of the folders, before the
+    window is written, and removed after it: a run that is lost in between leaves old days for the next run to remove, and
+    never takes one away whose new rows are not there.
+    """
+    spark = df.sparkSession
     recent = df.where(F.col(day) >= F.date_sub(F.lit(as_of.isoformat()).cast("date"), days))
+    first = (as_of - timedelta(days=days)).isoformat()
+    prefix = f"{day}="
+    held = [n for n in file_names(spark, path) if n.startswith(prefix) and n[len(prefix) :] >= first and n[len(prefix) :] != HIVE_NULL]
+    present = spark.createDataFrame([(n[len(prefix) :],) for n in held], "name string")
+    vanished = present.join(recent.select(F.col(day).cast("string").alias("name")).distinct(), "name", "left_anti")
+    gone = [r.name for r in vanished.collect()]  # at most one row for each day of the window
     write_partitions(recent, path, [day])
+    for name in gone:
+        delete_path(spark, f"{path}/{prefix}{name}")
+
+
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder of rows without a day
