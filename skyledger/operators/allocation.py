@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.operators.cost import COSTS
-from skyledger.operators.keyed import blank_strings, join_totals
+from skyledger.operators.keyed import DEFAULT_SALTS, HeavyKeys, blank_strings, heavy_counts, heavy_keys, join_totals
 from skyledger.session import cut_lineage
 
 INSTANCE = ["year", "month", "usage_account", "date", "region", "instance"]
@@ -22,6 +22,7 @@ SCALED = ["usage_amount", *COSTS]
 CAPACITY = ["vcpus", "gpus", "memory_gb"]
 CPU_WEIGHT = 9.0  # fixed value: one vCPU-hour is priced like nine GiB-hours
 PART_WORKLOADS = 20_000
+LARGE_INSTANCES = 1024  # instances with more workloads than that whose list may be broadcast
 
 COMPUTE, TRANSFER, OTHER = 1, 2, 0
 
@@ -101,9 +102,9 @@ def _instance_totals(usage: DataFrame) -> DataFrame:
     )
 
 
-def relative_shares(usage: DataFrame) -> DataFrame:
+def relative_shares(usage: DataFrame, salts: int | HeavyKeys = DEFAULT_SALTS) -> DataFrame:
     """Each workload's share of its instance's CPU, memory and network use that day."""
-    return join_totals(usage, _instance_totals(usage), INSTANCE).select(
+    return join_totals(usage, _instance_totals(usage), INSTANCE, salts=salts).select(
         *INSTANCE,
         *WORKLOAD,
         "_n",
@@ -128,9 +129,13 @@ def capacity_shares(usage: DataFrame, cost: DataFrame) -> DataFrame:
     """Shares of billed capacity, plus one idle row per instance for the capacity no workload used.
 
     The idle row keeps the instance's own id and cluster, with blank namespace and application; compute shares of an
-    instance sum to 1. The billed capacity travels as one more row per instance, so usage and bill are read twice
-    (once summed, once shared out) and not three times.
+    instance sum to 1.
     """
+    return _capacity_shares(_with_billed(usage, cost))
+
+
+def _with_billed(usage: DataFrame, cost: DataFrame) -> DataFrame:
+    """Usage, and the billed capacity as one more row per instance, so that both meet in one sum and one join."""
     none = F.lit(None).cast("double")
     billed = billed_capacity(cost).select(
         *INSTANCE,
@@ -146,7 +151,10 @@ def capacity_shares(usage: DataFrame, cost: DataFrame) -> DataFrame:
         F.lit(True).alias("_idle"),
     )
     busy = usage.select("*", none.alias("_vcpus"), none.alias("_memory"), F.lit(False).alias("_idle"))
-    rows = busy.unionByName(billed)
+    return busy.unionByName(billed)
+
+
+def _capacity_shares(rows: DataFrame, salts: int | HeavyKeys = DEFAULT_SALTS) -> DataFrame:
     totals = rows.groupBy(*INSTANCE).agg(
         F.sum("cpu_usage").alias("_cpu_total"),
         F.sum("mem_usage").alias("_mem_total"),
@@ -162,7 +170,7 @@ def capacity_shares(usage: DataFrame, cost: DataFrame) -> DataFrame:
         return F.when(F.col("_idle"), F.lit(1.0) - part).otherwise(part)
 
     # Instances without any workload are not the clusters' and stay out.
-    joined = join_totals(rows, totals, INSTANCE).where(F.col("_n") > 0)
+    joined = join_totals(rows, totals, INSTANCE, salts=salts).where(F.col("_n") > 0)
     return joined.select(
         *INSTANCE,
         "resource_id",
@@ -199,10 +207,8 @@ def _spread(lines: DataFrame, shares: DataFrame, transfer: bool, weight: float)
         .withColumn("_part", F.pmod(F.xxhash64("_workload", *WORKLOAD[1:]), parts).cast("int"))
         .drop("_n")
     )
-    large = shares.where((parts > 1) & (F.col("instance") != "")).select(*INSTANCE, parts.alias("_parts")).distinct()
-    copied = join_totals(keyed, large, INSTANCE).withColumn("_parts", F.coalesce("_parts", F.lit(1)))
-    copied = copied.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-    joined = copied.join(right, [*INSTANCE, "_part"], "left")
+    joined = _in_parts(keyed, shares.where((parts > 1) & (F.col("instance") != "")).select(*INSTANCE, parts.alias("_parts")).distinct())
+    joined = joined.join(right, [*INSTANCE, "_part"], "left")
     # A copy that met no workload in its part is not an unmatched line.
     joined = joined.where((F.col("_parts") == 1) | F.col("_hit").isNotNull()).drop("_part", "_parts")
     # The idle row takes no part in transfer cost.
@@ -234,31 +240,54 @@ def _spread(lines: DataFrame, shares: DataFrame, transfer: bool, weight: float)
     )
 
 
+def _in_parts(lines: DataFrame, large: DataFrame) -> DataFrame:
+    """The lines, those of a large instance once for each of its parts. Few instances are large, and mostly none is."""
+    few = large.limit(LARGE_INSTANCES + 1).collect()
+    if not few:
+        return lines.withColumns({"_parts": F.lit(1), "_part": F.lit(0)})
+    if len(few) <= LARGE_INSTANCES:
+        listed = lines.sparkSession.createDataFrame(few, large.schema)
+        copied = lines.join(F.broadcast(listed), INSTANCE, "left")
+    else:
+        copied = join_totals(lines, large, INSTANCE, salts=heavy_keys(lines, INSTANCE), grows=True)
+    copied = copied.withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+    return copied.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+
+
+def _stored_shares(metrics: DataFrame, cost: DataFrame, use_reserved: bool, residual: bool) -> DataFrame:
+    """Shares in the shared folder: usage is summed once, and the salts follow from what it holds."""
+    usage = workload_usage(metrics, use_reserved)
+    rows = cut_lineage(_with_billed(usage, cost) if residual else usage)
+    salts = heavy_keys(rows, INSTANCE)
+    return cut_lineage(_capacity_shares(rows, salts) if residual else relative_shares(rows, salts))
+
+
 def allocate_compute(
     metrics: DataFrame, cost: DataFrame, weight: float = CPU_WEIGHT, use_reserved: bool = False
 ) -> DataFrame:
     """Level 0: instance cost by each workload's share of CPU and memory use; everything else unchanged."""
-    return _spread(cost_lines(cost), relative_shares(workload_usage(metrics, use_reserved)), False, weight)
+    return _spread(cost_lines(cost), _stored_shares(metrics, cost, use_reserved, False), False, weight)
 
 
 def allocate_compute_and_transfer(
     metrics: DataFrame, cost: DataFrame, weight: float = CPU_WEIGHT, use_reserved: bool = False
 ) -> DataFrame:
     """Level 1: level 0, and data transfer of these instances by share of network use."""
-    return _spread(cost_lines(cost), relative_shares(workload_usage(metrics, use_reserved)), True, weight)
+    return _spread(cost_lines(cost), _stored_shares(metrics, cost, use_reserved, False), True, weight)
 
 
 def allocate_with_residual(
     metrics: DataFrame, cost: DataFrame, weight: float = CPU_WEIGHT, use_reserved: bool = False
 ) -> DataFrame:
     """Level 2: workloads pay for what they used of the billed capacity; the idle rest stays with the cluster."""
-    return _spread(cost_lines(cost), capacity_shares(workload_usage(metrics, use_reserved), cost), True, weight)
+    return _spread(cost_lines(cost), _stored_shares(metrics, cost, use_reserved, True), True, weight)
 
 
 def allocation_stages(metrics: DataFrame, cost: DataFrame, use_reserved: bool = False) -> dict[str, DataFrame]:
     """Named intermediate steps for inspection; the caller decides what to write."""
-    usage = workload_usage(metrics, use_reserved)
+    usage = cut_lineage(workload_usage(metrics, use_reserved))
     lines = cost_lines(cost)
+    shares = cut_lineage(capacity_shares(usage, cost))
     flagged = flag_lines(lines, usage)
     billed = (
         flagged.where((F.col("eks_flag") == COMPUTE) & (F.col("resource_id") != ""))
@@ -270,9 +299,9 @@ def allocation_stages(metrics: DataFrame, cost: DataFrame, use_reserved: bool =
         "usage": usage,
         "flagged_cost": flagged,
         "relative_shares": relative_shares(usage),
-        "capacity_shares": capacity_shares(usage, cost),
+        "capacity_shares": shares,
         "unmatched_usage": usage.join(billed, INSTANCE, "left_anti"),
-        "allocated": _spread(lines, capacity_shares(usage, cost), True, CPU_WEIGHT),
+        "allocated": _spread(lines, shares, True, CPU_WEIGHT),
     }
 
 
@@ -284,7 +313,7 @@ def tag_subsets(tags: Sequence[str]) -> list[list[str]]:
 def untag_factors(
     cost: DataFrame, tags: Sequence[str], measures: Sequence[str] = COSTS, store: bool = True
 ) -> DataFrame:
-    """Scale factor per (date, tag values) and measure.
+    """Scale factor per (date, tag values) and measure, and the number of rows.
 
     All rows with the same date and tag values are scaled alike in every pass, so the passes run on one row per
     such cell and the large table is touched once before and once after. With ``store`` the cells are written to the
@@ -292,7 +321,7 @@ def untag_factors(
     plan would double each time); without it everything stays lazy, which suits one tag.
     """
     zero, one = F.lit(0.0), F.lit(1.0)
-    cells = cost.groupBy("date", *tags).agg(*[F.coalesce(F.sum(m), zero).alias(m) for m in measures])
+    cells = cost.groupBy("date", *tags).agg(*[F.coalesce(F.sum(m), zero).alias(m) for m in measures], F.count(F.lit(1)).alias("_rows"))
     cells = cells.select("*", *[one.alias(f"f_{m}") for m in measures])
     cells = cut_lineage(cells) if store else cells
     subsets = tag_subsets(tags)
@@ -316,12 +345,13 @@ def untag_factors(
         cells = joined.select(
             "date",
             *tags,
+            "_rows",
             *[(F.col(m) * steps[m]).alias(m) for m in measures],
             *[(F.col(f"f_{m}") * steps[m]).alias(f"f_{m}") for m in measures],
         )
         if store and number < len(subsets):
             cells = cut_lineage(cells)
-    return cells.select("date", *tags, *[f"f_{m}" for m in measures])
+    return cells.select("date", *tags, *[f"f_{m}" for m in measures], "_rows")
 
 
 def allocate_untagged(
@@ -334,7 +364,11 @@ def allocate_untagged(
     """
     filled = blank_strings(cost)
     factors = untag_factors(filled, tags, measures, store)
-    joined = join_totals(filled, factors, ["date", *tags])
+    keys, salts = ["date", *tags], DEFAULT_SALTS
+    if store:
+        factors = cut_lineage(factors)
+        salts = heavy_counts(factors, keys, "_rows")
+    joined = join_totals(filled, factors.drop("_rows"), keys, salts=salts, grows=True)
     absorbed = F.lit(False)
     empty = F.lit(True)
     for m in measures:

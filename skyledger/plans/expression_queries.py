@@ -401,10 +401,24 @@ def w01(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice / sum(l_extendedprice) OVER (PARTITION BY l_suppkey, l_returnflag), 9) + 0 AS share FROM lineitem",
 )
 def w02(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shares = keyed.share_of_total(t(spark, sf_dir, "lineitem"), ["l_suppkey", "l_returnflag"], {"l_extendedprice": "share"})
+    lines, keys = t(spark, sf_dir, "lineitem"), ["l_suppkey", "l_returnflag"]
+    shares = keyed.share_of_total(lines, keys, {"l_extendedprice": "share"}, salts=keyed.heavy_keys(lines, keys))
     return shares.select("l_orderkey", "l_linenumber", "l_partkey", tidy("share", 9).alias("share"))
 
 
+@query(
+    "j02_w02_measured_salts",
+    """WITH k AS (SELECT *, CASE WHEN l_returnflag = 'R' THEN 'hot' WHEN l_suppkey % 7 <> 0 THEN l_suppkey || '' END AS owner FROM lineitem)
+      SELECT l_orderkey, l_linenumber, owner, round(l_extendedprice / sum(l_extendedprice) OVER (PARTITION BY owner), 9) + 0 AS share FROM k""",
+)
+def j02_measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One owner holds a quarter of the rows and none holds a tenth: these two are salted by their share, the others not at all."""
+    owner = F.when(F.col("l_returnflag") == "R", F.lit("hot")).when(F.col("l_suppkey") % 7 != 0, F.col("l_suppkey").cast("string"))
+    lines = t(spark, sf_dir, "lineitem").withColumn("owner", owner)
+    shares = keyed.share_of_total(lines, ["owner"], {"l_extendedprice": "share"}, salts=keyed.heavy_keys(lines, ["owner"], tasks=64))
+    return shares.select("l_orderkey", "l_linenumber", "owner", tidy("share", 9).alias("share"))
+
+
 @query(
     "w07_carried_lag",
     "SELECT event_id, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous FROM events",

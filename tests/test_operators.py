@@ -344,3 +344,35 @@ def test_scratch_is_released(spark, monkeypatch):
     assert stored.count() == 5 and os.path.isdir(folder)
     session.release_scratch(spark)
     assert not os.path.exists(folder)
+
+
+def test_measured_salts_follow_the_share(spark):
+    rows = spark.range(0, 90_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id").cast("string"))).otherwise(F.concat(F.lit("g"), (F.col("id") % 900).cast("string"))).alias("k"),
+        F.col("id").alias("v"),
+    )
+    heavy = keyed.heavy_keys(rows, ["k"], tasks=30)
+    assert list(heavy.values()) == [10]  # a third of thirty tasks
+    totals = rows.groupBy("k").agg(F.sum("v").alias("s"))
+    assert keyed.heavy_counts(rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")), ["k"], "n", tasks=30) == heavy
+    copies = totals.select(F.sum(heavy.salts(["k"])).alias("n"), F.count(F.lit(1)).alias("keys")).first()
+    assert copies.n == copies["keys"] + 9  # no copies of other keys
+    joined = keyed.join_totals(rows, totals, ["k"], "inner", salts=heavy, grows=True)
+    assert joined.agg(F.count(F.lit(1)), F.sum("s")).first() == totals.join(rows, "k").agg(F.count(F.lit(1)), F.sum("s")).first()
+    salted = rows.where("k = 'hot'").select(keyed._row_salt(rows, ["k"], heavy.salts(["k"])).alias("salt")).groupBy("salt").count().collect()
+    assert len(salted) == 10 and max(r["count"] for r in salted) < 2 * 3000
+    assert "Generate explode(sequence(0," in plan(joined)
+    even = spark.range(1000).withColumnRenamed("id", "k")
+    assert keyed.heavy_keys(even, ["k"], tasks=30) == {} and keyed.heavy_keys(even.limit(0), ["k"]) == {}
+    unsalted = keyed.join_totals(even, even.groupBy("k").count(), ["k"], salts=keyed.heavy_keys(even, ["k"], 30), grows=True)
+    assert "Generate" not in plan(unsalted)
+    with_null = spark.createDataFrame([(None, 1.0)] * 40 + [("a", 1.0)] * 2, "k string, v double")
+    shares = keyed.share_of_total(with_null, ["k"], {"v": "s"}, salts=keyed.heavy_keys(with_null, ["k"], 8))
+    assert sorted({(r.k or "", r.s) for r in shares.collect()}) == [("", 0.025), ("a", 0.5)]
+
+
+def test_allocation_plan_has_few_exchanges(spark, sf):
+    from skyledger.plans import all_queries
+
+    # the shares are stored; what is left is the sum of the lines and one join
+    assert plan(all_queries()["x05_allocate_with_residual"].run(spark, sf)).count("Exchange ") <= 5
