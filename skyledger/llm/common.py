@@ -46,6 +46,17 @@ def _byte_lengths(values: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def byte_groups(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Consecutive stretches of about ``most`` bytes each; something longer stands alone."""
+    filled = np.cumsum(sizes)
+    start = 0
+    while start < len(sizes):
+        done = filled[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(filled, done + most, side="right")))
+        yield slice(start, stop)
+        start = stop
+
+
 def text_bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All UTF-8 bytes of a string column end to end, and the n + 1 offsets into them; null is empty."""
     import pyarrow.compute as pc
@@ -94,7 +105,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse, up to n; kept for the next batch."""
     if len(_powers.get("up", ())) <= n:
-        size = max(n + 1, 1 << 20)
+        size = max(n + 1, 1 << 19)
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             table = np.full(size, base, np.uint64)
             table[0] = 1

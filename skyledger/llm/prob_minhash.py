@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import lowered, mixed, prefix_hash, ranges, runs, slices, span_hash, stored, text_bytes, word_spans
+from skyledger.llm.common import byte_groups, lowered, mixed, prefix_hash, ranges, runs, slices, span_hash, stored, text_bytes, word_spans
 from skyledger.llm.components import connected_components
 from skyledger.operators.keyed import join_totals
 
@@ -25,6 +25,9 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 TASK_PAIRS = 1500
 CHUNK, TASK_ROWS, COLUMNS = 512, 2000, 4096
+#: Bytes of text that are shingled at once (a worker needs about a hundred times as much), and bytes of the texts whose
+#: shingles are held while they are compared with one another.
+SHINGLED_BYTES, HELD_BYTES = 512 << 10, 4 << 20
 
 
 def shingles(values: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -107,7 +110,7 @@ def signature_rows(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> Dat
     """Rows (doc_id, k1, k2, keys): two hashes of the words, and one key per band; no keys for a text without words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SHINGLED_BYTES):
             hashed, weight, bounds, whole = shingles(batch.column("text"))
             n = len(bounds) - 1
             registers = signatures(hashed, weight, bounds, bands * rows).reshape(n, bands, rows)
@@ -133,7 +136,7 @@ def packed_texts(docs: DataFrame) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1).compress
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SHINGLED_BYTES):
             data, offsets = text_bytes(batch.column("text"))
             whole = data.tobytes()
             packed = [squeeze(whole[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
@@ -142,6 +145,23 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pack, "doc_id long, packed binary")
 
 
+class _Texts:
+    """Packed texts of a task; shingled a few at a time, cut by their bytes."""
+
+    def __init__(self, packed: pa.ChunkedArray):
+        self.packed = packed.combine_chunks()
+        self.unpack = zstandard.ZstdDecompressor().decompress
+        self.sizes = np.array([max(zstandard.frame_content_size(p.as_buffer()), 0) if p.is_valid else 0 for p in self.packed], np.int64)
+
+    def sets(self, at: np.ndarray) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray]]]:
+        """Each place with its text's sorted shingles and their numbers."""
+        for part in byte_groups(self.sizes[at], SHINGLED_BYTES):
+            some = at[part]
+            hashed, weight, bounds, _ = shingles(pa.array([self.unpack(self.packed[int(i)].as_py()) for i in some], pa.binary()).cast(pa.string()))
+            for i, start, stop in zip(some, bounds[:-1], bounds[1:], strict=True):
+                yield int(i), (hashed[start:stop].copy(), weight[start:stop].astype(np.int32))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) that are similar. A text ``a`` with many partners is sent to each group of them once."""
     pairs = pairs.where(F.col("a") != F.col("b")).distinct()
@@ -164,28 +184,19 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     )
 
     def verify(table: pa.Table) -> pa.Table:
-        unpack = zstandard.ZstdDecompressor().decompress
         a, b = table.column("a").to_numpy(), table.column("b").to_numpy(zero_copy_only=False)
         partner = table.column("b").is_valid().to_numpy(zero_copy_only=False)
-        packed = table.column("packed")
-
-        def sets(at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-            texts = pa.array([unpack(packed[int(i)].as_py()) for i in at], pa.binary()).cast(pa.string())
-            hashed, weight, bounds, _ = shingles(texts)
-            return [(hashed[s:e], weight[s:e]) for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
+        texts = _Texts(table.column("packed"))
 
         order = np.argsort(a, kind="stable")
         edge = runs(a[order])
         kept: list[tuple[int, int]] = []
         for start, stop in zip(edge[:-1], edge[1:], strict=True):
             group = order[start:stop]
-            head = sets(group[~partner[group]])
-            others = group[partner[group]]
-            for cut in range(0, len(others), 200):
-                some = others[cut : cut + 200]
-                for i, other in zip(some, sets(some), strict=True):
-                    if any(probability_jaccard(h, other) >= similarity for h in head):
-                        kept.append((a[i], int(b[i])))
+            head = [h for _, h in texts.sets(group[~partner[group]])]
+            for i, other in texts.sets(group[partner[group]]):
+                if any(probability_jaccard(h, other) >= similarity for h in head):
+                    kept.append((a[i], int(b[i])))
         left, right = zip(*kept, strict=True) if kept else ((), ())
         return pa.table([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
@@ -266,17 +277,16 @@ def _linked_apart(placed: DataFrame, signed: DataFrame, texts: DataFrame, simila
     keys = signed.where(F.size("keys") > 0).groupBy("doc_id").agg(F.min("keys").alias("keys"))
     asked = dealt.select("doc_id").distinct()
     payload = stored(texts.join(asked, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("packed").alias("packed")).join(keys, "doc_id"), "payload")
-    tasks = max(1, -(-dealt.count() // TASK_ROWS))
+    tasks, most = max(1, -(-dealt.count() // TASK_ROWS)), HELD_BYTES
     rows = dealt.join(payload, "doc_id").withColumn("task", F.pmod(F.xxhash64("key", "cell"), F.lit(tasks)))
 
     def compare(table: pa.Table) -> pa.Table:
-        unpack = zstandard.ZstdDecompressor().decompress
         key, doc, component = (table.column(c).to_numpy() for c in ("key", "doc_id", "component"))
         main, chunk = (table.column(c).to_numpy(zero_copy_only=False) for c in ("main", "chunk"))
         kind, i, j = (table.column(c).to_numpy() for c in ("kind", "i", "j"))
         all_keys = table.column("keys").combine_chunks()
         all_keys = all_keys.flatten().to_numpy().reshape(len(doc), -1)
-        packed = table.column("packed")
+        texts = _Texts(table.column("packed"))
         order = np.lexsort((doc, j, i, kind, key))
         fresh = np.zeros(len(order), bool)
         for c in (key, kind, i, j):
@@ -298,12 +308,22 @@ def _linked_apart(placed: DataFrame, signed: DataFrame, texts: DataFrame, simila
             some = np.flatnonzero(asked.any(axis=1))
             if not len(some):
                 continue
-            text = pa.array([unpack(packed[int(own[x])].as_py()) for x in some], pa.binary()).cast(pa.string())
-            hashed, weight, bounds, _ = shingles(text)
-            sets = [(hashed[s:e], weight[s:e]) for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
-            for x, y in _similar(sets, asked[np.ix_(some, some)], similarity):
-                out[0].append(of[some[x]])
-                out[1].append(of[some[y]])
+            # large cells are compared part by part, so that no more than two parts are held
+            parts = [some[cut] for cut in byte_groups(texts.sizes[own[some]], most)]
+            for x, left in enumerate(parts):
+                first = [s for _, s in texts.sets(own[left])]
+                for y in range(x, len(parts)):
+                    right = parts[y] if y > x else left[:0]
+                    both = np.concatenate((left, right))
+                    wanted = asked[np.ix_(both, both)]
+                    if y > x:
+                        wanted[: len(left), : len(left)] = False
+                        wanted[len(left) :, len(left) :] = False
+                    if not wanted.any():
+                        continue
+                    for u, v in _similar(first + [s for _, s in texts.sets(own[right])], wanted, similarity):
+                        out[0].append(of[both[u]])
+                        out[1].append(of[both[v]])
         return pa.table([pa.array(x, pa.int64()) for x in out], names=["a", "b"])
 
     columns = ["task", "key", "doc_id", "component", "main", "chunk", "cell.kind", "cell.i", "cell.j", "keys", "packed"]

@@ -24,9 +24,11 @@ from skyledger.llm.prob_minhash import packed_texts
 WIDTH = 100
 GRAM = 24
 PLACE_BITS = 31
-SEGMENTS_PER_TASK = 300_000
-TEXT_PER_TASK = 16 << 20
-SORT_BYTES = 2 << 20
+SEGMENTS_PER_TASK = 150_000
+TEXT_PER_TASK = 8 << 20
+SORT_BYTES = 1 << 20
+#: Bytes of text that are cut into segments at once; a worker needs about a hundred times as much.
+CUT_BYTES = 512 << 10
 #: An anchor with more segments than this is split into its single strings.
 HOT_SEGMENTS = 50_000
 HOT_SHARE = 1e-5
@@ -105,7 +107,7 @@ def _segment_rows(docs: DataFrame, hot: np.ndarray, width: int, gram: int) -> Da
     """Segments, each kind once per batch, and the ranges of their repeats within the batch (count is then a length)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", CUT_BYTES):
             data, offsets = text_bytes(batch.column("text"))
             key, start, count, off, prefix = segments(data, offsets, width, gram)
             if not len(key):
@@ -336,7 +338,7 @@ def _hot_anchors(docs: DataFrame, total: int, width: int, gram: int) -> np.ndarr
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", CUT_BYTES):
             data, offsets = text_bytes(batch.column("text"))
             key, count = np.unique(segments(data, offsets, width, gram)[0], return_counts=True)
             often = count > 1
@@ -358,7 +360,7 @@ def removed_ranges(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
     wanted = first.where(F.col("kind") == WANTED)
     by_doc = max(8, -(-total // TEXT_PER_TASK))
     pieces = stored(_wanted_bytes(named, wanted, by_doc, width), "pieces")
-    more = _sorted_ranges(pieces, max(8, -(-pieces.count() // 50_000)), width)
+    more = _sorted_ranges(pieces, max(8, -(-pieces.count() // 25_000)), width)
     return stored(
         first.where(F.col("kind") == REMOVED).unionByName(more).select("kind", "key", "doc_id", "start", "count"), "removed"
     )

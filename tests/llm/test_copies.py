@@ -89,7 +89,10 @@ def _edited(text: str, share: float, seed: int) -> str:
     return " ".join(f"new{rng.randint(0, 10**6)}" if rng.random() < share else w for w in text.split())
 
 
-def test_near_duplicates_equal_brute_force(spark):
+@pytest.mark.parametrize("held", [None, 2000])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, held):
+    if held:  # cells are compared in parts
+        monkeypatch.setattr(prob_minhash, "HELD_BYTES", held)
     rows = awkward()
     for g in range(6):
         original = prose(50 + g, 150)
