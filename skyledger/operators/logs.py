@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from skyledger.functions import text
 from skyledger.functions.numbers import ratio
 from skyledger.functions.timefns import epoch_millis, warehouse_time
-from skyledger.operators.keyed import join_totals
+from skyledger.operators.keyed import heavy_keys, join_totals
+from skyledger.session import cut_lineage
 
 LINE = "line"
 
@@ -159,13 +160,38 @@ def parse_cdn(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     return _finish(rows, ts, columns, F.size("_p") >= len(fields))
 
 
+#: Distinct layouts that are written into the plan, and bytes of the file map that may be broadcast.
+LAYOUTS, MAP_BYTES = 1024, 32 << 20
+
+
 def parse_cdn_by_header(df: DataFrame, path: str = "path") -> DataFrame:
-    """Batch form for mixed layouts: each file's own header names its values; fields come back as a map."""
+    """Batch form for mixed layouts: each file's own header names its values; fields come back as a map.
+
+    A first scan takes the header lines alone: the few distinct layouts become a literal, and the files a map to the number of
+    theirs. Where that map is measured to be small it is broadcast, and data lines are parsed where they are read; a larger
+    one is joined by path. Lines of files without a header are left out; of several headers of a file the first in order
+    counts.
+    """
     header = df.where(F.col(LINE).startswith("#Fields:")).select(
         path, F.split(F.trim(F.regexp_replace(LINE, "^#Fields:", "")), r"\s+").alias("_names")
     )
-    headers = header.groupBy(path).agg(F.min("_names").alias("_names"))
-    rows = join_totals(cdn_lines(df), headers, [path], "inner").withColumn("_values", F.split(F.trim(F.col(LINE)), r"\s+"))
+    headers = cut_lineage(header.groupBy(path).agg(F.min("_names").alias("_names")))
+    layouts = [r[0] for r in headers.select("_names").distinct().orderBy("_names").limit(LAYOUTS + 1).collect()]
+    lines = cdn_lines(df)
+    if not layouts:
+        rows = lines.where(F.lit(False)).withColumn("_names", F.array().cast("array<string>"))
+    elif len(layouts) <= LAYOUTS:
+        known = F.array(*[F.array(*[F.lit(n) for n in names]) for names in layouts])
+        files = headers.select(path, F.array_position(known, F.col("_names")).cast("int").alias("_layout"))
+        size = files.agg(F.sum(F.octet_length(path) + F.lit(64))).first()[0] or 0
+        if size <= MAP_BYTES:
+            rows = lines.join(F.broadcast(files), path)
+        else:
+            rows = join_totals(lines, files, [path], "inner", salts=heavy_keys(lines, [path]), grows=True)
+        rows = rows.withColumn("_names", F.element_at(known, F.col("_layout")))
+    else:
+        rows = join_totals(lines, headers, [path], "inner", salts=heavy_keys(lines, [path]), grows=True)
+    rows = rows.withColumn("_values", F.split(F.trim(F.col(LINE)), r"\s+"))
     n = F.least(F.size("_names"), F.size("_values"))
     fields = F.map_from_arrays(F.slice("_names", F.lit(1), n), F.slice("_values", F.lit(1), n))
     return rows.select(path, fields.alias("fields"))

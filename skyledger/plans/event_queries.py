@@ -9,9 +9,9 @@ from skyledger.functions.timefns import in_quiet_window
 from skyledger.operators import alarms as al
 from skyledger.operators import events as ev
 from skyledger.operators import metrics as m
-from skyledger.operators import notify
+from skyledger.operators import notify, patterns
 from skyledger.plans import bindings as b
-from skyledger.plans.registry import query
+from skyledger.plans.registry import REGISTRY, query
 
 
 def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -272,6 +272,12 @@ def p42_db(spark: SparkSession, sf_dir: str) -> DataFrame:
       UNION ALL SELECT event_id, 'compliance' FROM events WHERE event_type = 'view' UNION ALL SELECT event_id, 'custom' FROM events WHERE event_type IN ('error', 'signup')) SELECT cast(event_id AS VARCHAR) AS id, route FROM r""",
 )
 def f01(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = dict(ev.PATTERNS)
+    rules["custom"] = {"source": [{"prefix": "ops."}, {"prefix": "aws.sta"}]}
+    return ev.route_events(_routed_events(spark, sf_dir), rules).select("id", "route")
+
+
+def _routed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     source = F.when(kind == "error", "aws.states").when(kind == "click", "aws.ec2").when(kind == "view", "aws.config").when(kind == "signup", "ops.signup").otherwise("aws.s3")
     label = F.when(kind == "error", "Step Functions Execution Status Change").when(kind == "click", "AWS API Call via CloudTrail").otherwise("Config Rules Compliance Change")
@@ -280,9 +286,39 @@ def f01(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("user_id") % 2 == 0, "AttachVolume").otherwise("RunInstances").alias("eventName"),
         F.lit("ComplianceChangeNotification").alias("messageType"), F.struct(F.lit("NON_COMPLIANT").alias("complianceType")).alias("newEvaluationResult"),
     )
-    patterns = dict(ev.PATTERNS)
-    patterns["custom"] = {"source": [{"prefix": "ops."}, {"prefix": "aws.sta"}]}
-    return ev.route_events(enveloped(spark, sf_dir, source, label, detail), patterns).select("id", "route")
+    return enveloped(spark, sf_dir, source, label, detail)
+
+
+@query(
+    "f01_pattern_table",
+    """WITH e AS (SELECT event_id, user_id, event_type FROM events), c AS (SELECT DISTINCT user_id FROM events)
+      SELECT cast(event_id AS VARCHAR) AS id, 'user-' || user_id AS route FROM e WHERE event_type IN ('click', 'view') AND user_id % 3 <> 0
+      UNION ALL SELECT cast(e.event_id AS VARCHAR), 'begins-' || c.user_id FROM e JOIN c ON starts_with('u' || e.user_id, 'u' || c.user_id) AND c.user_id % 3 = 0 WHERE e.event_type = 'error'""",
+)
+def f01_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pattern for every user, all of one source: by the user's name, or, for every third, by its beginning."""
+    users = b.table(spark, sf_dir, "events").select("user_id").distinct()
+    named, third = F.concat(F.lit("u"), _s("user_id")), F.col("user_id") % 3 == 0
+    route = F.concat(F.when(third, F.lit("begins-")).otherwise(F.lit("user-")), _s("user_id"))
+    kinds = F.when(third, F.array(F.lit("error"))).otherwise(F.array(F.lit("click"), F.lit("view")))
+    base = users.select(route.alias("route"), named.alias("name"), third.alias("third"), kinds.alias("kinds"))
+    no = F.lit(False)
+    table = base.select("route", F.lit("source").alias("path"), F.lit("ops.").alias("value"), F.lit(True).alias("prefix"))
+    table = table.unionByName(base.select("route", F.lit("detail_type").alias("path"), F.explode("kinds").alias("value"), no.alias("prefix")))
+    table = table.unionByName(base.select("route", F.lit("detail.who.name").alias("path"), F.col("name").alias("value"), F.col("third").alias("prefix")))
+    detail = F.struct(F.struct(named.alias("name")).alias("who"), F.lit(1).alias("n"))
+    return patterns.route_by_table(enveloped(spark, sf_dir, F.lit("ops.app"), F.col("event_type"), detail), table).select("id", "route")
+
+
+@query(
+    "f01_pattern_table_of_rules",
+    REGISTRY["f01_pattern_routing"].sql,
+)
+def f01_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules of ``f01_pattern_routing``, as a table."""
+    rules = dict(ev.PATTERNS)
+    rules["custom"] = {"source": [{"prefix": "ops."}, {"prefix": "aws.sta"}]}
+    return patterns.route_by_table(_routed_events(spark, sf_dir), patterns.pattern_table(spark, rules)).select("id", "route")
 
 
 @query(
