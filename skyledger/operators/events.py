@@ -6,7 +6,7 @@ detail (JSON text); each flattener reads ``detail`` with the one schema of its e
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,6 +37,28 @@ def read_envelopes(df: DataFrame, body: str = "value") -> DataFrame:
     )
 
 
+PARSED = "_detail"
+
+
+def parse_detail(events: DataFrame, body: str = "detail") -> DataFrame:
+    """Adds the payload as a variant, parsed once; text that is no JSON gives NULL. Paths are taken with ``at``."""
+    return events.withColumn(PARSED, F.try_parse_json(body))
+
+
+def at(path: str, kind: str = "string", parsed: Column | str = PARSED) -> Column:
+    """Value at a path of the parsed payload; NULL where it is absent or cannot be read as ``kind``."""
+    return F.try_variant_get(parsed, "$." + path, kind)
+
+
+def taken(events: DataFrame, fields: dict[str, str], keep: Callable[[Column], Column]) -> DataFrame:
+    """Rows whose payload passes ``keep``, with ``e``, the values at the paths that ``fields`` names.
+
+    The test stands in a generator: as a plain filter it would be pushed below the parse and parse a second time.
+    """
+    values = F.struct(*[at(path).alias(name) for name, path in fields.items()])
+    return parse_detail(events).withColumn("e", F.explode(F.filter(F.array(values), keep))).drop(PARSED)
+
+
 def _utc(column: Column | str, length: int = 19) -> Column:
     return F.try_to_timestamp(F.substring(column, 1, length), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
 
@@ -226,21 +248,20 @@ def audit_findings(
 
 def workflow_failures(events: DataFrame) -> DataFrame:
     """Failed and timed-out runs with local time and a link."""
-    status = F.get_json_object("detail", "$.status")
+    ends = taken(events, {"status": "status", "run": "executionArn", "workflow": "stateMachineArn"}, lambda e: e["status"].isin("FAILED", "TIMED_OUT"))
     ts = _utc("time")
-    run = F.get_json_object("detail", "$.executionArn")
     link = F.concat(
-        F.lit("https://console.aws.amazon.com/states/home?region="), F.col("region"), F.lit("#/executions/details/"), run
+        F.lit("https://console.aws.amazon.com/states/home?region="), F.col("region"), F.lit("#/executions/details/"), F.col("e.run")
     )
-    return events.where(status.isin("FAILED", "TIMED_OUT")).select(
+    return ends.select(
         "id",
         "account",
         "region",
-        status.alias("status"),
+        "e.status",
         local_stamp(ts).alias("timestamp"),
         local_clock(ts).alias("time"),
-        run.alias("execution"),
-        F.get_json_object("detail", "$.stateMachineArn").alias("workflow"),
+        F.col("e.run").alias("execution"),
+        "e.workflow",
         link.alias("link"),
     )
 
@@ -265,21 +286,20 @@ def operation_of(event_name: Column | str) -> Column:
 
 def distribution_changes(events: DataFrame) -> DataFrame:
     """Create, update and delete calls; the id sits at a different path for deletions."""
-    name = F.get_json_object("detail", "$.eventName")
+    name = at("eventName")
     deleted = name.startswith("Delete")
-    aliases = F.from_json(
-        F.get_json_object("detail", "$.responseElements.distribution.distributionConfig.aliases.items"), "array<string>"
+    aliases = at("responseElements.distribution.distributionConfig.aliases.items", "array<string>")
+    user = F.when(at("userIdentity.type") == "IAMUser", at("userIdentity.userName")).when(
+        at("userIdentity.type") == "IAMRole", at("userIdentity.sessionContext.sessionIssuer.userName")
     )
-    return events.select(
+    return parse_detail(events).select(
         "id",
         operation_of(name).alias("operation"),
-        F.when(deleted, F.get_json_object("detail", "$.requestParameters.id"))
-        .otherwise(F.get_json_object("detail", "$.responseElements.distribution.id"))
-        .alias("distribution_id"),
-        F.when(~deleted, F.get_json_object("detail", "$.responseElements.distribution.aRN")).alias("arn"),
+        F.when(deleted, at("requestParameters.id")).otherwise(at("responseElements.distribution.id")).alias("distribution_id"),
+        F.when(~deleted, at("responseElements.distribution.aRN")).alias("arn"),
         F.when(deleted, F.lit("")).otherwise(F.coalesce(text.joined_sorted(aliases), F.lit(""))).alias("domain_name"),
-        F.get_json_object("detail", "$.userIdentity.type").alias("identity_type"),
-        identity_name(F.get_json_object("detail", "$.userIdentity")).alias("identity_name"),
+        at("userIdentity.type").alias("identity_type"),
+        user.alias("identity_name"),
     )
 
 
@@ -293,13 +313,13 @@ DATABASE_EVENTS = {
 
 
 def database_changes(events: DataFrame) -> DataFrame:
-    code = F.get_json_object("detail", "$.EventID")
+    code = F.col("e.code")
     operation = None
     for event_id, name in DATABASE_EVENTS.items():
         operation = F.when(code == event_id, F.lit(name)) if operation is None else operation.when(code == event_id, F.lit(name))
-    source = F.get_json_object("detail", "$.SourceIdentifier")
-    return events.where(code.isin(*DATABASE_EVENTS)).select(
-        "id", operation.alias("operation"), F.element_at(F.split(source, ":"), -1).alias("db_instance")
+    changes = taken(events, {"code": "EventID", "source": "SourceIdentifier"}, lambda e: e["code"].isin(*DATABASE_EVENTS))
+    return changes.select(
+        "id", operation.alias("operation"), F.element_at(F.split("e.source", ":"), -1).alias("db_instance")
     )
 
 
@@ -372,10 +392,10 @@ PATTERNS: dict[str, dict[str, list]] = {
 
 
 def matches_pattern(pattern: dict[str, list]) -> Column:
-    """All paths must match; within a path any listed value or prefix will do."""
+    """All paths must match; within a path any listed value or prefix will do. Needs ``parse_detail``."""
     every = F.lit(True)
     for path, accepted in pattern.items():
-        value = F.get_json_object("detail", f"$.{path[7:]}") if path.startswith("detail.") else F.col(path)
+        value = at(path[len("detail.") :]) if path.startswith("detail.") else F.col(path)
         exact = [a for a in accepted if isinstance(a, str)]
         hit = value.isin(*exact) if exact else F.lit(False)
         for a in accepted:
@@ -389,7 +409,7 @@ def route_events(events: DataFrame, patterns: dict[str, dict[str, list]] | None
     """One row per (event, matching rule)."""
     rules = patterns or PATTERNS
     hits = F.array_compact(F.array(*[F.when(matches_pattern(p), F.lit(name)) for name, p in rules.items()]))
-    return events.withColumn("route", F.explode(hits))
+    return parse_detail(events).withColumn("route", F.explode(hits)).drop(PARSED)
 
 
 def state_transitions(

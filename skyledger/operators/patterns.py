@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.operators.events import PARSED, at, parse_detail
 from skyledger.operators.keyed import join_totals
 from skyledger.session import cut_lineage
 
@@ -57,11 +58,9 @@ def _index(table: DataFrame, paths: list[str]) -> DataFrame:
     return table.join(chosen, ["route", "at"]).select("at", "value", "prefix", "route", "needs")
 
 
-def value_at(path: str, parsed: Column) -> Column:
+def value_at(path: str) -> Column:
     """Text at a path of the event: a column, or a place in the parsed detail."""
-    if path.startswith("detail."):
-        return F.try_variant_get(parsed, "$." + path[len("detail.") :], "string")
-    return F.col(path).cast("string")
+    return at(path[len("detail.") :]) if path.startswith("detail.") else F.col(path).cast("string")
 
 
 def route_by_table(events: DataFrame, table: DataFrame) -> DataFrame:
@@ -84,15 +83,14 @@ def route_by_table(events: DataFrame, table: DataFrame) -> DataFrame:
     if not anchors:
         return events.withColumn("route", F.lit("")).where(F.lit(False))
 
-    values = F.array(*[value_at(p, F.col("_parsed")) for p in paths])
-    held = events.withColumn("_parsed", F.try_parse_json("detail")).withColumn("_values", values).drop("_parsed")
+    held = parse_detail(events).withColumn("_values", F.array(*[value_at(p) for p in paths])).drop(PARSED)
     terms = []
-    for at in anchors:
-        value = F.get("_values", F.lit(at))
-        terms.append(F.struct(F.lit(at).alias("at"), value.alias("value"), F.lit(False).alias("prefix")))
-        for size in begins.get(at, ()):
+    for place in anchors:
+        value = F.get("_values", F.lit(place))
+        terms.append(F.struct(F.lit(place).alias("at"), value.alias("value"), F.lit(False).alias("prefix")))
+        for size in begins.get(place, ()):
             begin = F.when(F.length(value) >= size, F.substring(value, 1, size))
-            terms.append(F.struct(F.lit(at).alias("at"), begin.alias("value"), F.lit(True).alias("prefix")))
+            terms.append(F.struct(F.lit(place).alias("at"), begin.alias("value"), F.lit(True).alias("prefix")))
     looked = held.withColumn("_term", F.explode(F.filter(F.array(*terms), lambda x: x["value"].isNotNull())))
     looked = looked.select("*", F.col("_term.at").alias("_at"), F.col("_term.value").alias("_value"), F.col("_term.prefix").alias("_prefix")).drop("_term")
     found = index.select(F.col("at").alias("_at"), F.col("value").alias("_value"), F.col("prefix").alias("_prefix"), "route", F.col("needs").alias("_needs"))

@@ -436,6 +436,45 @@ def x08(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_ALL_SERVICES = [*cost.SERVICE_RULES, "AWS Support (Business)", "Something else"]
+_ALL_USAGES = sorted({f"APN1-{needle.replace('&', ':Volume')}.x" for rules, _ in cost.SERVICE_RULES.values() for needle, _ in rules} | {"Other"})
+
+
+def _rule_rows() -> str:
+    """The categories as SQL rows (service, order, first needle, second needle, label); a block's rest comes last."""
+    rows = []
+    for service, (rules, rest) in cost.SERVICE_RULES.items():
+        for order, (needles, label) in enumerate([*rules, ("", rest)]):
+            first, second = [*needles.split("&"), ""][:2]
+            rows.append(f"('{service}', {order}, '{first}', '{second}', '{label}')")
+    return ", ".join(rows)
+
+
+@query(
+    "x08_all_service_blocks",
+    f"""WITH c AS (SELECT {_sql_pick(_ALL_SERVICES, "l_suppkey + l_linenumber")} AS service, {_sql_pick(_ALL_USAGES, "l_partkey * 7 + l_suppkey")} AS usage_type, l_extendedprice FROM lineitem),
+    r AS (SELECT * FROM (VALUES {_rule_rows()}) r(service, place, a, b, label)),
+    d AS (SELECT c.service, c.usage_type, arg_min(label, place) AS found FROM (SELECT DISTINCT service, usage_type FROM c) c LEFT JOIN r ON r.service = c.service AND contains(c.usage_type, r.a) AND contains(c.usage_type, r.b) GROUP BY 1, 2)
+    SELECT c.service, CASE WHEN contains(usage_type, 'DataTransfer-Regional') THEN 'AWS区域内部流量' WHEN contains(usage_type, 'AWS-Out') OR contains(usage_type, 'AWS-In') THEN 'AWS区域之间流量' WHEN contains(usage_type, 'DataXfer-In') THEN '专线->AWS流量'
+        WHEN contains(usage_type, 'DataXfer-Out') THEN 'AWS->专线流量' WHEN contains(usage_type, 'DataTransfer-Out-Bytes') THEN 'AWS->互联网流量' WHEN contains(usage_type, 'DataTransfer-In') THEN '互联网->AWS流量' ELSE coalesce(found, '其他') END AS usage_category,
+      CASE WHEN c.service LIKE '%Support%' THEN '技术支持' ELSE '产品' END AS charge_category, count(*) AS lines, round(sum(l_extendedprice), 4) + 0 AS total
+    FROM c JOIN d USING (service, usage_type) GROUP BY 1, 2, 3""",
+)
+def x08_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule of every service; a category is found once for each service, usage type and charge type."""
+    def pick(values: list[str], place):
+        return F.element_at(F.array(*[F.lit(v) for v in values]), (place % len(values) + 1).cast("int"))
+
+    lines = b.table(spark, sf_dir, "lineitem").select(
+        pick(_ALL_SERVICES, F.col("l_suppkey") + F.col("l_linenumber")).alias("service"),
+        pick(_ALL_USAGES, F.col("l_partkey") * 7 + F.col("l_suppkey")).alias("usage_type"), F.lit("Usage").alias("charge_type"), "l_extendedprice",
+    )
+    kinds = lines.groupBy("service", "usage_type", "charge_type").agg(F.count(F.lit(1)).alias("lines"), F.sum("l_extendedprice").alias("total"))
+    return cost.classify_usage(kinds).groupBy("service", "usage_category", "charge_category").agg(
+        F.sum("lines").alias("lines"), tidy(F.sum("total"), 4).alias("total")
+    )
+
+
 @query(
     "x09_pivot_dimension",
     f"WITH {COST} SELECT service AS dimension_value, round(sum(billing_cost), 4) + 0 AS total FROM std GROUP BY 1",

@@ -85,6 +85,27 @@ def s07(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.groupBy("user_name", "event_name").agg(F.count(F.lit(1)).alias("records"))
 
 
+@query(
+    "s07_audit_open_types",
+    """SELECT event_type AS event_name, CASE WHEN user_id % 2 = 0 THEN 'u' || user_id END AS user_name, CASE WHEN user_id % 2 = 0 THEN user_id END AS number, count(*) AS records FROM events GROUP BY 1, 2, 3""",
+)
+def s07_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In half of the documents the identity is a text instead of an object, and all have fields that no schema names."""
+    root = scratch_path(spark, "audit")
+    who = F.concat(F.lit("u"), F.col("user_id").cast("string"))
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    fields = [stamp.alias("eventTime"), F.col("event_type").alias("eventName")]
+    sound = F.struct(*fields, F.struct(F.lit("IAMUser").alias("type"), who.alias("userName")).alias("userIdentity"), F.struct(F.col("user_id").alias("n")).alias("extra"))
+    odd = F.struct(*fields, F.concat(F.lit("text "), who).alias("userIdentity"), F.array(F.lit("list")).alias("extra"))
+    days = t(spark, sf_dir, "events").withColumn("d", F.to_date("ts"))
+    for name, rows, record in (("sound", "user_id % 2 = 0", sound), ("odd", "user_id % 2 = 1", odd)):
+        documents = days.where(rows).groupBy("user_id", "d").agg(F.collect_list(record).alias("Records")).select("Records")
+        documents.write.json(f"{root}/CloudTrail/{name}")
+    back = readers.read_audit_variant(spark, root, multi_line=False)
+    number = F.try_variant_get("record", "$.extra.n", "bigint")
+    return back.groupBy("event_name", "user_name", number.alias("number")).agg(F.count(F.lit(1)).alias("records"))
+
+
 @query(
     "s08_s09_i05_snapshots",
     """SELECT 'subnet-' || n_nationkey AS id, cast(n_nationkey * 10 AS INTEGER) AS available_ip_count, n_nationkey % 2 = 0 AS map_public_ip, region FROM nation, (SELECT unnest(['r1', 'r2']) AS region)""",

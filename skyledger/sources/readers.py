@@ -33,16 +33,6 @@ def read_partition(spark: SparkSession, table: str, year: str | int, month: str
     return month_of(found, year, month)
 
 
-def spread_few_splits(df: DataFrame) -> DataFrame:
-    """Redistribute a source that has fewer splits than the cluster has cores.
-
-    A file with one row group is a single task, however many rows it holds. A source with enough splits is returned as
-    it is, so large inputs are never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_records(spark: SparkSession, path: str, schema: str, ts: str = "date") -> DataFrame:
     """JSON records with an explicit schema; the time column becomes a timestamp."""
     return spark.read.schema(schema).json(path).withColumn(ts, F.to_timestamp(ts))
@@ -79,6 +69,30 @@ def read_audit(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
     )
 
 
+def read_audit_variant(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """The same, and each record whole: a document is parsed once into a variant, and columns are taken from it.
+
+    A field of an unexpected type, or an unknown one, costs no other column; a record is kept with NULL where a column
+    cannot be read. Documents of more than Spark's limit for one variant (128 MiB) need ``read_audit``.
+    """
+    reader = spark.read.option("singleVariantColumn", "document").option("recursiveFileLookup", True)
+    documents = reader.json(path, multiLine=multi_line)
+    records = F.try_variant_get("document", "$.Records", "array<variant>")
+    rows = documents.where(F.col("_metadata.file_path").contains(AUDIT_FOLDER)).select(F.explode(records).alias("record"))
+
+    def text(at: str):
+        return F.try_variant_get("record", f"$.{at}", "string")
+
+    return rows.select(
+        text("eventTime").alias("event_time"),
+        text("eventName").alias("event_name"),
+        text("userIdentity.type").alias("user_type"),
+        text("userIdentity.userName").alias("user_name"),
+        text("sourceIPAddress").alias("source_ip"),
+        "record",
+    )
+
+
 def read_snapshots(spark: SparkSession, root: str, merge_schema: bool = True) -> DataFrame:
     """ORC snapshots under region=/day=/month=/year= folders; schemas may differ between days."""
     return spark.read.option("mergeSchema", merge_schema).option("basePath", root).orc(root)

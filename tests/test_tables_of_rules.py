@@ -86,3 +86,27 @@ def test_layouts_beyond_the_bounds(spark, monkeypatch, limit):
     rows = [(p, f"#Fields: x{p} y{p}") for p in "abc"] + [(p, f"value-{p}-{i} other") for p in "abc" for i in range(3)]
     out = logs.parse_cdn_by_header(spark.createDataFrame(rows, "path string, line string"))
     assert sorted((r.path, r.fields[f"x{r.path}"]) for r in out.collect()) == [(p, f"value-{p}-{i}") for p in "abc" for i in range(3)]
+
+
+def test_unexpected_types_cost_no_other_column(spark, tmp_path):
+    from skyledger.sources import readers
+
+    folder = tmp_path / "AWSLogs" / "CloudTrail"
+    folder.mkdir(parents=True)
+    sound = {"eventTime": "t1", "eventName": "A", "userIdentity": {"type": "IAMUser", "userName": "u"}, "sourceIPAddress": "1.1.1.1"}
+    odd = {"eventTime": 5, "eventName": "B", "userIdentity": "root", "sourceIPAddress": None, "new": {"x": [1]}}
+    (folder / "one.json").write_text(json.dumps({"Records": [sound, odd]}, indent=1))
+    (folder / "two.json").write_text(json.dumps({"Records": "none"}))
+    (folder / "three.json").write_text("{ no json")
+    got = sorted((r.event_time, r.event_name, r.user_type, r.user_name, r.source_ip) for r in readers.read_audit_variant(spark, str(tmp_path)).drop("record").collect())
+    assert got == [("5", "B", None, None, None), ("t1", "A", "IAMUser", "u", "1.1.1.1")]
+
+
+def test_details_are_parsed_once(spark):
+    events = spark.createDataFrame([("1", "a", "r", "2024-01-01T00:00:00Z", '{"status":"FAILED","executionArn":7,"userIdentity":"x","eventName":"CreateX"}')], "id string, account string, region string, time string, detail string")
+    for step in (ev.workflow_failures, ev.distribution_changes, ev.database_changes):
+        plan = step(events)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson") == 1
+    assert ev.workflow_failures(events).first().execution == "7"
+    row = ev.distribution_changes(events).first()
+    assert (row.operation, row.identity_type, row.domain_name) == ("created", None, "")
