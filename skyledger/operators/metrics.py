@@ -100,13 +100,19 @@ def match_left(
     """Many-to-one vector product: values multiply, ``carried`` labels of the one side are copied over.
 
     Where the one side has several rows for a key, the one with the greatest value (then labels) is the partner, so a
-    row of the many side never counts twice.
+    row of the many side never counts twice. ``match_conflicts`` names such keys.
     """
     right = one.groupBy(*on).agg(F.max(F.struct(F.col(value).alias("v"), *carried)).alias("_partner"))
     joined = join_totals(many, right, on, "inner").withColumn(value, F.col(value) * F.col("_partner.v"))
     return joined.select(*many.columns, *[F.col(f"_partner.{c}").alias(c) for c in carried])
 
 
+def match_conflicts(one: DataFrame, on: Sequence[str], carried: Sequence[str] = (), value: str = "value") -> DataFrame:
+    """Keys for which the one side has several different rows, with their number: a strict match would fail on them."""
+    partners = one.groupBy(*on).agg(F.countDistinct(F.struct(F.col(value), *carried)).alias("partners"))
+    return partners.where(F.col("partners") > 1)
+
+
 def match_named(
     many: DataFrame, one: DataFrame, on: Sequence[str], scope: str, carried: Sequence[str] = (), value: str = "value"
 ) -> DataFrame:

@@ -64,13 +64,16 @@ def _sets(rows: DataFrame, sets: Sequence[Sequence[str]], measures: Sequence[Col
     dims = list(dict.fromkeys(d for s in sets for d in s))
     columns = [[F.col(c) for c in ("minute", *s)] for s in sets]
     if not dims:
-        return rows.groupBy("minute").agg(*measures).withColumn("level", F.lit(0))
+        return rows.groupBy("minute").agg(*measures).withColumns({"level": F.lit(0), "dimensions": F.lit("")})
     grouped = rows.groupingSets(columns, "minute", *dims).agg(*measures, F.grouping_id("minute", *dims).alias("_gid"))
+    # a bit of the id is set for each dimension that is not in the row's set, the last one lowest
+    present = [F.when(F.shiftright("_gid", len(dims) - 1 - i).bitwiseAND(F.lit(1)) == 0, F.lit(d)) for i, d in enumerate(dims)]
+    grouped = grouped.withColumn("dimensions", F.concat_ws(",", *present))
     return grouped.withColumn("level", (F.lit(len(dims)) - F.bit_count("_gid")).cast("int")).drop("_gid")
 
 
 def cdn_dimension_sets(minutes: DataFrame, sets: Sequence[Sequence[str]] = CDN_SETS) -> DataFrame:
-    """The measures on each set of dimensions, tagged by ``level``, the number of dimensions of the set.
+    """The measures on each set of dimensions, tagged by ``dimensions``, their names, and ``level``, their number.
 
     Dimensions outside a row's set are NULL. Runs on the per-minute table, so the raw log is aggregated once.
     """

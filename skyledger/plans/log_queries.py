@@ -324,6 +324,19 @@ def a13_chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("minute", "result_type", "host", "level", "requests", "bytes_up")
 
 
+@query(
+    "a13_sets_of_equal_size",
+    f"""WITH {_MINUTES}, hours AS (SELECT minute // 86400000 * 86400000 AS minute, * EXCLUDE (minute) FROM mins)
+      SELECT minute, CASE WHEN grouping(host) = 0 THEN 'host' ELSE 'response_code' END || CASE WHEN grouping(country) = 0 THEN ',country' ELSE '' END AS dimensions, host, response_code, country, cast(sum(requests) AS BIGINT) AS requests
+      FROM hours GROUP BY GROUPING SETS ((minute, host), (minute, response_code), (minute, host, country))""",
+)
+def a13_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sets of one dimension each are told apart by their names."""
+    days = cdn_rollup(spark, sf_dir).withColumn("minute", rollup.minute_of("minute", 86400))
+    out = rollup.cdn_dimension_sets(days, [["host"], ["response_code"], ["host", "country"]])
+    return out.select("minute", "dimensions", "host", "response_code", "country", "requests")
+
+
 @query(
     "a15_cdn_statistic_values",
     f"WITH {_MINUTES} SELECT minute, host, country, result_type, response_code, requests, speed_count AS sample_count, cast(trunc(coalesce(speed_sum, 0)) AS BIGINT) AS speed_sum, cast(trunc(coalesce(speed_min, 0)) AS BIGINT) AS speed_min, cast(trunc(coalesce(speed_max, 0)) AS BIGINT) AS speed_max FROM mins",

@@ -403,6 +403,15 @@ def r10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select("resource_id", "period_start", tidy(m.origin_bandwidth("b", "h", 86400), 9).alias("bandwidth"))
 
 
+@query(
+    "j12_match_conflicts",
+    f"WITH {SAMPLES} SELECT resource_id, count(DISTINCT metric) AS partners FROM samples GROUP BY 1 HAVING count(DISTINCT metric) > 1",
+)
+def j12_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = samples(spark, sf_dir).select("resource_id", F.col("metric").alias("app"), F.lit(1.0).alias("value"))
+    return m.match_conflicts(labels, ["resource_id"], ["app"])
+
+
 @query(
     "a15_statistic_set",
     f"WITH {SAMPLES} SELECT resource_id, count(value) AS sample_count, cast(trunc(sum(value)) AS BIGINT) AS sum, cast(trunc(min(value)) AS BIGINT) AS minimum, cast(trunc(max(value)) AS BIGINT) AS maximum FROM samples GROUP BY 1",
