@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions import text
@@ -148,6 +148,37 @@ def snapshot_increment(snapshots: DataFrame, changed_blocks: DataFrame) -> DataF
     )
 
 
+SNAPSHOT_ORDER = ["start_time", "snapshot_id"]
+
+
+def clustered_lineage(snapshots: DataFrame) -> DataFrame:
+    """``snapshot_lineage`` of a table clustered by volume_id and ``SNAPSHOT_ORDER``: nothing is moved or sorted.
+
+    A volume belongs to one owner here. Within ``sources.clustered.clustered_plans``.
+    """
+    before = F.lag("snapshot_id").over(Window.partitionBy("volume_id").orderBy(*SNAPSHOT_ORDER))
+    return snapshots.withColumn("previous_snapshot_id", F.coalesce(before, F.lit(FIRST_SNAPSHOT)))
+
+
+def clustered_increment(snapshots: DataFrame, changed_blocks: DataFrame) -> DataFrame:
+    """``snapshot_increment`` of a clustered table; ``changed_blocks`` (volume_id, snapshot_id) has a row per block.
+
+    Only the counts of changed blocks move, to the buckets of their volumes.
+    """
+    counts = changed_blocks.groupBy("volume_id", "snapshot_id").agg(F.count(F.lit(1)).alias("_blocks"))
+    chained = clustered_lineage(snapshots).join(counts.hint("shuffle_hash"), ["volume_id", "snapshot_id"], "left")
+    whole = F.col("volume_size").cast("long") * F.lit(1024**3)
+    changed = F.coalesce("_blocks", F.lit(0)).cast("long") * F.lit(BLOCK_BYTES)
+    return chained.select(
+        "owner_id",
+        "volume_id",
+        "start_time",
+        "previous_snapshot_id",
+        "snapshot_id",
+        F.when(F.col("previous_snapshot_id") == FIRST_SNAPSHOT, whole).otherwise(changed).alias("increment_bytes"),
+    )
+
+
 def volume_growth_plan(
     volumes: DataFrame, modifications: DataFrame, as_of: datetime, step_gib: int = 10, wait_hours: int = 24
 ) -> DataFrame:

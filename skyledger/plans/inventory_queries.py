@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from skyledger.operators import compliance, inventory
 from skyledger.plans import bindings as b
-from skyledger.plans.registry import query
+from skyledger.plans.registry import REGISTRY, query
+from skyledger.session import cut_lineage, scratch_path
+from skyledger.sources import clustered
 
 
 def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -186,6 +188,32 @@ def i06(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("volume_id", "previous_snapshot_id", "snapshot_id", "increment_bytes")
 
 
+def _clustered_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "snapshots")
+    rows = _snapshots(spark, sf_dir)
+    return clustered.write_clustered(rows, "skyledger_snapshots_" + path.rsplit("-", 1)[1], path, ["volume_id"], inventory.SNAPSHOT_ORDER)
+
+
+@query("o01_i06_clustered_increment", REGISTRY["i06_snapshot_increment"].sql)
+def i06_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a table clustered once; the counts of changed blocks go to its buckets."""
+    snaps = _clustered_snapshots(spark, sf_dir)
+    owners = t(spark, sf_dir, "orders").select(F.concat(F.lit("vol-"), _text("o_custkey")).alias("volume_id"), F.col("o_orderkey").alias("l_orderkey"))
+    changed = t(spark, sf_dir, "lineitem").select("l_orderkey").join(owners, "l_orderkey")
+    changed = changed.select("volume_id", F.concat(F.lit("snap-"), _text("l_orderkey")).alias("snapshot_id"))
+    with clustered.clustered_plans(spark):
+        out = cut_lineage(inventory.clustered_increment(snaps, changed))
+    return out.select("volume_id", "previous_snapshot_id", "snapshot_id", "increment_bytes")
+
+
+@query("o01_sorted_files", "SELECT count(*) AS snapshots, 0::BIGINT AS out_of_order FROM orders")
+def o01_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clustered table's files hold their rows in order."""
+    snaps = _clustered_snapshots(spark, sf_dir)
+    odd = clustered.out_of_order(snaps, ["volume_id", *inventory.SNAPSHOT_ORDER]).agg(F.count(F.lit(1)).alias("out_of_order"), F.lit(1).alias("one"))
+    return snaps.agg(F.count(F.lit(1)).alias("snapshots"), F.lit(1).alias("one")).join(odd, "one").select("snapshots", "out_of_order")
+
+
 @query(
     "w08_snapshot_lineage",
     "SELECT 'snap-' || o_orderkey AS snapshot_id, coalesce(lag('snap-' || o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, 'snap-' || o_orderkey), 'snap-00000000000000000') AS previous_snapshot_id FROM orders",

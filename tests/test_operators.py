@@ -376,3 +376,33 @@ def test_allocation_plan_has_few_exchanges(spark, sf):
 
     # the shares are stored; what is left is the sum of the lines and one join
     assert plan(all_queries()["x05_allocate_with_residual"].run(spark, sf)).count("Exchange ") <= 5
+
+
+def test_clustered_lineage_moves_and_sorts_nothing(spark, tmp_path):
+    from skyledger.operators import inventory
+    from skyledger.sources import clustered
+
+    rows = spark.range(3000).select(
+        F.lit("self").alias("owner_id"), F.concat(F.lit("v"), (F.col("id") % 40).cast("string")).alias("volume_id"), F.concat(F.lit("s"), F.col("id").cast("string")).alias("snapshot_id"),
+        (F.col("id") * 7919 % 100).alias("start_time"), F.lit(3).alias("volume_size"),
+    )
+    name = "skyledger_test_clustered"
+    table = clustered.write_clustered(rows, name, str(tmp_path / "t"), ["volume_id"], inventory.SNAPSHOT_ORDER, buckets=4)
+    changed = rows.select("volume_id", "snapshot_id").where("start_time % 2 = 0")
+    with clustered.clustered_plans(spark):
+        out = inventory.clustered_increment(table, changed)
+        big, small = plan(out).split("ShuffledHashJoin", 1)[1].split("Exchange", 1)
+        assert "Sort" not in big and "Window" in big and "Exchange" in "Exchange" + small
+        got = {r.snapshot_id: (r.previous_snapshot_id, r.increment_bytes) for r in out.collect()}
+    want = {}
+    for v in range(40):
+        chain = sorted((i * 7919 % 100, f"s{i}") for i in range(v, 3000, 40))
+        for (_, before), (at, snap) in zip([(0, None), *chain], chain, strict=False):
+            want[snap] = (before or inventory.FIRST_SNAPSHOT, 3 << 30 if before is None else (inventory.BLOCK_BYTES if at % 2 == 0 else 0))
+    assert got == want
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    assert clustered.out_of_order(table, ["volume_id", *inventory.SNAPSHOT_ORDER]).count() == 0
+    mixed = str(tmp_path / "mixed")
+    rows.coalesce(1).write.parquet(mixed)
+    assert clustered.out_of_order(spark.read.parquet(mixed), ["start_time"]).count() > 0
+    spark.sql(f"DROP TABLE {name}")
