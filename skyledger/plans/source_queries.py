@@ -237,8 +237,7 @@ def s15_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = ld.FileLedger(spark, root)
 
     def take(run: int) -> DataFrame:
-        lines = spark.read.text(source, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("event_type"))
-        return ld.read_planned(book, run, lines).select("event_type")
+        return ld.read_planned(book, run, ld.read_lines_since(book, run, source)).select(F.col("line").alias("event_type"))
 
     for delivery in range(3):
         events.where(F.col("event_id") % 3 == delivery).select("event_type").write.mode("append").text(source)

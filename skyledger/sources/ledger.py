@@ -15,6 +15,7 @@ high-water mark cannot do.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +65,17 @@ class FileLedger:
         return create_marker(self.spark, f"{self.root}/commits/{run}")
 
 
+def read_lines_since(ledger: FileLedger, run: int, source: str) -> DataFrame:
+    """Rows (path, line) of the text files below ``source`` that are no older than the oldest file of the run's plan.
+
+    Files of earlier runs are passed over by their time, before they are opened; ``read_planned`` then keeps the plan's own.
+    """
+    oldest = ledger.plan(run).agg(F.min("last_written")).first()[0] or 0
+    after = datetime.fromtimestamp(max(oldest // 1000 - 1, 0), UTC).strftime("%Y-%m-%dT%H:%M:%S")
+    reader = ledger.spark.read.option("recursiveFileLookup", True).option("modifiedAfter", after).option("timeZone", "UTC")
+    return reader.text(source).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
+
+
 def read_planned(ledger: FileLedger, run: int, lines: DataFrame, path: str = "path") -> DataFrame:
     """Rows of the run's files out of ``lines``, which carry their file's path."""
     return lines.join(ledger.plan(run).select(F.col("path").alias(path)), path, "left_semi")

@@ -81,8 +81,7 @@ def test_files_are_taken_once(spark, tmp_path):
     book = ld.FileLedger(spark, str(tmp_path / "ledger"))
 
     def lines(plan, run):
-        text = spark.read.text(source).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
-        return ld.read_planned(book, run, text).select("line")
+        return ld.read_planned(book, run, ld.read_lines_since(book, run, source)).select("line")
 
     def seen():
         return sorted((r.line, r.run) for r in ld.committed_rows(book, out, "line string").collect())
@@ -106,6 +105,8 @@ def test_files_are_taken_once(spark, tmp_path):
     assert ld.pick_up(book, list_files(spark, source), lines, out) is None
     assert seen() == [("five", 2), ("four", 1), ("one", 0), ("one and more", 1), ("three", 1), ("two", 0)]
     assert book.taken().count() == 6
+    # files of earlier runs are not opened: the last run's plan begins at 2000
+    assert {r.line for r in ld.read_lines_since(book, 2, source).collect()} == {"five"}
     assert not create_marker(spark, str(tmp_path / "ledger/commits/2"))
 
 
