@@ -229,14 +229,17 @@ def volume_of_device(alarms: DataFrame, mappings: DataFrame) -> DataFrame:
 def resources_of_type(
     resources: DataFrame, types: DataFrame, type_column: str, prefix: str = "", suffix: str = ""
 ) -> DataFrame:
-    """Resources with the capacity of their instance type (prefix and suffix of the class removed first)."""
+    """Resources with the capacity of their instance type (prefix and suffix of the class removed first).
+
+    ``types`` may be as long as it likes: its copies for the salts are not broadcast by the size of the file they come from.
+    """
     name = F.col(type_column)
     if prefix:
         name = F.when(name.startswith(prefix), F.substring(name, len(prefix) + 1, 2147483647)).otherwise(name)
     if suffix:
         keep = F.length(name) - F.lit(len(suffix))
         name = F.when(name.endswith(suffix), F.substring(name, F.lit(1), keep)).otherwise(name)
-    return join_totals(resources.withColumn("_type", name), types.withColumnRenamed("instance_type", "_type"), ["_type"]).drop("_type")
+    return join_totals(resources.withColumn("_type", name), types.withColumnRenamed("instance_type", "_type"), ["_type"], grows=True).drop("_type")
 
 
 # Instance states that count as existing.

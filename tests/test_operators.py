@@ -221,6 +221,16 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_types_are_not_broadcast_by_file_size(spark, tmp_path):
+    spark.range(1000).selectExpr("concat('t', id) AS instance_type", "id AS vcpus").write.parquet(str(tmp_path / "types"))
+    types = spark.read.parquet(str(tmp_path / "types"))
+    nodes = spark.range(2000).selectExpr("id", "concat('db.t', id % 1200) AS class")
+    out = inventory.resources_of_type(nodes, types, "class", "db.")
+    assert "Broadcast" not in plan(out)
+    got = {r.id: r.vcpus for r in out.collect()}
+    assert got == {i: i % 1200 if i % 1200 < 1000 else None for i in range(2000)}
+
+
 @pytest.mark.parametrize("name", ["x05_allocate_with_residual", "i03_inventory_subnets", "j10_l08_block_enrichment", "w02_share_of_group", "r05_expand_rules", "m08_pod_daily_usage"])
 def test_no_nested_loops_or_python(spark, sf, name):
     from skyledger.plans import all_queries
