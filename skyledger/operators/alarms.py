@@ -55,7 +55,8 @@ def resolve_definition(resources: DataFrame, definitions: DataFrame, key: str =
     """Definition per (resource, metric): the first filter in order that matches and has the metric, else the default.
 
     Definitions are a configuration table (one row per filter and metric; the default has no ``filter_key``).
-    A filter names an attribute column or ``tag:<key>``; a disabled winner removes the metric.
+    A filter names an attribute column or ``tag:<key>``; a disabled winner removes the metric. The table is broadcast,
+    and resources never are, whatever the planner takes their size to be.
     """
     defs = definitions.withColumn("filter_no", F.coalesce("filter_no", F.lit(2147483647)))
     attributes = [c for c, t in resources.dtypes if t == "string"]
@@ -65,11 +66,14 @@ def resolve_definition(resources: DataFrame, definitions: DataFrame, key: str =
         lambda t: F.struct(F.concat(F.lit("tag:"), t["key"]).alias("filter_key"), t["value"].alias("filter_value")),
     )
     side = resources.select("service", F.col(key).alias("_key"), F.concat(own, by_tag).alias("_attributes"))
-    # A filter meets only the resources that have its value; the default meets all of its service.
+    # A filter meets only the resources that have its value; the default meets all of its service. A value that a resource
+    # has twice gives its filter twice, which does not change the first one.
     filters = defs.where(F.col("filter_key").isNotNull()).withColumn("filter_value", F.explode("filter_values")).drop("filter_values")
-    entries = side.select("service", "_key", F.explode("_attributes").alias("_a")).select("service", "_key", "_a.*").distinct()
-    found = entries.join(filters, ["service", "filter_key", "filter_value"]).drop("filter_value")
-    defaults = join_totals(side.drop("_attributes"), defs.where(F.col("filter_key").isNull()).drop("filter_values"), ["service"], "inner")
+    entries = side.select("service", "_key", F.explode("_attributes").alias("_a")).select("service", "_key", "_a.*")
+    found = entries.join(F.broadcast(filters), ["service", "filter_key", "filter_value"]).drop("filter_key", "filter_value")
+    defaults = side.drop("_attributes").join(
+        F.broadcast(defs.where(F.col("filter_key").isNull()).drop("filter_key", "filter_values")), ["service"]
+    )
     joined = found.unionByName(defaults)
     fields = F.struct("enabled", "threshold", "severity", "category", "plan")
     best = joined.groupBy("service", "_key", "metric").agg(F.min_by(fields, F.col("filter_no")).alias("_d"))
@@ -100,30 +104,32 @@ def _applies() -> Column:
 def expand_rules(resources: DataFrame, rules: DataFrame, definitions: DataFrame | None = None) -> DataFrame:
     """Desired alarms: every rule of the resource's service that applies and has a threshold.
 
-    The rule table is small; adaptive execution broadcasts it when its size allows.
+    The rule table is broadcast. Each row keeps the one limit and the one tag threshold its rule asks for; the maps of a
+    resource do not go along.
     """
     known = capacity_limits(F.col("_tagged"), F.col("_off"))
     limits = F.create_map(*[x for n, c in known.items() for x in (F.lit(n), c.cast("double"))])
     read = as_resources(resources).select("*", tag_thresholds().alias("_tagged"), alarms_disabled().alias("_off"))
     prepared = read.withColumn("_limits", limits)
-    rows = prepared.join(rules, "service", "inner").where(_applies())
+    by_tag = resolve_threshold(F.col("threshold_key"), F.col("threshold_value"), F.col("_tagged"), F.col("_off"))
+    own = F.when(F.col("threshold_kind") == "tag", by_tag * F.col("threshold_factor")).otherwise(
+        F.try_element_at("_limits", F.col("threshold_key"))
+    )
+    rows = prepared.join(F.broadcast(rules), "service", "inner").where(_applies()).select(
+        *[c for c in rules.columns if c not in ("applies", "note")], "resource_id", "sub_id", "vcpus", "_off", own.alias("_own")
+    )
     if definitions is not None:
         resolved = resolve_definition(as_resources(resources), definitions).select(
             "service", "resource_id", F.col("metric").alias("threshold_key"), F.col("threshold").alias("_defined")
         )
-        rows = rows.join(resolved.distinct(), ["service", "resource_id", "threshold_key"], "left")
+        rows = rows.join(resolved.distinct().hint("merge"), ["service", "resource_id", "threshold_key"], "left")
     else:
         rows = rows.withColumn("_defined", F.lit(None).cast("double"))
     per_cpu = F.when(F.col("per_vcpu"), F.col("vcpus").cast("double")).otherwise(F.lit(1.0))
     threshold = (
         F.when(F.col("threshold_kind") == "fixed", F.col("threshold_value"))
-        .when(
-            F.col("threshold_kind") == "tag",
-            resolve_threshold(F.col("threshold_key"), F.col("threshold_value"), F.col("_tagged"), F.col("_off"))
-            * F.col("threshold_factor"),
-        )
         .when(F.col("threshold_kind") == "defined", F.col("_defined") * F.col("threshold_factor") * per_cpu)
-        .otherwise(F.try_element_at("_limits", F.col("threshold_key")))
+        .otherwise(F.col("_own"))
     )
     # A tag that disables alarms reaches every threshold a tag could have set, capacity limits included.
     tagged_kind = F.col("threshold_kind").isin("tag", "limit") & ~F.col("threshold_key").isin(

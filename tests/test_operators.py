@@ -221,6 +221,32 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_rules_and_definitions_are_broadcast_and_resources_are_not(spark, tmp_path):
+    spark.range(300).selectExpr(
+        "'ElastiCache' AS service", "concat('r', id) AS resource_id", "concat('s', id % 9) AS sub_id", "'s3' AS name", "int(4) AS vcpus"
+    ).write.parquet(str(tmp_path / "resources"))
+    resources = spark.read.parquet(str(tmp_path / "resources"))
+    chosen = [r for r in RULES if r.threshold.kind == "defined" and r.service == "ElastiCache" and not r.applies]
+    key = chosen[0].threshold.key
+    defs = spark.createDataFrame(
+        [("ElastiCache", 1, "sub_id", ["s3"], key, True, 7.0, 3, "", ""), ("ElastiCache", 0, "sub_id", ["s4", "s5"], key, True, 8.0, 3, "", ""),
+         ("ElastiCache", None, None, None, key, True, 40.0, 3, "", "")], al.DEFINITION_SCHEMA)
+    out = al.expand_rules(resources, rule_table(spark, chosen[:1]), defs)
+    lines = plan(out).splitlines()
+    depths = [(len(line) - len(line.lstrip(" :+-|")), line) for line in lines]
+    for i, (depth, line) in enumerate(depths):
+        if "BroadcastExchange" in line:
+            below = []
+            for d, text in depths[i + 1 :]:
+                if d <= depth:
+                    break
+                below.append(text)
+            assert not any("FileScan" in text for text in below), below
+    factor = chosen[0].threshold.factor
+    got = {r.resource_id: r.threshold for r in out.collect()}
+    assert got == {f"r{i}": {3: 7.0, 4: 8.0, 5: 8.0}.get(i % 9, 40.0) * factor for i in range(300)}
+
+
 def test_types_are_not_broadcast_by_file_size(spark, tmp_path):
     spark.range(1000).selectExpr("concat('t', id) AS instance_type", "id AS vcpus").write.parquet(str(tmp_path / "types"))
     types = spark.read.parquet(str(tmp_path / "types"))
