@@ -205,7 +205,8 @@ def near_words(words: DataFrame) -> DataFrame:
     filed = words.mapInArrow(_filed(frequent), LISTED).withColumnsRenamed({"word": "b", "n": "b_n"})
     asked = words.mapInArrow(_asked(frequent), LISTED).withColumnsRenamed({"word": "a", "n": "a_n"})
     apart = (F.length("a") > F.length("b")) | (F.col("a") < F.col("b"))
-    pairs = asked.join(filed, ["gram", "length", "place"]).where(apart & (F.levenshtein("a", "b", 1) == 1))
+    # merged: the planner takes the lists, many rows a word, to be as small as the compressed file of the words
+    pairs = asked.join(filed.hint("merge"), ["gram", "length", "place"]).where(apart & (F.levenshtein("a", "b", 1) == 1))
     return pairs.select("a", "a_n", "b", "b_n").distinct()
 
 
@@ -225,7 +226,7 @@ def group_variants(words: DataFrame, ratio: int = 5) -> DataFrame:
     best = F.min(F.struct((-F.col("other_n")).alias("order"), F.col("other")))
     near = ends.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best.alias("best"))
     taken = -F.col("best.order") >= ratio * F.col("n")
-    judged = words.join(near, "word", "left").select(
+    judged = words.join(near.hint("merge"), "word", "left").select(
         "word",
         "n",
         F.when(taken, F.col("best.other")).alias("form"),
@@ -234,7 +235,7 @@ def group_variants(words: DataFrame, ratio: int = 5) -> DataFrame:
     )
     judged = stored(judged, "spelling_forms")
     links = _roots(judged, ratio)
-    return judged.join(links, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return judged.join(links.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def _roots(judged: DataFrame, ratio: int) -> DataFrame:
@@ -245,7 +246,7 @@ def _roots(judged: DataFrame, ratio: int) -> DataFrame:
     followed = 1
     while followed < steps:
         onward = links.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        links = stored(links.join(onward, "root", "left").select("word", F.coalesce("next", "root").alias("root")), "spelling_roots")
+        links = stored(links.join(onward.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root")), "spelling_roots")
         followed *= 2
     return links
 

@@ -11,6 +11,7 @@ from brute import awkward, documents, prose
 from pyspark.sql import functions as F
 
 from skyledger.llm import merkle, spelling, url_rules
+from skyledger.llm.common import stored
 from skyledger.llm.queries import HOST_RULES, URL_GLOBS
 
 UP, LOW = url_rules.UPPER, url_rules.LOWER
@@ -84,6 +85,15 @@ def test_every_pair_is_found_at_all_lengths(spark, monkeypatch):
     assert as_rows(spelling.group_variants(frame)) == plain_groups(counts)
 
 
+def test_lists_are_not_broadcast_by_the_size_of_the_words_file(spark):
+    rows = [("".join(chr(97 + (i * k) % 26) for k in range(1, 8)), 5) for i in range(200)]
+    words = stored(spark.createDataFrame(sorted(set(rows)), "word string, n long"), "words")
+    plan = spelling.near_words(words)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    plan = spelling.group_variants(words)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_two_lists_that_no_edit_changes_together():
     rng = np.random.default_rng(1)
     for _ in range(300):
