@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from skyledger.functions import billing, capacity, network, text, timefns
 from skyledger.operators import alarms as al
 from skyledger.operators import compliance, events, geo, inventory, keyed, logs, metrics, rollup
+from skyledger.plans import bindings
 from skyledger.plans.catalogue import RULES, rule_table
+from skyledger.session import prepare
 
 
 def one(spark, column):
@@ -247,6 +249,20 @@ def test_rules_and_definitions_are_broadcast_and_resources_are_not(spark, tmp_pa
     assert got == {f"r{i}": {3: 7.0, 4: 8.0, 5: 8.0}.get(i % 9, 40.0) * factor for i in range(300)}
 
 
+def test_line_items_are_widened_in_bounded_tasks(spark, tmp_path, monkeypatch):
+    spark.range(1000).selectExpr("id % 90 AS l_partkey", "id AS l_orderkey", "int(1) AS l_linenumber").coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(bindings, "TASK_LINES", 100)
+    lines = bindings.dealt_lines(spark, str(tmp_path))
+    assert ", 10)" in plan(lines) and "hashpartitioning" in plan(lines)
+    assert sorted(r.l_orderkey for r in lines.collect()) == list(range(1000))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
+    assert prepare(spark)._jsparkSession.sessionState().conf().filesMaxPartitionBytes() == 16 << 20
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    assert prepare(spark).conf.get("spark.sql.files.maxPartitionBytes") == "1m"
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    prepare(spark)
+
+
 def test_types_are_not_broadcast_by_file_size(spark, tmp_path):
     spark.range(1000).selectExpr("concat('t', id) AS instance_type", "id AS vcpus").write.parquet(str(tmp_path / "types"))
     types = spark.read.parquet(str(tmp_path / "types"))
