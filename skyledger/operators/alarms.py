@@ -196,7 +196,7 @@ def period_statistics(samples: DataFrame, alarms: DataFrame) -> DataFrame:
     wanted = alarms.select(
         "alarm_name", "resource_id", "period", F.posexplode(F.arrays_zip("metrics", "statistics")).alias("_position", "_m")
     ).select("alarm_name", "resource_id", "period", "_position", F.col("_m.metrics").alias("metric"), F.col("_m.statistics").alias("statistic"))
-    parts = join_totals(minute_statistics(samples), wanted, ["resource_id", "metric"], "inner")
+    parts = join_totals(minute_statistics(samples), wanted, ["resource_id", "metric"], "inner", grows=True)
     return merge_statistics(parts.withColumn("period_start", floor_epoch("minute", F.col("period"))))
 
 
@@ -224,7 +224,7 @@ def points_of(statistics: DataFrame, alarms: DataFrame) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct(F.col("_position") + 1, "value"))).alias("_m")
     )
     rules = alarms.select("alarm_name", "expression", F.size("metrics").alias("_metrics")).distinct()
-    wide = join_totals(wide, rules, ["alarm_name"], "inner")
+    wide = join_totals(wide, rules, ["alarm_name"], "inner", grows=True)
     return wide.withColumn("value", _expression()).select("alarm_name", "resource_id", "period", "period_start", "value")
 
 

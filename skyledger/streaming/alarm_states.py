@@ -48,13 +48,14 @@ def advance(batch: DataFrame, alarms: DataFrame, path: str, batch_id: int, start
     statistics, heads, reached = _state_before(spark, path, batch_id)
     newest = batch.agg(F.max("epoch")).first()[0]
     as_of = max(v for v in (newest, reached, start) if v is not None)
+    # alarms, and with them spans and heads, grow with the resources: they are merged, never collected for a broadcast
     spans = _spans(alarms, heads, start, as_of, late_periods)
 
     new = al.period_statistics(batch, alarms)
-    placed = new.join(spans.select("alarm_name", "first_open"), "alarm_name")
+    placed = new.join(spans.select("alarm_name", "first_open").hint("merge"), "alarm_name")
     in_time = F.col("period_start") >= F.col("first_open")
     placed.where(~in_time).drop("first_open").write.mode("overwrite").parquet(f"{path}/late/batch_id={batch_id}")
-    known = statistics.join(spans.select("alarm_name", "period"), ["alarm_name", "period"], "left_semi")
+    known = statistics.join(spans.select("alarm_name", "period").hint("merge"), ["alarm_name", "period"], "left_semi")
     merged = al.merge_statistics(placed.where(in_time).drop("first_open").select(*known.columns).unionByName(known))
     folder = f"{path}/state/version={batch_id}"
     kept = _tail(merged, spans)
@@ -65,9 +66,9 @@ def advance(batch: DataFrame, alarms: DataFrame, path: str, batch_id: int, start
     step = F.col("period").cast("long")
     grid = spans.select("*", F.explode(F.sequence("first_seen", "last", step)).alias("period_start"))
     rows = (
-        grid.join(points.select("alarm_name", "period_start", "value"), ["alarm_name", "period_start"], "left")
+        grid.join(points.select("alarm_name", "period_start", "value").hint("merge"), ["alarm_name", "period_start"], "left")
         .withColumn("context", F.col("period_start") < F.col("first_open"))
-        .join(alarms.select("alarm_name", *al.RULE), "alarm_name")
+        .join(alarms.select("alarm_name", *al.RULE).hint("merge"), "alarm_name")
     )
     target = f"{path}/states/batch_id={batch_id}"
     al.judge_periods(rows, carried=True).write.mode("overwrite").parquet(target)
@@ -99,7 +100,7 @@ def _spans(alarms: DataFrame, heads: DataFrame, start: int, as_of: int, late_per
         return F.lit(at).cast("long") - F.pmod(F.lit(at).cast("long"), step)
 
     known = heads.select("alarm_name", F.col("period").cast("int").alias("period"), F.col("last").alias("_last"), "known_before", "state_before")
-    spans = alarms.select("alarm_name", F.col("period").cast("int").alias("period"), "periods").distinct().join(known, ["alarm_name", "period"], "left")
+    spans = alarms.select("alarm_name", F.col("period").cast("int").alias("period"), "periods").distinct().join(known.hint("merge"), ["alarm_name", "period"], "left")
     begin = floor(start)
     first_open = F.greatest(begin, F.coalesce(F.col("_last") - F.lit(late_periods) * step, begin))
     return (
@@ -113,7 +114,7 @@ def _spans(alarms: DataFrame, heads: DataFrame, start: int, as_of: int, late_per
 def _tail(statistics: DataFrame, spans: DataFrame) -> DataFrame:
     """The statistics that this and the next judgement need."""
     columns = statistics.columns
-    rows = statistics.join(spans.select("alarm_name", "first_seen"), "alarm_name")
+    rows = statistics.join(spans.select("alarm_name", "first_seen").hint("merge"), "alarm_name")
     old = F.col("period_start") < F.col("first_seen")
     newest_first = Window.partitionBy("alarm_name", old).orderBy(F.col("period_start").desc())
     rows = rows.withColumn("_age", F.dense_rank().over(newest_first))
@@ -125,7 +126,7 @@ def _heads_after(judged: DataFrame, spans: DataFrame, late_periods: int) -> Data
     step = F.col("period").cast("long")
     # judged rows start at the first open period, so rows before the next open one are among them or the old values hold
     rows = judged.select("alarm_name", "period_start", "last_known", "state").join(
-        spans.withColumn("next_open", F.greatest("first_open", F.col("last") - F.lit(late_periods) * step)), "alarm_name"
+        spans.withColumn("next_open", F.greatest("first_open", F.col("last") - F.lit(late_periods) * step)).hint("merge"), "alarm_name"
     )
     settled = F.when(F.col("period_start") < F.col("next_open"), F.col("period_start"))
     out = rows.groupBy("alarm_name", F.col("period").cast("long").alias("period"), "last").agg(
