@@ -68,7 +68,7 @@ def alarm_detail() -> Column:
 
 def alarm_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = envelope(F.lit("aws.cloudwatch"), F.lit("CloudWatch Alarm State Change"), alarm_detail())
-    landed = b.landed_lines(spark, sf_dir, "alarm-events", t(spark, sf_dir, "events").select(body.alias("line")))
+    landed = b.landed_lines(spark, sf_dir, "alarm-events", t(spark, sf_dir, "events").select(body.alias("line")), packed=True)
     return ev.flatten_alarm_event(ev.read_envelopes(landed, "line"))
 
 
