@@ -228,7 +228,7 @@ def a09(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw(spark: SparkSession, sf_dir: str, copies: int = 2) -> DataFrame:
     """Raw pod and ingress samples from events, with boundary repeats (every sample occurs ``copies`` times)."""
-    rows = samples(spark, sf_dir)
+    rows = b.dealt_events(spark, sf_dir, samples(spark, sf_dir))
     pod = F.concat(F.lit("p-"), F.col("user_id").cast("string"))
     node = F.concat(F.lit('{"ebs.csi.aws.com":"i-'), (F.col("user_id") % 10).cast("string"), F.lit('"}'))
     region = F.concat(F.lit("r"), (F.col("user_id") % 2).cast("string"))
