@@ -184,6 +184,42 @@ def test_passages_of_common_sentences(spark):
     assert {(r.doc_id, r.source_id) for r in got} == pairs
 
 
+def test_passages_whose_seeds_all_stand_elsewhere(spark, monkeypatch):
+    # three sentences of 17 words, each in four earlier documents, together in two: too short for a long seed to be sure
+    rows, pairs = [], set()
+    for g in range(60):
+        sentences = [prose(70_000 + 10 * g + k, 17) for k in range(3)]
+        for n in range(4):
+            rows += [(1000 * g + 3 * n + k, f"{prose(80_000 + 100 * g + 3 * n + k, 60)} {sentences[k]} {prose(90_000 + 100 * g + 3 * n + k, 60)}") for k in range(3)]
+        rows += [(1000 * g + 20 + k, f"{prose(100_000 + 10 * g + k, 60)} {' '.join(sentences)} {prose(110_000 + 10 * g + k, 60)}") for k in range(2)]
+        pairs.add((1000 * g + 21, 1000 * g + 20))
+    for block in (fuzzy_passages.BLOCK, 2):
+        monkeypatch.setattr(fuzzy_passages, "BLOCK", block)
+        got = fuzzy_passages.shared_passages(documents(spark, rows)).collect()
+        assert {(r.doc_id, r.source_id) for r in got} == pairs
+        assert all(r.start_word <= 60 and r.end_word >= 111 for r in got)
+
+
+def test_likely_pairs_hold_all_that_align():
+    rng, margin, around = np.random.default_rng(5), fuzzy_passages.MARGIN, fuzzy_passages.AROUND
+    p = rng.integers(2, 2000, (60, around)).astype(np.uint16)
+    q = np.concatenate((p, rng.integers(2, 2000, (400, around)).astype(np.uint16)))
+    q[:60] = np.where(rng.random((60, around)) < rng.random((60, 1)) / 2, 1, p)
+    q[:60, :10] = p[:, :10] = 0  # places before a text
+    q[60:, margin : margin + 5] = q[:60, margin : margin + 5] = p[:, margin : margin + 5] = 7  # the seed
+    q[:20, 70:-3] = p[:20, 73:]  # words are missing behind the 70th
+    seed = np.array([[margin, margin, 5]])
+    for few in (q[:20], q):
+        got = set(zip(*(v.tolist() for v in fuzzy_passages.likely(p, few)), strict=True))
+        for i in range(60):
+            for j in range(len(few)):
+                x, y = np.where(p[i] == 0, 1, p[i]), few[j]
+                assert (i, j) in got or not fuzzy_passages.passages(x, y, seed, 45, 0.8)
+        aligned = {i for i in range(len(few[:60])) if fuzzy_passages.passages(np.where(p[i] == 0, 1, p[i]), few[i], seed, 45, 0.8)}
+        assert {(i, i) for i in aligned} <= got and len(aligned) >= 5 and all(i == j for i, j in got)
+        assert not any((i, j) in got for i in range(60) for j in range(60, len(few)))
+
+
 def test_second_copy_of_a_passage(spark):
     passage = prose(80, 70)
     part = " ".join(passage.split()[:30])
