@@ -299,15 +299,14 @@ def m08(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sample store: written once, read by every usage table."""
-    return b.landed_table(spark, sf_dir, "raw-samples", lambda: _first_of_second(_raw(spark, sf_dir)))
+    return b.landed_table(spark, sf_dir, "raw-samples", lambda: _first_of_second(_raw(spark, sf_dir, copies=1)))
 
 
 def _first_of_second(raw: DataFrame) -> DataFrame:
-    """Events of one series in the same second count as one sample, the largest."""
-    keys = F.to_json("labels").alias("k")
-    best = raw.groupBy("metric", keys, "epoch").agg(F.max("value").alias("value"), F.count(F.lit(1)).alias("n"))
+    """Events of one series in the same second count as one sample, the largest, which occurs twice."""
+    best = raw.groupBy("metric", F.map_entries("labels").alias("k"), "epoch").agg(F.max("value").alias("value"))
     repeat = F.sequence(F.lit(1), F.lit(2))
-    return best.select("metric", F.from_json("k", "map<string,string>").alias("labels"), "epoch", "value", F.explode(repeat).alias("_c")).drop("_c")
+    return best.select("metric", F.map_from_entries("k").alias("labels"), "epoch", "value", F.explode(repeat).alias("_c")).drop("_c")
 
 
 @query(

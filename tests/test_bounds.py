@@ -115,3 +115,15 @@ def test_events_are_dealt_to_bounded_tasks(spark, tmp_path, monkeypatch):
     events = b.table(spark, str(tmp_path), "events")
     dealt = b.dealt_events(spark, str(tmp_path), events)
     assert dealt.rdd.getNumPartitions() == 4 and dealt.count() == 100
+
+
+def test_sample_store_groups_labels_as_they_are(spark):
+    from skyledger.plans.metric_queries import _first_of_second
+
+    rows = [("m", {"a": "1", "b": 'x"y'}, 5, 1.0), ("m", {"a": "1", "b": 'x"y'}, 5, 3.0), ("m", {"a": "1", "b": None}, 5, 2.0), ("m", {}, 5, None), ("m", None, 5, 4.0)]
+    out = _first_of_second(spark.createDataFrame(rows, "metric string, labels map<string,string>, epoch long, value double"))
+    text = out._jdf.queryExecution().toString()
+    assert "to_json" not in text and "from_json" not in text
+    got = sorted((str(r.labels), r.epoch, r.value) for r in out.collect())
+    want = [(str(x), 5, v) for x, v in [({"a": "1", "b": 'x"y'}, 3.0), ({"a": "1", "b": None}, 2.0), ({}, None), (None, 4.0)]]
+    assert got == sorted(w for w in want for _ in range(2))
