@@ -220,6 +220,26 @@ def test_likely_pairs_hold_all_that_align():
         assert not any((i, j) in got for i in range(60) for j in range(60, len(few)))
 
 
+def test_runs_of_one_word_are_no_likely_pairs():
+    # all have 30 to 34 words in a row of the seed's word, and no other word in common: never 36 of 45
+    rows = np.random.default_rng(6).integers(100, 1 << 16, (200, fuzzy_passages.AROUND)).astype(np.uint16)
+    for i, row in enumerate(rows):
+        row[24 + i % 7 : 54 + i % 7 + i % 5] = 7
+    left, right = fuzzy_passages.likely(rows, rows)
+    assert sorted(zip(left.tolist(), right.tolist(), strict=True)) == [(i, i) for i in range(len(rows))]
+    # with 38 words in a row in both, every pair has a passage
+    rows[:, 30:68] = 7
+    left, right = fuzzy_passages.likely(rows[:30], rows)
+    assert len(left) == 30 * len(rows)
+
+
+def test_equal_words_of_a_source_give_its_first_place(spark):
+    rows = [(9, 1, 10, 60, start, start + 50, same, same / 50) for start, same in ((300, 48), (200, 50), (70, 48), (400, 50))]
+    for order in (rows, rows[::-1]):
+        got = fuzzy_passages._first_sources(spark.createDataFrame(order, fuzzy_passages._PASSAGE).coalesce(1), 2).collect()
+        assert [(r.source_start, r.same_words) for r in got] == [(200, 50)]
+
+
 def test_second_copy_of_a_passage(spark):
     passage = prose(80, 70)
     part = " ".join(passage.split()[:30])
