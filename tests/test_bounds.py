@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from skyledger import session
 from skyledger.operators import alarms as al
-from skyledger.operators import allocation
+from skyledger.operators import allocation, keyed
 from skyledger.plans import bindings as b
+from skyledger.sources import clustered
 
 
 def _plan(df) -> str:
@@ -101,6 +102,92 @@ def test_lines_are_summed_and_flagged_behind_one_exchange(spark, lines, usage, t
     assert len(wide) < len(old)
 
 
+def _metrics(spark, rows):
+    """Pods of (date, instance, resource_id, namespace, cpu, network), two samples of each."""
+    df = spark.createDataFrame(rows + rows, "date string, instance string, resource_id string, eks_namespace string, actual_cpu double, network_in double")
+    fixed = {"year": "2024", "month": "7", "usage_account": "1", "region": "r", "eks_cluster_name": "c", "eks_app": "a"}
+    return session.cut_lineage(df.withColumns({k: F.lit(v) for k, v in fixed.items()}).withColumns({"actual_mem": F.col("actual_cpu"), "network_out": F.lit(0.0)}))
+
+
+@pytest.fixture(scope="module")
+def pods(spark):
+    day = "2024-07-01"
+    return _metrics(
+        spark,
+        [(day, "i", "p1", "n", 1.0, 1.0), (day, "i", "p2", "n", 2.0, 3.0), (day, "i", "p2", None, 4.0, 0.0), (day, "i", "p2", "", 8.0, 0.0), (day, "k", "p3", "n", 1.0, 0.0),
+         (day, None, "p4", "n", 1.0, 1.0), (day, "", "p5", "n", 1.0, 1.0), (None, "i", "p6", "n", 1.0, 1.0)],
+    )
+
+
+@pytest.fixture(scope="module")
+def stored_lines(spark, lines, tmp_path_factory):
+    placed = allocation.placed_lines(lines, 3)
+    dims = [*allocation.COST_DIMENSIONS, "eks_cluster_name", allocation.PLACED]
+    summed = keyed.blank_strings(placed.groupBy(*dims).agg(*[F.sum(c).alias(c) for c in NUMBERS]))
+    return clustered.store_placed(summed, "bounds_placed_lines", str(tmp_path_factory.mktemp("placed") / "t"), allocation.PLACED_BY, 3)
+
+
+def _rounded(df):
+    return sorted(tuple("" if v is None else round(v, 6) if isinstance(v, float) else str(v) for v in r) for r in df.collect())
+
+
+@pytest.mark.parametrize("cut", [False, True])
+@pytest.mark.parametrize("level", [allocation.allocate_compute, allocation.allocate_compute_and_transfer, allocation.allocate_with_residual])
+def test_stored_lines_are_allocated_where_they_lie(spark, lines, stored_lines, pods, level, cut, monkeypatch):
+    if cut:
+        monkeypatch.setattr(allocation, "PART_WORKLOADS", 1)
+    # as they are stored, NULL and '' are one
+    plain = keyed.blank_strings(lines)
+    now = level(pods, stored_lines)
+    assert _rounded(now) == _rounded(level(pods, plain))
+    for c in allocation.COSTS:
+        assert now.agg(F.sum(c)).first()[0] == pytest.approx(511.0)
+    if not cut:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            text = _plan(level(pods, stored_lines))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert text.count("Exchange hashpartitioning") == 1  # that of the shares
+
+
+def test_usage_is_summed_and_shared_behind_one_exchange(spark, lines, pods, monkeypatch):
+    monkeypatch.setattr(allocation, "heavy_keys", lambda df, keys: keyed.HeavyKeys())
+    shares, billed = allocation.usage_shares(pods), allocation.billed_shares(pods, lines)
+    usage, none = allocation.measured_usage(pods)
+    assert not none and _plan(shares).count("Exchange hashpartitioning") == 1
+    assert _plan(billed).count("Exchange hashpartitioning") == 2  # billed capacity is summed before
+    assert _rounded(usage) == _rounded(allocation.workload_usage(pods))
+    assert _rounded(shares) == _rounded(allocation.relative_shares(allocation.workload_usage(pods)))
+    assert _rounded(billed) == _rounded(allocation.capacity_shares(allocation.workload_usage(pods), lines))
+    assert usage.where("instance = 'i' AND date IS NOT NULL").count() == 4  # NULL and '' stay workloads of their own
+    monkeypatch.undo()
+    monkeypatch.setattr(allocation, "heavy_keys", lambda df, keys: keyed.heavy_keys(df, keys, 8))
+    usage, heavy = allocation.measured_usage(pods)
+    assert heavy and _rounded(allocation.usage_shares(pods)) == _rounded(shares)
+    assert _rounded(allocation.billed_shares(pods, lines)) == _rounded(billed)
+
+
+def test_stored_steps_leave_no_shuffles(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles
+    shuffles = lambda: sum(f.startswith("shuffle_") for f in (files().apply(i).getName() for i in range(files().size())))
+    before = shuffles()
+    stored = session.cut_lineage(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count())
+    assert shuffles() <= before and stored.count() == 7
+    session.forget(stored)
+    assert not glob.glob(stored.inputFiles()[0].removeprefix("file://"))
+
+
+def test_line_items_are_moved_once_before_they_are_summed(spark, sf, monkeypatch):
+    moved = lambda: sum("l_partkey" in x for x in _plan(b.billing_lines(spark, sf)).splitlines() if "Exchange hashpartitioning" in x)
+    rows = b.billing_lines(spark, sf).agg(F.count(F.lit(1)), F.sum("line_item_unblended_cost").cast("long")).first()
+    monkeypatch.setattr(b, "TASK_LINES", 1000)
+    assert moved() == 1  # dealt, for few parts are broadcast
+    monkeypatch.setattr(b, "BROADCAST_PARTS", 1)
+    assert moved() == 1 and "SortMergeJoin" in _plan(b.billing_lines(spark, sf))
+    assert b.billing_lines(spark, sf).agg(F.count(F.lit(1)), F.sum("line_item_unblended_cost").cast("long")).first() == rows
+
+
 def test_landed_events_are_packed(spark, tmp_path):
     text = spark.range(30, numPartitions=1).select(F.concat(F.lit("line "), F.col("id").cast("string")).alias("line"))
     back = b.landed_lines(spark, str(tmp_path), "packed-lines", text, packed=True)
