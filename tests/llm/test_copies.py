@@ -233,6 +233,48 @@ def test_runs_of_one_word_are_no_likely_pairs():
     assert len(left) == 30 * len(rows)
 
 
+def test_runs_of_one_word_are_not_tested_pair_by_pair(monkeypatch):
+    own = np.random.default_rng(7).integers(100, 1 << 16, (300, 9)).astype(np.uint16)
+    rows = np.repeat(own, 12, axis=1)[:, : fuzzy_passages.AROUND]
+    rows[:, 40:64] = 7  # 24 words in a row are enough for the diagonal, not for a passage
+    rows[50:60] = rows[:10]
+    half, least = fuzzy_passages._half(45, 0.8), fuzzy_passages._least(45, 0.8)
+    left = sum(len(i) for i, _ in fuzzy_passages._half_alike(rows, rows, half, least))
+    assert 320 <= left < 30_000  # of 90,000 that are alike on the diagonal
+    quick = [set(zip(*(v.tolist() for v in fuzzy_passages.likely(rows, rows)), strict=True))]
+    monkeypatch.setattr(fuzzy_passages, "FEW_OF", 0)
+    assert sum(len(i) for i, _ in fuzzy_passages._half_alike(rows, rows, half, least)) == 90_000
+    quick.append(set(zip(*(v.tolist() for v in fuzzy_passages.likely(rows, rows)), strict=True)))
+    equal = {(i, i) for i in range(300)} | {(i, i + 50) for i in range(10)} | {(i + 50, i) for i in range(10)}
+    assert quick[0] == quick[1] >= equal and len(quick[0]) < 340  # a few have a word beside the seed in common by chance
+
+
+def test_surroundings_agree_on_two_diagonals_at_most():
+    rng, margin, kmer = np.random.default_rng(8), fuzzy_passages.MARGIN, fuzzy_passages.KMER
+    p, q = (rng.integers(2, 6, (40, fuzzy_passages.AROUND)).astype(np.uint16) for _ in range(2))
+    q[:20] = np.where(rng.random((20, fuzzy_passages.AROUND)) < 0.6, p[:20], q[:20])
+    q[10:20, 60:-2] = q[10:20, 62:]
+    q[:, :9], p[:, 96:] = 0, 1
+
+    def most(x, y):  # like words of the first k on the seed's diagonal up to some place, on another behind it
+        own = [int(a == b) for a, b in zip(x, y, strict=True)]
+        best = []
+        for k in range(1, margin + 1):
+            found = [sum(own[:k])]
+            for t in range(-fuzzy_passages.LARGEST_SHIFT, fuzzy_passages.LARGEST_SHIFT + 1):
+                other = [int(0 <= i - t < margin and x[i] == y[i - t]) for i in range(k)]
+                found += [sum(own[:u]) + sum(other[u:]) for u in range(k)]
+            best.append(max(found))
+        return best
+
+    want = []
+    for x, y in zip(p, q, strict=True):
+        left, right = ([0, *most(a, b)] for a, b in ((x[:margin][::-1], y[:margin][::-1]), (x[margin + kmer :], y[margin + kmer :])))
+        want.append(any(left[i] + right[j] + kmer >= 0.8 * (i + j + kmer) - 1e-3 for i in range(margin + 1) for j in range(margin + 1) if i + j + kmer >= 45))
+    got = fuzzy_passages._alike(p, q, 45, 0.8)
+    assert got.tolist() == want and 0 < sum(want) < 40
+
+
 def test_equal_words_of_a_source_give_its_first_place(spark):
     rows = [(9, 1, 10, 60, start, start + 50, same, same / 50) for start, same in ((300, 48), (200, 50), (70, 48), (400, 50))]
     for order in (rows, rows[::-1]):
